@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -11,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickforge import schemas, settings
+from tickforge.session import shared_dir
 
 LABEL = "target"
 
@@ -31,16 +30,18 @@ def split(df: DataFrame, test_share: float = 0.2, seed: int = 42,
     to the driver is one threshold per class.
     """
     draw = F.pmod(F.xxhash64(*identity, F.lit(seed)), F.lit(2 ** 31))
-    cuts = df.groupBy(LABEL).agg(F.percentile_approx(draw, test_share, 10_000).alias("cut"))
-    classes = cuts.limit(100).collect()
-    in_test = reduce(lambda acc, r: acc | ((F.col(LABEL) == r[LABEL]) & (draw <= r["cut"])),
-                     classes, F.lit(False))
+    cuts = df.agg(*[
+        F.percentile_approx(F.when(F.col(LABEL) == c, draw), test_share, 10_000).alias(f"cut_{c}") for c in (0, 1)
+    ]).first()
+    in_test = draw <= F.when(F.col(LABEL) == 1, cuts["cut_1"]).otherwise(cuts["cut_0"])
     return df.filter(~in_test), df.filter(in_test)
 
 
 def train(rows: DataFrame, columns: list[str] | None = None, trees: int = 100, depth: int = 5,
           rate: float = 0.1, seed: int = 42) -> PipelineModel:
+    """Gradient-boosted trees; every tenth round is checkpointed to the shared folder."""
     columns = columns or settings.FEATURE_COLUMNS
+    rows.sparkSession.sparkContext.setCheckpointDir(shared_dir(rows.sparkSession))
     return Pipeline(stages=[
         VectorAssembler(inputCols=columns, outputCol="vector", handleInvalid="skip"),
         GBTClassifier(featuresCol="vector", labelCol=LABEL, maxIter=trees, maxDepth=depth,

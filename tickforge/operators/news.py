@@ -34,12 +34,13 @@ def score(articles: DataFrame, positive: list[str] | None = None,
 
 def tag_articles(articles: DataFrame, keywords: dict[str, list[str]] | None = None,
                  newest: int = settings.ARTICLES_PER_SYMBOL, key: str = "url",
-                 published: str = "published_at") -> DataFrame:
-    """Per symbol the newest articles that mention any of its phrases.
+                 published: str = "published_at", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per symbol the newest articles that mention any of its phrases: (symbol, rank, key, …).
 
     The phrase list is configuration, so matching is a row-local expression: one pass
-    over each text, no join.  The top-n keeps ``newest`` rows per symbol in every task
-    before the shuffle, so a symbol named by a third of all articles stays small.
+    over each text, no join.  The texts stay behind; only keys are ranked, and the top-n
+    keeps ``newest`` rows per symbol in every task before the shuffle, so a symbol named
+    by a third of all articles stays small.
     """
     keywords = keywords or settings.news_keywords()
     mentioned = [
@@ -48,7 +49,7 @@ def tag_articles(articles: DataFrame, keywords: dict[str, list[str]] | None = No
     ]
     hits = articles.withColumn(
         "_text", F.lower(words.article_text(F.col("headline"), F.col("description")))
-    ).withColumn("symbol", F.explode(F.array_compact(F.array(*mentioned)))).drop("_text")
+    ).select(F.explode(F.array_compact(F.array(*mentioned))).alias("symbol"), key, published, *keep)
     latest = Window.partitionBy("symbol").orderBy(F.desc(published), F.desc(key))
     return hits.withColumn("rank", F.row_number().over(latest)).filter(F.col("rank") <= newest)
 
@@ -79,9 +80,11 @@ MEASURES = ["news_sentiment", "news_count", "positive_news_count", "negative_new
 def ticks_with_sentiment(enriched: DataFrame, daily_news: DataFrame) -> DataFrame:
     """Ticks with the sentiment of their day, 0 where there is none.
 
-    The news side is already one row per (symbol, day).  No hint: Spark broadcasts it
-    only below its size threshold, and otherwise adaptive execution splits the
-    partitions of a hot symbol on the tick side, which a left join allows.
+    The news side is already one row per (symbol, day).  Pass it staged
+    (:func:`tickforge.session.stage`): its size is then known when the join is planned,
+    so Spark broadcasts it below its threshold and the ticks are not shuffled at all;
+    beyond that, adaptive execution splits the partitions of a hot symbol on the tick
+    side, which a left join allows.
     """
     lookup = daily_news.withColumnRenamed("news_date", "date_parsed")
     return enriched.join(lookup, ["symbol", "date_parsed"], "left").select(
@@ -97,3 +100,15 @@ def latest_sentiment(sentiment: DataFrame, tiebreak: str | None = None,
         F.max_by("news_sentiment", at).alias("sentiment_score"),
         F.max_by("news_count", at).alias("news_count"),
     )
+
+
+def newest_tick(enriched: DataFrame, tiebreak: str | None = None,
+                ts: str = "timestamp_parsed") -> DataFrame:
+    """Time, id and day of each symbol's newest tick.
+
+    The newest tick's sentiment depends on that tick alone, so joining the news to this
+    table gives the same :func:`latest_sentiment` as joining it to every tick.
+    """
+    at = order_key(ts, tiebreak)
+    columns = [ts, "date_parsed"] + ([tiebreak] if tiebreak else [])
+    return enriched.groupBy("symbol").agg(*[F.max_by(c, at).alias(c) for c in columns])

@@ -36,16 +36,16 @@ def _priced(quotes: DataFrame, scale: int, levels: tuple[str, ...]) -> DataFrame
     Changes use the unrounded price; with no (or a zero) previous close they are 0.
     """
     price, base = F.col("price"), market.nonzero(F.col("prev_close"))
-    zero = F.lit(0.0)
-    change = F.when(base.isNull(), price - price).otherwise(price - base)
-    pct = F.when(base.isNull(), zero).otherwise(F.try_divide(price - base, base) * 100)
-    return quotes.withColumns({
-        "price_change": round_exact(change, scale),
-        "price_change_pct": round_exact(pct, 4),
-        **{c: round_exact(F.coalesce(F.col(c), zero), scale) for c in levels},
-        "price": round_exact(price, scale),
+    # Two steps: the rounding refers to its input several times, so the inputs are
+    # columns of a projection of their own rather than repeated expressions.
+    raw = quotes.withColumns({
+        "price_change": F.when(base.isNull(), price - price).otherwise(price - base),
+        "price_change_pct": F.when(base.isNull(), 0.0).otherwise((price - base) / base * 100),
         "volume": F.coalesce(F.col("volume"), F.lit(0)).cast("bigint"),
+        **{c: F.coalesce(F.col(c), F.lit(0.0)) for c in levels},
     })
+    places = {"price": scale, "price_change": scale, "price_change_pct": 4, **dict.fromkeys(levels, scale)}
+    return raw.withColumns({c: round_exact(F.col(c), n) for c, n in places.items()})
 
 
 def build_stock_ticks(quotes: DataFrame, ts: str = "timestamp") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tickforge import schemas, settings
 from tickforge.operators import candles, dashboard, facts, features, marts, ml, news, ordered, quality, ticks
 from tickforge.plans import medallion
-from tickforge.session import DEFAULTS, fresh_path, stage
+from tickforge.session import fresh_path, prepare, stage
 from tickforge.sinks import lake as sink
 from tickforge.sources import fixtures as fx
 from tickforge.sources import topics
@@ -26,8 +26,7 @@ BASE = ["event_id", "symbol", "timestamp_parsed"]
 def query(fn: Query) -> Query:
     """Register ``fn``; its result is brought to comparable form (see :func:`tidy`)."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", DEFAULTS["spark.sql.session.timeZone"])
-        return tidy(fn(spark, sf_dir))
+        return tidy(fn(prepare(spark), sf_dir))
 
     QUERIES[fn.__name__] = run
     return run
@@ -59,12 +58,18 @@ def trades(spark, sf_dir):
     return facts.fact_trades(fx.enriched(spark, sf_dir), keep=(ID,))
 
 
+def daily_news(spark, sf_dir):
+    return stage(news.daily(fx.clean_news(spark, sf_dir)), "daily-news")
+
+
 def sentiment(spark, sf_dir):
-    return news.ticks_with_sentiment(fx.enriched(spark, sf_dir), news.daily(fx.clean_news(spark, sf_dir)))
+    return news.ticks_with_sentiment(fx.enriched(spark, sf_dir), daily_news(spark, sf_dir))
 
 
 def feature_rows(spark, sf_dir, max_rows: int = ordered.MAX_ROWS):
-    latest = news.latest_sentiment(sentiment(spark, sf_dir), ID)
+    newest = news.newest_tick(fx.enriched(spark, sf_dir), ID)
+    latest = stage(news.latest_sentiment(
+        news.ticks_with_sentiment(newest, daily_news(spark, sf_dir)), ID), "latest-sentiment")
     return features.build_features(trades(spark, sf_dir), latest, ID, max_rows)
 
 
@@ -212,16 +217,14 @@ def news_daily(spark, sf_dir):
 @query
 def news_tagged(spark, sf_dir):
     """Newest five articles per symbol that mention one of its configured phrases."""
-    return news.tag_articles(fx.articles(spark, sf_dir).drop("symbol")).select(
-        "symbol", "rank", "doc_id", "published_at")
+    return news.tag_articles(fx.articles(spark, sf_dir), keep=("doc_id",)).drop("url")
 
 
 @query
 def news_tagged_common(spark, sf_dir):
     """The same for phrases that nearly every document holds: hot symbols."""
     phrases = {"W-THE": ["the ", " der "], "W-AND": [" and ", " und "], "W-OF": ["Of", "des"], "W-RARE": ["zzz-none"]}
-    return news.tag_articles(fx.articles(spark, sf_dir).drop("symbol"), phrases).select(
-        "symbol", "rank", "doc_id", "published_at")
+    return news.tag_articles(fx.articles(spark, sf_dir), phrases, keep=("doc_id",)).drop("url")
 
 
 @query
@@ -367,15 +370,36 @@ def price_table(spark, sf_dir):
     return dashboard.price_table(latest_trades(spark, sf_dir))
 
 
+def recent_ticks(spark, sf_dir, hours: int):
+    """Ticks of the look-back.  Bars that start inside it hold no earlier ticks, so
+    filtering before the aggregation gives the same bars and reaches the scan."""
+    return dashboard.recent(fx.enriched(spark, sf_dir), "timestamp_parsed", as_of(spark, sf_dir), hours)
+
+
+def recent_bars(spark, sf_dir, hours: int, symbol: str):
+    found = recent_ticks(spark, sf_dir, hours).filter(F.col("symbol") == symbol)
+    built = candles.fact_candles(candles.ohlc(found, tiebreak=ID))
+    return dashboard.chart(built, as_of(spark, sf_dir), hours, symbol)
+
+
+def recent_hours(spark, sf_dir, hours: int):
+    return candles.hourly_metrics(recent_ticks(spark, sf_dir, hours), tiebreak=ID)
+
+
 @query
 def chart_candles(spark, sf_dir):
-    return dashboard.chart(bars(spark, sf_dir), as_of(spark, sf_dir), 24, "S7").select(
+    return recent_bars(spark, sf_dir, 24, "S7").select(
         "symbol", "window_start", "open", "high", "low", "close", "volume", "candle_color")
 
 
 @query
 def chart_stats(spark, sf_dir):
-    return dashboard.chart_stats(dashboard.recent(bars(spark, sf_dir), "window_start", as_of(spark, sf_dir), 24, "S7"))
+    return dashboard.chart_stats(recent_bars(spark, sf_dir, 24, "S7"))
+
+
+@query
+def chart_volume(spark, sf_dir):
+    return dashboard.volume_by_color(recent_bars(spark, sf_dir, 24, "S7"))
 
 
 @query
@@ -402,18 +426,18 @@ def sentiment_table(spark, sf_dir):
 
 @query
 def trading_activity(spark, sf_dir):
-    return dashboard.activity(hourly(spark, sf_dir), as_of(spark, sf_dir))
+    return dashboard.activity(recent_hours(spark, sf_dir, 24), as_of(spark, sf_dir))
 
 
 @query
 def volatility_top10(spark, sf_dir):
     """Ranking over the whole month, so that most symbols have an hour with two ticks."""
-    return dashboard.volatility_ranking(hourly(spark, sf_dir), as_of(spark, sf_dir), hours=24 * 31)
+    return dashboard.volatility_ranking(recent_hours(spark, sf_dir, 24 * 31), as_of(spark, sf_dir), hours=24 * 31)
 
 
 @query
 def anomaly_timeline(spark, sf_dir):
-    return dashboard.anomaly_timeline(hourly(spark, sf_dir), as_of(spark, sf_dir))
+    return dashboard.anomaly_timeline(recent_hours(spark, sf_dir, 24), as_of(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ quality
@@ -545,26 +569,45 @@ def predictions_contract(spark, sf_dir):
     return ml.predictions_table(rule_predictions(spark, sf_dir))
 
 
-def _trained(spark, sf_dir):
+_MODELS: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def trained(spark, sf_dir):
+    """Fitted model and prepared rows; fitted once per session and folder, then loaded back."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _MODELS:
+        rows, model = fresh_path(spark, "features"), fresh_path(spark, "model")
+        ml.prepare(feature_rows(spark, sf_dir)).write.parquet(rows)
+        ml.save(ml.train(ml.split(spark.read.parquet(rows))[0]), model)
+        _MODELS[at] = (model, rows)
+    model, rows = _MODELS[at]
+    return ml.load(model), *ml.split(spark.read.parquet(rows))
+
+
+@query
+def split_sizes(spark, sf_dir):
+    """Class counts of the training and the test set."""
     rows = stage(ml.prepare(feature_rows(spark, sf_dir)), "features")
     fit, held_out = ml.split(rows)
-    return ml.train(fit), fit, held_out
+    return ml.class_distribution(fit).withColumn("dataset", F.lit("train")).unionByName(
+        ml.class_distribution(held_out).withColumn("dataset", F.lit("test")))
 
 
 @query
 def gbt_metrics(spark, sf_dir):
-    model, fit, held_out = _trained(spark, sf_dir)
+    model, fit, held_out = trained(spark, sf_dir)
     return ml.metrics(ml.predict(model, fit), "train").unionByName(ml.metrics(ml.predict(model, held_out), "test"))
 
 
 @query
 def gbt_predictions(spark, sf_dir):
-    model, *_ = _trained(spark, sf_dir)
+    """The newest feature rows, scored."""
+    model, *_ = trained(spark, sf_dir)
     newest = dashboard.newest(feature_rows(spark, sf_dir), settings.SCORED_ROWS, tiebreak="symbol")
     return ml.predictions_table(ml.predict(model, newest))
 
 
 @query
 def gbt_importance(spark, sf_dir):
-    model, *_ = _trained(spark, sf_dir)
+    model, *_ = trained(spark, sf_dir)
     return ml.importance(spark, model)

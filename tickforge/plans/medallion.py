@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickforge.operators import facts, features, news
 from tickforge.plans import warehouse
+from tickforge.session import stage
 from tickforge.sinks.lake import overwrite
 from tickforge.sources.lake import batch_table, snapshot
 from tickforge.streaming.jobs import Lake, drain, ingest, refine, serve
@@ -17,7 +18,7 @@ def refresh_sentiment(spark: SparkSession, lake: Lake) -> None:
     """Rebuild ticks-with-sentiment from the cleaned tables."""
     ticks = batch_table(spark, lake.table("silver", "stock_prices_enriched"), lake.fmt)
     cleaned = batch_table(spark, lake.table("silver", "news_sentiment_clean"), lake.fmt)
-    overwrite(news.ticks_with_sentiment(ticks, news.daily(cleaned)),
+    overwrite(news.ticks_with_sentiment(ticks, stage(news.daily(cleaned), "daily-news")),
               lake.table("gold", "stock_with_sentiment"), lake.fmt)
 
 
@@ -29,7 +30,7 @@ def refresh_features(spark: SparkSession, lake: Lake, tiebreak: str = "offset")
     """Rebuild the feature table from trade facts and the newest sentiment per symbol."""
     trades = batch_table(spark, lake.table("gold", "fact_stock_trades"), lake.fmt)
     sentiment = snapshot(spark, lake.table("gold", "stock_with_sentiment"), lake.fmt)
-    latest = news.latest_sentiment(sentiment, tiebreak)
+    latest = stage(news.latest_sentiment(sentiment, tiebreak), "latest-sentiment")
     overwrite(features.build_features(trades, latest, tiebreak), lake.table("ml", "features"), lake.fmt)
 
 

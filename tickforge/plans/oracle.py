@@ -6,10 +6,14 @@ Written from the definitions, in plain window and join SQL, over the supplied ta
 from __future__ import annotations
 
 from tickforge import settings
-from tickforge.functions.text import WORD
 from tickforge.sources.fixtures import COMMON_NEGATIVE, COMMON_POSITIVE
 
 
+#: A run of characters outside Unicode white space, spelled out for RE2.
+WORD = (r"[^\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+        r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+")
+
+
 def _round(x: str, places: int) -> str:
     """Correctly rounded decimal of a double (the formatter rounds the binary value)."""
     return f"CAST(format('{{:.{places}f}}', CAST({x} AS DOUBLE)) AS DOUBLE)"
@@ -352,6 +356,7 @@ LEFT JOIN (SELECT symbol, round(avg(news_sentiment), 6) AS avg_sentiment_24h,
     "chart_candles": f"SELECT symbol, window_start, open, high, low, close, volume, candle_color {_RECENT_BARS}",
     "chart_stats": "SELECT arg_max(close, window_start) AS current_price, max(high) AS range_high, "
                    f"min(low) AS range_low, CAST(sum(volume) AS BIGINT) AS total_volume {_RECENT_BARS}",
+    "chart_volume": f"SELECT window_start, volume, candle_color {_RECENT_BARS}",
     "newest_sentiment": f"SELECT {_BASE}, price, price_change_pct, {_MEASURES} FROM sentiment "
                         "ORDER BY timestamp_parsed DESC, event_id DESC LIMIT 500",
     "sentiment_dist": "SELECT symbol, news_sentiment, count(*) AS count FROM sentiment GROUP BY symbol, news_sentiment",

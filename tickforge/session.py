@@ -14,11 +14,25 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # the JVM does not compile methods beyond 8000 bytecodes: a stage whose fused code is
+    # larger runs several times slower than the same stage generated per operator
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
+#: The part of :data:`DEFAULTS` that may change in a running session.
+RUNTIME = ["spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"]
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session somebody else built."""
+    for key in RUNTIME:
+        spark.conf.set(key, DEFAULTS[key])
+    return spark
+
+
 def build_session(app: str = "tickforge", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

@@ -27,18 +27,22 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quotes(events: DataFrame) -> DataFrame:
     """Raw quotes: unrounded levels, some prices and previous closes missing or zero."""
-    eid, k = F.col("event_id"), F.get_json_object("props", "$.k").cast("bigint")
-    listing = F.col("user_id") % 3
-    price = F.when(eid % 97 != 0, F.when(eid % 89 == 0, F.lit(0.0)).otherwise(F.col("value") + 2000))
-    prev = F.when(eid % 61 != 0, F.when(eid % 67 == 0, F.lit(0.0)).otherwise(k + F.lit(2000.07)))
+    eid, k, listing, price = F.col("event_id"), F.col("_k"), F.col("_listing"), F.col("price")
     symbol = F.concat(F.lit("S"), F.col("user_id").cast("string"))
-    return events.select(
+    # values used more than once are computed in a projection of their own
+    parsed = events.withColumns({
+        "_k": F.get_json_object("props", "$.k").cast("bigint"),
+        "_listing": F.col("user_id") % 3,
+        "price": F.when(eid % 97 != 0, F.when(eid % 89 == 0, F.lit(0.0)).otherwise(F.col("value") + 2000)),
+    })
+    return parsed.select(
         "event_id", "event_type", symbol.alias("symbol"), symbol.alias("name"),
         F.concat(F.lit("sector"), (F.col("user_id") % 5).cast("string")).alias("sector"),
         F.when(listing == 0, "NSE").when(listing == 1, "NYSE").otherwise("Crypto").alias("exchange"),
         F.when(listing == 0, "INR").otherwise("USD").alias("currency"),
-        price.alias("price"), (F.lit(2000.0) + k / 2).alias("open"),
-        (price + 1.25).alias("day_high"), (price - 1.25).alias("day_low"), prev.alias("prev_close"),
+        price, (F.lit(2000.0) + k / 2).alias("open"),
+        (price + 1.25).alias("day_high"), (price - 1.25).alias("day_low"),
+        F.when(eid % 61 != 0, F.when(eid % 67 == 0, F.lit(0.0)).otherwise(k + F.lit(2000.07))).alias("prev_close"),
         (k * 20000).alias("volume"), F.col("ts").alias("timestamp"),
     )
 
