@@ -6,18 +6,17 @@ from pyspark.sql import Column, functions as F
 
 
 def round_exact(x: Column, places: int) -> Column:
-    """Correctly rounded decimal of the binary value, ties to even.
+    """The decimal nearest to the binary value, ties to even.
 
-    ``F.round`` and ``F.bround`` both work on the shortest decimal text of a double,
-    so they differ from correct rounding near ties (2.675, 0.15625).  Away from a tie
-    plain arithmetic is already exact; only values close to one, or too large for
-    it, take the formatter, which rounds the exact binary value.
+    ``F.round`` and ``F.bround`` work on the shortest decimal text of a double, so they
+    differ from this near ties (2.675, 0.15625).  Here ``x * 10^places`` is rounded; only
+    if that product lands exactly on a half can its own rounding error decide.  Then the
+    error is recovered exactly from two short factors (the float part of ``x`` and the
+    rest), and its sign moves the product off the half.
     """
-    scale = 10.0 ** places
-    scaled = x * F.lit(scale)
-    nearest = F.rint(scaled)
-    # NaN compares as larger than any number, so it takes the formatter too
-    delicate = (F.abs(scaled - nearest) > 0.499) | (F.abs(nearest) > 1e11)
-    pattern = "0." + "0" * places if places else "0"
-    exact = F.call_function("format_number", x, F.lit(pattern)).try_cast("double")
-    return F.when(delicate, exact).otherwise(nearest / F.lit(scale))
+    scale = F.lit(10.0 ** places)
+    product = x * scale
+    high = x.cast("float").cast("double")
+    error = (high * scale - product) + (x - high) * scale
+    on_half = F.abs(product % F.lit(1.0)) == 0.5
+    return F.rint(F.when(on_half, product + F.signum(error) * 0.25).otherwise(product)) / scale
