@@ -12,6 +12,7 @@ from tickforge import schemas, settings
 from tickforge.session import shared_dir
 
 LABEL = "target"
+IDENTITY = ("symbol", "timestamp_parsed")
 
 
 # ----------------------------------------------------------------- training
@@ -22,7 +23,7 @@ def prepare(features: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def split(df: DataFrame, test_share: float = 0.2, seed: int = 42,
-          identity: tuple[str, ...] = ("symbol", "timestamp_parsed")) -> tuple[DataFrame, DataFrame]:
+          identity: tuple[str, ...] = IDENTITY) -> tuple[DataFrame, DataFrame]:
     """Stratified split that a recomputed partition cannot change.
 
     Each row draws from a hash of its identity; within each class the rows below that
@@ -39,9 +40,16 @@ def split(df: DataFrame, test_share: float = 0.2, seed: int = 42,
 
 def train(rows: DataFrame, columns: list[str] | None = None, trees: int = 100, depth: int = 5,
           rate: float = 0.1, seed: int = 42) -> PipelineModel:
-    """Gradient-boosted trees; every tenth round is checkpointed to the shared folder."""
+    """Gradient-boosted trees; every tenth round is checkpointed to the shared folder.
+
+    Training passes over the rows hundreds of times, so rows held in fewer partitions than
+    the cluster has cores are spread once beforehand.
+    """
     columns = columns or settings.FEATURE_COLUMNS
-    rows.sparkSession.sparkContext.setCheckpointDir(shared_dir(rows.sparkSession))
+    context = rows.sparkSession.sparkContext
+    context.setCheckpointDir(shared_dir(rows.sparkSession))
+    if rows.rdd.getNumPartitions() < context.defaultParallelism:
+        rows = rows.repartition(context.defaultParallelism, *IDENTITY).sortWithinPartitions(*IDENTITY)
     return Pipeline(stages=[
         VectorAssembler(inputCols=columns, outputCol="vector", handleInvalid="skip"),
         GBTClassifier(featuresCol="vector", labelCol=LABEL, maxIter=trees, maxDepth=depth,
@@ -61,12 +69,13 @@ def feature_columns(model: PipelineModel) -> list[str]:
     return model.stages[0].getInputCols()
 
 
-def importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """One row per feature, most important first."""
+def importance(spark: SparkSession, model: PipelineModel, top: int | None = None) -> DataFrame:
+    """One row per feature, most important first; optionally only the ``top`` ones."""
     weights = model.stages[-1].featureImportances.toArray().tolist()
     rows = list(zip(feature_columns(model), weights))
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(
+    ranked = spark.createDataFrame(rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature")
+    return ranked if top is None else ranked.limit(top)
 
 
 # ------------------------------------------------------------------ scoring

@@ -24,17 +24,28 @@ BASE = ["event_id", "symbol", "timestamp_parsed"]
 
 
 def query(fn: Query) -> Query:
-    """Register ``fn``; its result is brought to comparable form (see :func:`tidy`)."""
+    """Register ``fn``; sums and quotients are shown to 6 places, as their last digits
+    depend on the order of summation."""
+    return _register(fn, {"double": lambda c: F.round(c, 6), **_NO_ZONE})
+
+
+def exact(fn: Query) -> Query:
+    """Register ``fn``, whose numbers are exact as they are."""
+    return _register(fn, _NO_ZONE)
+
+
+_NO_ZONE = {"timestamp": lambda c: c.cast("timestamp_ntz")}
+
+
+def _register(fn: Query, shown: dict) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return tidy(fn(prepare(spark), sf_dir))
+        return tidy(fn(prepare(spark), sf_dir), shown)
 
     QUERIES[fn.__name__] = run
     return run
 
 
-def tidy(df: DataFrame) -> DataFrame:
-    """Doubles to 6 places (summation order differs between engines), times without a zone."""
-    shown = {"double": lambda c: F.round(c, 6), "timestamp": lambda c: c.cast("timestamp_ntz")}
+def tidy(df: DataFrame, shown: dict) -> DataFrame:
     return df.select([
         shown.get(kind, lambda c: c)(F.col(f"`{name}`")).alias(name) for name, kind in df.dtypes
     ])
@@ -67,10 +78,12 @@ def sentiment(spark, sf_dir):
 
 
 def feature_rows(spark, sf_dir, max_rows: int = ordered.MAX_ROWS):
-    newest = news.newest_tick(fx.enriched(spark, sf_dir), ID)
+    """The feature table; trade facts are stored first, as in the chain, and then scanned."""
+    stored = stage(trades(spark, sf_dir), "trades")
+    newest = news.newest_tick(stored.withColumnRenamed("trade_date", "date_parsed"), ID)
     latest = stage(news.latest_sentiment(
         news.ticks_with_sentiment(newest, daily_news(spark, sf_dir)), ID), "latest-sentiment")
-    return features.build_features(trades(spark, sf_dir), latest, ID, max_rows)
+    return features.build_features(stored, latest, ID, max_rows)
 
 
 def latest_trades(spark, sf_dir):
@@ -87,43 +100,43 @@ def rule_predictions(spark, sf_dir):
 
 # -------------------------------------------------------------------- ticks
 
-@query
+@exact
 def ticks_built(spark, sf_dir):
     built = fx.stock_ticks(fx.table(spark, sf_dir, "events"))
     return ticks.publishable(built).drop("event_type")
 
 
-@query
+@exact
 def crypto_built(spark, sf_dir):
     return ticks.publishable(fx.crypto_ticks(fx.table(spark, sf_dir, "events"))).drop("event_type")
 
 
-@query
+@exact
 def crypto_enriched(spark, sf_dir):
     built = fx.crypto_ticks(fx.table(spark, sf_dir, "events"))
     return ticks.enrich(built).select(*BASE, "price", "volume", "market_cap", "price_direction",
                                       "is_price_spike", "is_high_volume", "volatility", "is_anomaly")
 
 
-@query
+@exact
 def metadata_lookup(spark, sf_dir):
     raw = fx.stock_ticks(fx.table(spark, sf_dir, "events"))
     tagged = ticks.with_metadata(raw, fx.dimension(spark, sf_dir))
     return tagged.select(ID, "symbol", "name", "sector", "exchange", "currency", "price")
 
 
-@query
+@exact
 def market_open(spark, sf_dir):
     return fx.stock_ticks(fx.table(spark, sf_dir, "events")).groupBy("exchange", "market_hours").agg(
         F.count("*").alias("ticks"), F.min("timestamp").alias("first_tick"), F.max("timestamp").alias("last_tick"))
 
 
-@query
+@exact
 def ticks_enriched(spark, sf_dir):
     return fx.enriched(spark, sf_dir).drop("event_type", "timestamp")
 
 
-@query
+@exact
 def wire_roundtrip(spark, sf_dir):
     """Ticks as keyed JSON messages with ISO text times, decoded, stored raw and enriched.
 
@@ -158,7 +171,7 @@ def news_messages(spark, sf_dir) -> DataFrame:
     return sink.messages(wire, settings.TOPICS["news"], payload=payload, at=F.col("_at"), offset=F.col("doc_id"))
 
 
-@query
+@exact
 def anomalies(spark, sf_dir):
     return ticks.anomalies(fx.enriched(spark, sf_dir)).select(
         *BASE, "price", "price_change_pct", "is_price_spike", "is_high_volume", "volatility", "price_direction")
@@ -189,20 +202,20 @@ def fact_candles(spark, sf_dir):
     return bars(spark, sf_dir)
 
 
-@query
+@exact
 def fact_trades(spark, sf_dir):
     return trades(spark, sf_dir)
 
 
 # --------------------------------------------------------------------- news
 
-@query
+@exact
 def news_scored(spark, sf_dir):
     return news.score(fx.articles(spark, sf_dir)).select(
         "doc_id", "symbol", "sentiment_score", "sentiment_label", "positive_words", "negative_words")
 
 
-@query
+@exact
 def news_clean(spark, sf_dir):
     return fx.clean_news(spark, sf_dir).select(
         "doc_id", "symbol", "timestamp_parsed", "date_parsed", "sentiment_score", "sentiment_label",
@@ -214,13 +227,13 @@ def news_daily(spark, sf_dir):
     return news.daily(fx.clean_news(spark, sf_dir))
 
 
-@query
+@exact
 def news_tagged(spark, sf_dir):
     """Newest five articles per symbol that mention one of its configured phrases."""
     return news.tag_articles(fx.articles(spark, sf_dir), keep=("doc_id",)).drop("url")
 
 
-@query
+@exact
 def news_tagged_common(spark, sf_dir):
     """The same for phrases that nearly every document holds: hot symbols."""
     phrases = {"W-THE": ["the ", " der "], "W-AND": [" and ", " und "], "W-OF": ["Of", "des"], "W-RARE": ["zzz-none"]}
@@ -239,7 +252,7 @@ def sentiment_latest(spark, sf_dir):
 
 # ------------------------------------------------------------ staging, marts
 
-@query
+@exact
 def stg_trades(spark, sf_dir):
     return marts.stg_stock_trades(trades(spark, sf_dir), keep=(ID,))
 
@@ -254,7 +267,7 @@ def stg_sentiment(spark, sf_dir):
     return marts.stg_sentiment(sentiment(spark, sf_dir))
 
 
-@query
+@exact
 def dim_current(spark, sf_dir):
     return marts.stg_dim_stocks(fx.dimension(spark, sf_dir))
 
@@ -266,18 +279,18 @@ def daily_performance(spark, sf_dir):
 
 @query
 def stock_metrics_24h(spark, sf_dir):
-    return marts.stock_metrics(marts.stg_ohlc_candles(bars(spark, sf_dir)),
+    return marts.stock_metrics(marts.stg_ohlc_candles(stage(bars(spark, sf_dir), "candles")),
                                marts.stg_sentiment(sentiment(spark, sf_dir)), as_of(spark, sf_dir))
 
 
-@query
+@exact
 def dim_enhanced(spark, sf_dir):
     staged = marts.stg_stock_trades(trades(spark, sf_dir), keep=(ID,))
     return marts.dim_stocks_enhanced(marts.stg_dim_stocks(fx.dimension(spark, sf_dir)), staged,
                                      as_of(spark, sf_dir), ID)
 
 
-@query
+@exact
 def contract_trades(spark, sf_dir):
     """Trade facts in the declared warehouse contract."""
     return schemas.conform(trades(spark, sf_dir), schemas.WAREHOUSE_DDL["raw.stock_trades"],
@@ -291,7 +304,7 @@ def _indicator(spark, sf_dir, compute, before, after=0, max_rows=ordered.MAX_ROW
                                  before=before, after=after, max_rows=max_rows)
 
 
-@query
+@exact
 def price_lags(spark, sf_dir):
     return _indicator(spark, sf_dir, features.price_lags, 5).select(
         *BASE, "price_lag_1", "price_lag_2", "price_lag_3", "price_lag_5")
@@ -310,6 +323,18 @@ def rsi(spark, sf_dir):
 
 
 @query
+def indicator_ratios(spark, sf_dir):
+    """Momentum, step change, volume ratio and Bollinger position of every tick."""
+    return _indicator(spark, sf_dir, features.indicators, features.LONGEST_FRAME, 1).select(
+        *BASE, "volume_ratio", "momentum_5", "price_change_1", "price_change_pct_1", "bb_position")
+
+
+@exact
+def calendar_features(spark, sf_dir):
+    return features.calendar(trades(spark, sf_dir)).select(*BASE, "hour", "day_of_week", "is_market_open_hour")
+
+
+@exact
 def next_move(spark, sf_dir):
     return _indicator(spark, sf_dir, features.next_move, 0, 1).select(*BASE, "price", "price_next", "target")
 
@@ -325,20 +350,20 @@ def feature_table_split(spark, sf_dir):
     return feature_rows(spark, sf_dir, max_rows=25)
 
 
-@query
+@exact
 def class_distribution(spark, sf_dir):
     return ml.class_distribution(feature_rows(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- dashboards
 
-@query
+@exact
 def newest_trades(spark, sf_dir):
     return dashboard.newest(trades(spark, sf_dir), settings.SCORED_ROWS, tiebreak=ID).select(
         *BASE, "price", "price_change_pct")
 
 
-@query
+@exact
 def latest_per_symbol(spark, sf_dir):
     return latest_trades(spark, sf_dir)
 
@@ -348,13 +373,13 @@ def market_kpis(spark, sf_dir):
     return dashboard.market_kpis(latest_trades(spark, sf_dir))
 
 
-@query
+@exact
 def top_gainers(spark, sf_dir):
     return dashboard.top(latest_trades(spark, sf_dir), "price_change_pct", 5).select(
         "symbol", "price", "price_change_pct", "sector")
 
 
-@query
+@exact
 def top_losers(spark, sf_dir):
     return dashboard.top(latest_trades(spark, sf_dir), "price_change_pct", 5, ascending=True).select(
         "symbol", "price", "price_change_pct", "sector")
@@ -365,7 +390,7 @@ def sector_rollup(spark, sf_dir):
     return dashboard.sector_map(latest_trades(spark, sf_dir))
 
 
-@query
+@exact
 def price_table(spark, sf_dir):
     return dashboard.price_table(latest_trades(spark, sf_dir))
 
@@ -386,18 +411,18 @@ def recent_hours(spark, sf_dir, hours: int):
     return candles.hourly_metrics(recent_ticks(spark, sf_dir, hours), tiebreak=ID)
 
 
-@query
+@exact
 def chart_candles(spark, sf_dir):
     return recent_bars(spark, sf_dir, 24, "S7").select(
         "symbol", "window_start", "open", "high", "low", "close", "volume", "candle_color")
 
 
-@query
+@exact
 def chart_stats(spark, sf_dir):
     return dashboard.chart_stats(recent_bars(spark, sf_dir, 24, "S7"))
 
 
-@query
+@exact
 def chart_volume(spark, sf_dir):
     return dashboard.volume_by_color(recent_bars(spark, sf_dir, 24, "S7"))
 
@@ -424,7 +449,7 @@ def sentiment_table(spark, sf_dir):
     return dashboard.sentiment_table(sentiment(spark, sf_dir), ID)
 
 
-@query
+@exact
 def trading_activity(spark, sf_dir):
     return dashboard.activity(recent_hours(spark, sf_dir, 24), as_of(spark, sf_dir))
 
@@ -435,35 +460,38 @@ def volatility_top10(spark, sf_dir):
     return dashboard.volatility_ranking(recent_hours(spark, sf_dir, 24 * 31), as_of(spark, sf_dir), hours=24 * 31)
 
 
-@query
+@exact
 def anomaly_timeline(spark, sf_dir):
     return dashboard.anomaly_timeline(recent_hours(spark, sf_dir, 24), as_of(spark, sf_dir))
 
 
 # ------------------------------------------------------------------ quality
 
-@query
+@exact
 def dq_tests(spark, sf_dir):
     dim, facts_ = fx.dimension(spark, sf_dir), trades(spark, sf_dir)
+    stored = stage(bars(spark, sf_dir), "candles")
     staged = marts.stg_stock_trades(facts_, keep=(ID,))
     built = fx.stock_ticks(fx.table(spark, sf_dir, "events")).withColumnRenamed("timestamp", "timestamp_parsed")
     return quality.run_tests({
         "stock_trades": built,   # before validation, so that the price test finds NULLs
-        "ohlc_candles": bars(spark, sf_dir),
+        "ohlc_candles": stored,
         "dim_stocks": dim,
         "stg_stock_trades": staged,
         "fct_daily_performance": marts.daily_performance(staged, ID),
+        "fct_stock_metrics": marts.stock_metrics(
+            marts.stg_ohlc_candles(stored), marts.stg_sentiment(sentiment(spark, sf_dir)), as_of(spark, sf_dir)),
         "dim_stocks_enhanced": marts.dim_stocks_enhanced(dim, staged, as_of(spark, sf_dir), ID),
     })
 
 
-@query
+@exact
 def dq_duplicates(spark, sf_dir):
     """Uniqueness test on a column that does repeat."""
     return quality.unique(trades(spark, sf_dir), "fact_trades", "symbol")
 
 
-@query
+@exact
 def layer_profile(spark, sf_dir):
     return quality.profile(fx.stock_ticks(fx.table(spark, sf_dir, "events")), "stock_prices").unionByName(
         quality.profile(fx.enriched(spark, sf_dir), "stock_prices_enriched")).unionByName(
@@ -478,7 +506,7 @@ def _drained(spark, df: DataFrame, label: str) -> DataFrame:
     return batch_table(spark, out)
 
 
-@query
+@exact
 def stream_enriched(spark, sf_dir):
     live = ticks.enrich(fx.stock_ticks(fx.event_stream(spark, sf_dir)))
     return _drained(spark, live.select(*BASE, "price", "volume", "price_direction", "is_anomaly"), "enriched")
@@ -497,7 +525,7 @@ def stream_hourly(spark, sf_dir):
     return _drained(spark, jobs.stream_hourly(live, tiebreak=ID), "hourly")
 
 
-@query
+@exact
 def stream_json_decode(spark, sf_dir):
     """Ticks written as JSON envelopes, read back as a topic stream, decoded and enriched."""
     folder = fresh_path(spark, "topic")
@@ -534,7 +562,7 @@ def run_chain(spark, sf_dir) -> jobs.Lake:
 
 # ----------------------------------------------------------------------- ml
 
-@query
+@exact
 def confusion_matrix(spark, sf_dir):
     return ml.confusion_matrix(rule_predictions(spark, sf_dir))
 
@@ -549,12 +577,12 @@ def accuracy_by_symbol(spark, sf_dir):
     return ml.accuracy_by_symbol(rule_predictions(spark, sf_dir))
 
 
-@query
+@exact
 def prediction_dist(spark, sf_dir):
     return ml.prediction_distribution(rule_predictions(spark, sf_dir))
 
 
-@query
+@exact
 def confidence_hist(spark, sf_dir):
     return ml.confidence_histogram(rule_predictions(spark, sf_dir))
 

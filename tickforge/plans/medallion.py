@@ -29,6 +29,7 @@ def refresh_dimension(spark: SparkSession, lake: Lake, valid_from: datetime) ->
 def refresh_features(spark: SparkSession, lake: Lake, tiebreak: str = "offset") -> None:
     """Rebuild the feature table from trade facts and the newest sentiment per symbol."""
     trades = batch_table(spark, lake.table("gold", "fact_stock_trades"), lake.fmt)
+    trades = trades.withColumnRenamed("trade_timestamp", "timestamp_parsed")   # name in older tables
     sentiment = snapshot(spark, lake.table("gold", "stock_with_sentiment"), lake.fmt)
     latest = stage(news.latest_sentiment(sentiment, tiebreak), "latest-sentiment")
     overwrite(features.build_features(trades, latest, tiebreak), lake.table("ml", "features"), lake.fmt)

@@ -75,6 +75,8 @@ _STOCK_LEVELS = ["open", "day_high", "day_low", "prev_close"]
 _OPEN = """(weekday(timestamp) BETWEEN 1 AND 5 AND (exchange = 'Crypto' OR
             (hour(timestamp) >= 9 AND hour(timestamp) < CASE WHEN exchange = 'NSE' THEN 16 ELSE 17 END)))"""
 
+_AFTER = "(SELECT now FROM as_of) - INTERVAL '{} hours'"
+
 #: Named steps; each may use the ones before it.
 STEPS = {
     "as_of": "SELECT max(ts) AS now FROM events",
@@ -150,6 +152,20 @@ STEPS = {
          round(CASE WHEN news_count > 0 THEN positive_news_count::DOUBLE / news_count * 100 ELSE 0 END, 6)
            AS positive_ratio
   FROM sentiment WHERE news_sentiment IS NOT NULL""",
+    "metrics24": f"""
+  SELECT m.*, c.close AS current_price,
+    coalesce(s.avg_sentiment_24h, 0) AS avg_sentiment_24h, coalesce(s.total_news_24h, 0) AS total_news_24h,
+    coalesce(s.avg_positive_ratio, 0) AS avg_positive_ratio
+  FROM (SELECT symbol, max(sector) AS sector, max(exchange) AS exchange, count(*) AS candle_count_24h,
+          round(avg(close), 6) AS avg_price_24h, round(stddev_samp(close), 6) AS price_volatility_24h,
+          CAST(sum(volume) AS BIGINT) AS total_volume_24h, max(high) AS high_24h, min(low) AS low_24h
+        FROM stg_candles WHERE window_start >= {_AFTER.format(24)} GROUP BY symbol) m
+  LEFT JOIN (SELECT symbol, close, row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) AS rn
+             FROM stg_candles) c ON m.symbol = c.symbol AND c.rn = 1
+  LEFT JOIN (SELECT symbol, round(avg(news_sentiment), 6) AS avg_sentiment_24h,
+               CAST(sum(news_count) AS BIGINT) AS total_news_24h, round(avg(positive_ratio), 6) AS avg_positive_ratio
+             FROM stg_sentiment WHERE timestamp_parsed >= {_AFTER.format(24)} GROUP BY symbol) s
+    ON m.symbol = s.symbol""",
     "dim": """
   SELECT 'S' || c_custkey AS symbol, c_name AS name, c_mktsegment AS sector, n_name AS exchange,
          r_name AS currency, true AS is_current, TIMESTAMP '2024-01-01' AS valid_from,
@@ -246,7 +262,6 @@ def _steps_for(select: str) -> str:
 
 
 _BASE = "event_id, symbol, timestamp_parsed"
-_AFTER = "(SELECT now FROM as_of) - INTERVAL '{} hours'"
 _TAG = """SELECT symbol, rank, doc_id, published_at FROM (
   SELECT symbol, doc_id, published_at,
          CAST(row_number() OVER (PARTITION BY symbol ORDER BY published_at DESC, doc_id DESC) AS INTEGER) AS rank
@@ -310,19 +325,7 @@ _SELECTS = {
     "stg_sentiment": "SELECT * FROM stg_sentiment",
     "dim_current": "SELECT * FROM dim WHERE is_current",
     "daily_performance": "SELECT * FROM performance",
-    "stock_metrics_24h": f"""SELECT m.*, c.close AS current_price,
-  coalesce(s.avg_sentiment_24h, 0) AS avg_sentiment_24h, coalesce(s.total_news_24h, 0) AS total_news_24h,
-  coalesce(s.avg_positive_ratio, 0) AS avg_positive_ratio
-FROM (SELECT symbol, max(sector) AS sector, max(exchange) AS exchange, count(*) AS candle_count_24h,
-        round(avg(close), 6) AS avg_price_24h, round(stddev_samp(close), 6) AS price_volatility_24h,
-        CAST(sum(volume) AS BIGINT) AS total_volume_24h, max(high) AS high_24h, min(low) AS low_24h
-      FROM stg_candles WHERE window_start >= {_AFTER.format(24)} GROUP BY symbol) m
-LEFT JOIN (SELECT symbol, close, row_number() OVER (PARTITION BY symbol ORDER BY window_start DESC) AS rn
-           FROM stg_candles) c ON m.symbol = c.symbol AND c.rn = 1
-LEFT JOIN (SELECT symbol, round(avg(news_sentiment), 6) AS avg_sentiment_24h,
-             CAST(sum(news_count) AS BIGINT) AS total_news_24h, round(avg(positive_ratio), 6) AS avg_positive_ratio
-           FROM stg_sentiment WHERE timestamp_parsed >= {_AFTER.format(24)} GROUP BY symbol) s
-  ON m.symbol = s.symbol""",
+    "stock_metrics_24h": "SELECT * FROM metrics24",
     "dim_enhanced": "SELECT * FROM enhanced",
     "contract_trades": "SELECT * EXCLUDE (event_id), CAST(NULL AS VARCHAR) AS source, "
                        "CAST(NULL AS TIMESTAMP) AS loaded_at FROM trades",
@@ -332,6 +335,15 @@ LEFT JOIN (SELECT symbol, round(avg(news_sentiment), 6) AS avg_sentiment_24h,
         ["price_ma_5", "price_ma_10", "price_ma_20", "price_std_5", "price_std_10", "volume_ma_5"]) + " FROM lags",
     "rsi": f"SELECT {_BASE}, round(avg_gain, 6) AS avg_gain, round(avg_loss, 6) AS avg_loss, round(rsi, 6) AS rsi "
            "FROM strength",
+    "indicator_ratios": f"""SELECT {_BASE},
+  round(CASE WHEN volume_ma_5 > 0 THEN volume / volume_ma_5 ELSE 1 END, 6) AS volume_ratio,
+  round(CASE WHEN price_lag_5 <> 0 THEN (price - price_lag_5) / price_lag_5 * 100 ELSE 0 END, 6) AS momentum_5,
+  round(price - price_lag_1, 6) AS price_change_1,
+  round(CASE WHEN price_lag_1 <> 0 THEN (price - price_lag_1) / price_lag_1 * 100 ELSE 0 END, 6) AS price_change_pct_1,
+  round(CASE WHEN price_std_10 > 0 THEN (price - price_ma_20) / price_std_10 ELSE 0 END, 6) AS bb_position FROM lags""",
+    "calendar_features": f"SELECT {_BASE}, CAST(hour(timestamp_parsed) AS INTEGER) AS hour, "
+                         "CAST(dayofweek(timestamp_parsed) + 1 AS INTEGER) AS day_of_week, "
+                         "CAST(hour(timestamp_parsed) BETWEEN 9 AND 16 AS INTEGER) AS is_market_open_hour FROM trades",
     "next_move": f"SELECT {_BASE}, price, price_next, CASE WHEN price_next > price THEN 1 WHEN price_next < price "
                  "THEN 0 END AS target FROM lags",
     "feature_table": _FEATURE_SQL,
@@ -382,8 +394,10 @@ WHERE price_stddev IS NOT NULL ORDER BY price_stddev DESC, symbol LIMIT 10""",
             ("stg_stock_trades", "symbol", "trades"), ("stg_stock_trades", "price", "trades"),
             ("fct_daily_performance", "symbol", "performance"),
             ("fct_daily_performance", "trade_date", "performance"),
+            ("fct_stock_metrics", "symbol", "metrics24"),
             ("dim_stocks_enhanced", "symbol", "enhanced")]
-    ] + [_UNIQUE.format(t=t, c="symbol", s=s) for t, s in [("dim_stocks", "dim"), ("dim_stocks_enhanced", "enhanced")]]),
+    ] + [_UNIQUE.format(t=t, c="symbol", s=s) for t, s in [
+        ("dim_stocks", "dim"), ("fct_stock_metrics", "metrics24"), ("dim_stocks_enhanced", "enhanced")]]),
     "dq_duplicates": _UNIQUE.format(t="fact_trades", c="symbol", s="trades"),
     "layer_profile": """SELECT 'stock_prices' AS table_name, count(*) AS total_rows, CAST(NULL AS BIGINT) AS anomalies FROM ticks
 UNION ALL SELECT 'stock_prices_enriched', count(*), count(*) FILTER (WHERE is_anomaly) FROM enriched
