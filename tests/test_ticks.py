@@ -91,3 +91,12 @@ def test_sector_map_without_volume(spark):
                                "sector string, symbol string, price_change_pct double, volume bigint")
     got = {(r.sector, r.symbol): (r.total_volume, r.weighted_change_pct) for r in dashboard.sector_map(df).collect()}
     assert got[("s1", None)] == (0, None) and got[("s2", None)] == (40, 3.25) and got[(None, None)] == (40, 3.25)
+
+
+@pytest.mark.parametrize("n", [1, 3, 4, 7, 50])
+def test_newest_reads_only_the_last_days(spark, n):
+    rows = [(i, "A", at(d * 86400 + i), float(i + 1), 0.0, 0.0, 1) for i, d in enumerate([0, 0, 0, 1, 4, 4, 4])]
+    df = ticks.enrich(tick_frame(spark, rows), ts="ts")
+    whole = dashboard.newest(df, n, tiebreak="event_id")
+    pruned = dashboard.newest(df, n, tiebreak="event_id", day="date_parsed")
+    assert [r.event_id for r in pruned.collect()] == [r.event_id for r in whole.collect()] == list(range(6, 6 - min(n, 7), -1))

@@ -2,19 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickforge.functions.clock import order_key, since
 
 
 # ------------------------------------------------------------------- shared
 
-def newest(df: DataFrame, n: int, ts: str = "timestamp_parsed", tiebreak: str | None = None) -> DataFrame:
-    """The ``n`` newest rows: every task keeps ``n``, nothing is sorted globally."""
+def newest(df: DataFrame, n: int, ts: str = "timestamp_parsed", tiebreak: str | None = None,
+           day: str | None = None) -> DataFrame:
+    """The ``n`` newest rows: every task keeps ``n``, nothing is sorted globally.
+
+    With many thousand tasks even ``n`` rows from each are too many for the task that
+    merges them.  Given the ``day`` column of a partitioned table, only the last days that
+    hold ``n`` rows are read.
+    """
+    if day is not None:
+        df = df.filter(F.col(day) >= _first_day_needed(df, n, day))
     order = [F.desc(ts)] + ([F.desc(tiebreak)] if tiebreak else [])
     return df.orderBy(*order).limit(n)
 
 
+def _first_day_needed(df: DataFrame, n: int, day: str) -> Column:
+    """Latest day such that it and the days after it hold at least ``n`` rows."""
+    counts = df.filter(F.col(day).isNotNull()).groupBy(day).count()   # one row per day
+    covered = counts.withColumn("_covered", F.sum("count").over(Window.orderBy(F.desc(day))))
+    found = covered.agg(F.max(F.when(F.col("_covered") >= n, F.col(day))), F.min(day)).first()
+    return F.lit(found[0] or found[1])
+
+
 def latest_per_symbol(df: DataFrame, columns: list[str], ts: str = "timestamp_parsed",
                       tiebreak: str | None = None) -> DataFrame:
     """Per symbol the newest non-NULL value of each column.

@@ -13,6 +13,7 @@ from tickforge.session import shared_dir
 
 LABEL = "target"
 IDENTITY = ("symbol", "timestamp_parsed")
+ROWS_PER_TASK = 20_000   # below this, starting a task costs more than its share of a pass
 
 
 # ----------------------------------------------------------------- training
@@ -42,14 +43,15 @@ def train(rows: DataFrame, columns: list[str] | None = None, trees: int = 100, d
           rate: float = 0.1, seed: int = 42) -> PipelineModel:
     """Gradient-boosted trees; every tenth round is checkpointed to the shared folder.
 
-    Training passes over the rows hundreds of times, so rows held in fewer partitions than
-    the cluster has cores are spread once beforehand.
+    Training passes over the rows hundreds of times, so a table of few large files is
+    spread once over the cores beforehand.
     """
     columns = columns or settings.FEATURE_COLUMNS
     context = rows.sparkSession.sparkContext
     context.setCheckpointDir(shared_dir(rows.sparkSession))
-    if rows.rdd.getNumPartitions() < context.defaultParallelism:
-        rows = rows.repartition(context.defaultParallelism, *IDENTITY).sortWithinPartitions(*IDENTITY)
+    useful = min(context.defaultParallelism, rows.count() // ROWS_PER_TASK)
+    if rows.rdd.getNumPartitions() < useful:
+        rows = rows.repartition(useful, *IDENTITY).sortWithinPartitions(*IDENTITY)
     return Pipeline(stages=[
         VectorAssembler(inputCols=columns, outputCol="vector", handleInvalid="skip"),
         GBTClassifier(featuresCol="vector", labelCol=LABEL, maxIter=trees, maxDepth=depth,

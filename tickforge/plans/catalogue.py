@@ -359,7 +359,7 @@ def class_distribution(spark, sf_dir):
 
 @exact
 def newest_trades(spark, sf_dir):
-    return dashboard.newest(trades(spark, sf_dir), settings.SCORED_ROWS, tiebreak=ID).select(
+    return dashboard.newest(trades(spark, sf_dir), settings.SCORED_ROWS, tiebreak=ID, day="trade_date").select(
         *BASE, "price", "price_change_pct")
 
 
@@ -429,7 +429,7 @@ def chart_volume(spark, sf_dir):
 
 @query
 def newest_sentiment(spark, sf_dir):
-    return dashboard.newest(sentiment(spark, sf_dir), 500, tiebreak=ID).select(
+    return dashboard.newest(sentiment(spark, sf_dir), 500, tiebreak=ID, day="date_parsed").select(
         *BASE, "price", "price_change_pct", *news.MEASURES)
 
 
