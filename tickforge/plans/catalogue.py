@@ -26,7 +26,12 @@ BASE = ["event_id", "symbol", "timestamp_parsed"]
 def query(fn: Query) -> Query:
     """Register ``fn``; sums and quotients are shown to 6 places, as their last digits
     depend on the order of summation."""
-    return _register(fn, {"double": lambda c: F.round(c, 6), **_NO_ZONE})
+    return _register(fn, {"double": six_places, **_NO_ZONE})
+
+
+def six_places(c):
+    """Rounded, with a nudge: a mean of prices in cents often lies exactly on a half."""
+    return F.round(c + 1e-9, 6)
 
 
 def exact(fn: Query) -> Query:
@@ -436,7 +441,7 @@ def newest_sentiment(spark, sf_dir):
 @query
 def sentiment_dist(spark, sf_dir):
     return dashboard.sentiment_distribution(sentiment(spark, sf_dir).withColumn(
-        "news_sentiment", F.round("news_sentiment", 6)))
+        "news_sentiment", six_places(F.col("news_sentiment"))))
 
 
 @query

@@ -69,7 +69,8 @@ def _scored(positive: list[str], negative: list[str]) -> str:
 
 _DEFAULT_POSITIVE = settings.terms(settings.POSITIVE_TERMS)
 _DEFAULT_NEGATIVE = settings.terms(settings.NEGATIVE_TERMS)
-_MEASURES = "news_sentiment, news_count, positive_news_count, negative_news_count"
+_COUNTS = "news_count, positive_news_count, negative_news_count"
+_MEASURES = f"round(news_sentiment, 6) AS news_sentiment, {_COUNTS}"
 _W = "PARTITION BY symbol ORDER BY timestamp_parsed, event_id"
 _STOCK_LEVELS = ["open", "day_high", "day_low", "prev_close"]
 _OPEN = """(weekday(timestamp) BETWEEN 1 AND 5 AND (exchange = 'Crypto' OR
@@ -141,16 +142,15 @@ STEPS = {
          count(*) FILTER (WHERE sentiment_category = 'NEGATIVE') AS negative_news_count
   FROM news GROUP BY symbol, date_parsed""",
     "sentiment": """
-  SELECT e.*, round(coalesce(n.news_sentiment, 0), 6) AS news_sentiment, coalesce(n.news_count, 0) AS news_count,
+  SELECT e.*, coalesce(n.news_sentiment, 0) AS news_sentiment, coalesce(n.news_count, 0) AS news_count,
          coalesce(n.positive_news_count, 0) AS positive_news_count,
          coalesce(n.negative_news_count, 0) AS negative_news_count
   FROM enriched e LEFT JOIN daily_news n ON e.symbol = n.symbol AND e.date_parsed = n.news_date""",
     "stg_sentiment": f"""
-  SELECT symbol, timestamp_parsed, price, price_change_pct, {_MEASURES},
+  SELECT symbol, timestamp_parsed, price, price_change_pct, news_sentiment, {_COUNTS},
          CASE WHEN news_sentiment > 0.3 THEN 'POSITIVE' WHEN news_sentiment < -0.3 THEN 'NEGATIVE'
               ELSE 'NEUTRAL' END AS sentiment_category,
-         round(CASE WHEN news_count > 0 THEN positive_news_count::DOUBLE / news_count * 100 ELSE 0 END, 6)
-           AS positive_ratio
+         CASE WHEN news_count > 0 THEN positive_news_count::DOUBLE / news_count * 100 ELSE 0 END AS positive_ratio
   FROM sentiment WHERE news_sentiment IS NOT NULL""",
     "metrics24": f"""
   SELECT m.*, c.close AS current_price,
@@ -225,7 +225,7 @@ STEPS = {
          rsi,
          round(CASE WHEN price_std_10 > 0 THEN (price - price_ma_20) / price_std_10 ELSE 0 END, 6) AS bb_position,
          volume, round(CASE WHEN volume_ma_5 > 0 THEN volume / volume_ma_5 ELSE 1 END, 6) AS volume_ratio,
-         coalesce(l.sentiment_score, 0) AS sentiment_score, coalesce(l.news_count, 0) AS news_count,
+         round(coalesce(l.sentiment_score, 0), 6) AS sentiment_score, coalesce(l.news_count, 0) AS news_count,
          CAST(hour(timestamp_parsed) AS INTEGER) AS hour, CAST(dayofweek(timestamp_parsed) + 1 AS INTEGER) AS day_of_week,
          CAST(hour(timestamp_parsed) BETWEEN 9 AND 16 AS INTEGER) AS is_market_open_hour,
          CASE WHEN price_next > price THEN 1 ELSE 0 END AS target, price_next
@@ -319,10 +319,11 @@ _SELECTS = {
     "news_tagged": _tagged(settings.news_keywords()),
     "news_tagged_common": _tagged(_COMMON_PHRASES),
     "tick_with_sentiment": f"SELECT {_BASE}, price, price_change_pct, is_anomaly, {_MEASURES} FROM sentiment",
-    "sentiment_latest": "SELECT * FROM last_sentiment",
+    "sentiment_latest": "SELECT * REPLACE (round(sentiment_score, 6) AS sentiment_score) FROM last_sentiment",
     "stg_trades": "SELECT * FROM trades",
     "stg_candles": "SELECT * FROM stg_candles",
-    "stg_sentiment": "SELECT * FROM stg_sentiment",
+    "stg_sentiment": "SELECT * REPLACE (round(news_sentiment, 6) AS news_sentiment, "
+                     "round(positive_ratio, 6) AS positive_ratio) FROM stg_sentiment",
     "dim_current": "SELECT * FROM dim WHERE is_current",
     "daily_performance": "SELECT * FROM performance",
     "stock_metrics_24h": "SELECT * FROM metrics24",
@@ -371,12 +372,14 @@ _SELECTS = {
     "chart_volume": f"SELECT window_start, volume, candle_color {_RECENT_BARS}",
     "newest_sentiment": f"SELECT {_BASE}, price, price_change_pct, {_MEASURES} FROM sentiment "
                         "ORDER BY timestamp_parsed DESC, event_id DESC LIMIT 500",
-    "sentiment_dist": "SELECT symbol, news_sentiment, count(*) AS count FROM sentiment GROUP BY symbol, news_sentiment",
+    "sentiment_dist": "SELECT symbol, round(news_sentiment, 6) AS news_sentiment, count(*) AS count "
+                      "FROM sentiment GROUP BY symbol, round(news_sentiment, 6)",
     "sentiment_correlation": "SELECT round(corr(news_sentiment, price_change_pct), 6) AS correlation, "
                              "count(*) AS ticks FROM sentiment",
-    "sentiment_table": "SELECT symbol, " + ", ".join(
+    "sentiment_table": "SELECT symbol, round(arg_max(news_sentiment, (timestamp_parsed, event_id)), 6) "
+                       "AS news_sentiment, " + ", ".join(
         f"arg_max({c}, (timestamp_parsed, event_id)) AS {c}" for c in
-        ["price", "price_change_pct", "news_sentiment", "news_count", "positive_news_count", "negative_news_count"]
+        ["price", "price_change_pct", "news_count", "positive_news_count", "negative_news_count"]
     ) + " FROM sentiment GROUP BY symbol",
     "trading_activity": f"SELECT hour_start, symbol, tick_count FROM hourly WHERE hour_start >= {_AFTER.format(24)}",
     "volatility_top10": f"""SELECT symbol, sector, price_stddev FROM (
@@ -430,4 +433,6 @@ FROM (SELECT count(*) FILTER (WHERE target = 1 AND prediction = 1) AS tp,
                             "round(confidence, 6) AS confidence, target AS actual, correct FROM predicted",
 }
 
-ORACLE = {name: _steps_for(select) + select for name, select in _SELECTS.items()}
+#: Six places are shown with a nudge, as a mean of prices in cents often lies exactly on a half.
+_SHOWN = (", 6)", " + 1e-9, 6)")
+ORACLE = {name: (_steps_for(select) + select).replace(*_SHOWN) for name, select in _SELECTS.items()}
