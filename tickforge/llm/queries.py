@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickforge.llm import quality_ftrl, subword_lattice
+from tickforge.llm import pii_tagger, quality_ftrl, subword_lattice
 from tickforge.llm.common import id_remainder, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +36,9 @@ def op1_subword_lattice(spark, sf_dir):
 def op2_quality_ftrl(spark, sf_dir):
     return quality_ftrl.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
                               held=id_remainder(F.col("doc_id"), 3) == 1)
+
+
+@query
+def op3_pii_tagger(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pii_tagger.find(docs, pii_tagger.fit(docs))
