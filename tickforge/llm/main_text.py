@@ -37,11 +37,23 @@ _MARK = re.compile(r"[^a-z0-9]+")
 #: An open element of these ends where a new block of the given kinds begins.
 CLOSES = {"p": BLOCK, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
           "th": {"td", "th", "tr"}, "option": {"option"}}
-SPACE = " \t\n\r\f\v\xa0"
-_SPACES = re.compile(f"[{SPACE} -     　]+")
+_SPACES = re.compile(r"\s+")
 SIGMA = 1.0
 
 
+def _marked(tag: str, attrs: list) -> bool:
+    """Attributes that hide an element or name it as no article."""
+    for k, v in attrs:
+        v = (v or "").lower()
+        if k in ("class", "id", "role") and tag not in ("html", "body", "article", "main") and not MARKS.isdisjoint(
+                _MARK.split(v)):
+            return True
+        if k == "hidden" or (k == "aria-hidden" and v == "true") or (
+                k == "style" and "display:none" in v.replace(" ", "")):
+            return True
+    return False
+
+
 class _Lines(HTMLParser):
     """Lines of a page: [text, tags, excluded, path of containers]."""
 
@@ -51,6 +63,7 @@ class _Lines(HTMLParser):
         self.lines: list[tuple[str, int, bool, tuple[int, ...]]] = []
         self.names: dict[int, str] = {0: "body"}
         self.parts: list[str] = []
+        self.hidden = False
         self.tags = 0
 
     def _excluded(self) -> bool:
@@ -58,10 +71,10 @@ class _Lines(HTMLParser):
 
     def end_line(self) -> None:
         text = _SPACES.sub(" ", "".join(self.parts)).strip()
-        if text:
+        if text or self.hidden:
             path = tuple(n for _, _, n in self.open if n)
-            self.lines.append((text, self.tags, self._excluded(), (0, *path)))
-            self.tags = 0
+            self.lines.append((text, self.tags, not text, (0, *path)))
+            self.tags, self.hidden = 0, False
         self.parts = []
 
     def handle_starttag(self, tag, attrs):
@@ -80,12 +93,8 @@ class _Lines(HTMLParser):
             self.parts.append(" ")
         if tag in VOID:
             return
-        marks = {w for k, v in attrs if k in ("class", "id", "role") and v for w in _MARK.split(v.lower())}
-        inside_article = any(n in ("article", "main") for n, _, _ in self.open)
-        excluded = self._excluded() or tag in EXCLUDED or (tag == "header" and not inside_article) or (
-            tag not in ("html", "body", "article", "main") and bool(marks & MARKS)) or any(
-            k == "hidden" or (k == "aria-hidden" and v == "true") or
-            (k == "style" and v and "display:none" in v.replace(" ", "").lower()) for k, v in attrs)
+        excluded = (self._excluded() or tag in EXCLUDED or (attrs and _marked(tag, attrs)) or
+                    (tag == "header" and not any(n in ("article", "main") for n, _, _ in self.open)))
         number = 0
         if tag in CONTAINER:
             number = len(self.names)
@@ -100,7 +109,7 @@ class _Lines(HTMLParser):
     def handle_endtag(self, tag):
         if tag == "br":
             self.parts.append(" ")
-        if tag not in [n for n, _, _ in self.open]:
+        if not (self.open and self.open[-1][0] == tag) and tag not in [n for n, _, _ in self.open]:
             return      # a stray end
         if tag in BLOCK:
             self.end_line()
@@ -111,7 +120,10 @@ class _Lines(HTMLParser):
                 break
 
     def handle_data(self, data):
-        self.parts.append(data)
+        if self._excluded():
+            self.hidden = self.hidden or not data.isspace()
+        else:
+            self.parts.append(data)
 
 
 def _smooth(x: np.ndarray, sigma: float) -> np.ndarray:
@@ -163,7 +175,7 @@ def extract(html: str | None, sigma: float = SIGMA) -> str:
     if articles:
         best = max(articles, key=lambda n: (mass[n], -n))
         # an article's own article (a teaser, a nested comment) is inside; of nested ones the inner with all its mass
-        best = max([n for n in articles if mass[n] >= 0.9 * mass[best]])
+        best = max(n for n in articles if mass[n] >= 0.9 * mass[best])
         regions = {n for n in articles if mass[n] >= 0.5 * mass[best]}
     else:
         regions = {max(n for n in mass if mass[n] >= 0.8 * total)}

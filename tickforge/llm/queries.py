@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickforge.llm import pii_tagger, quality_ftrl, subword_lattice
+from tickforge.llm import main_text, pii_tagger, quality_ftrl, subword_lattice
 from tickforge.llm.common import id_remainder, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,3 +42,8 @@ def op2_quality_ftrl(spark, sf_dir):
 def op3_pii_tagger(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return pii_tagger.find(docs, pii_tagger.fit(docs))
+
+
+@query
+def op5_main_text(spark, sf_dir):
+    return main_text.main_text(table(spark, sf_dir, "pages"))
