@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickforge.llm import main_text, pii_tagger, quality_ftrl, subword_lattice
+from tickforge.llm import main_text, packing, pii_tagger, quality_ftrl, subword_lattice
 from tickforge.llm.common import id_remainder, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +47,11 @@ def op3_pii_tagger(spark, sf_dir):
 @query
 def op5_main_text(spark, sf_dir):
     return main_text.main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_best_fit_packing(spark, sf_dir):
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
+                        public_tokenizers.PATTERN)
