@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickforge.llm import bbit_minhash, main_text, packing, pii_tagger, quality_ftrl, subword_lattice
+from tickforge.llm import bbit_minhash, main_text, mixing, packing, pii_tagger, quality_ftrl, subword_lattice
 from tickforge.llm.common import id_remainder, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,8 @@ def op6_best_fit_packing(spark, sf_dir):
 @query
 def op7_bbit_minhash(spark, sf_dir):
     return bbit_minhash.groups(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
+@query
+def op9_source_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("tie")
