@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickforge.llm import bbit_minhash, main_text, mixing, packing, pii_tagger, quality_ftrl, subword_lattice
+from tickforge.llm import (
+    bbit_minhash, main_text, mixing, packing, pii_tagger, projection_forest, quality_ftrl, subword_lattice, topk_search)
 from tickforge.llm.common import id_remainder, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +66,13 @@ def op7_bbit_minhash(spark, sf_dir):
 @query
 def op9_source_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).drop("tie")
+
+
+@query
+def op8_topk_search(spark, sf_dir):
+    return topk_search.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op10_projection_forest(spark, sf_dir):
+    return projection_forest.groups(table(spark, sf_dir, "embeddings"))
