@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickforge.llm.common import components
+from tickforge.llm.common import components, quoted
 from tickforge.session import stage
 
 ROWS = 4                    # minima per band
@@ -96,15 +96,15 @@ def signature(low: np.ndarray) -> list[int]:
     return words.view(np.int64).tolist()
 
 
-SKETCH = "key string, n_shingles bigint, print binary, bands array<bigint>, sig array<bigint>"
+SKETCH = "key string, tie bigint, n_shingles bigint, print binary, bands array<bigint>, sig array<bigint>"
 
 
 def _sketch(words: int, bands: int, hashes: int):
     def run(batches):
         shingle, (a, b) = Shingler(words), _coefficients(hashes)
         for batch in batches:
-            keys, n, prints, keys_of, sigs = batch.column(0), [], [], [], []
-            for text in batch.column(1).to_pylist():
+            n, prints, keys_of, sigs = [], [], [], []
+            for text in batch.column(2).to_pylist():
                 s = shingle(text)
                 n.append(len(s))
                 if not len(s):
@@ -119,9 +119,9 @@ def _sketch(words: int, bands: int, hashes: int):
                 keys_of.append(key.view(np.int64).tolist())
                 sigs.append(signature(low))
             yield pa.RecordBatch.from_arrays(
-                [keys, pa.array(n, pa.int64()), pa.array(prints, pa.binary()),
+                [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(prints, pa.binary()),
                  pa.array(keys_of, pa.list_(pa.int64())), pa.array(sigs, pa.list_(pa.int64()))],
-                names=["key", "n_shingles", "print", "bands", "sig"])
+                names=["key", "tie", "n_shingles", "print", "bands", "sig"])
     return run
 
 
@@ -180,7 +180,7 @@ def _confirmed(pairs: DataFrame, source: DataFrame, chosen: DataFrame, words: in
 
 
 def groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, n_shingles, component_id, kept for every row.
+    """``key``, n_shingles, component_id, kept, tie (hash of the text), group (null without words) for every row.
 
     Documents are linked at ``percent`` of their shingle sets' union or more.  With fewer words than a shingle, the
     whole sequence is one; without words (null, empty, blank) a document is linked with nothing and is its own
@@ -192,8 +192,8 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_i
     per = 64 // BITS
     hashes = -(-bands * ROWS // per) * per
     kind = dict(docs.dtypes)[key]
-    sketch = stage(docs.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
-                   .mapInArrow(_sketch(words, bands, hashes), SKETCH), "sketches")
+    sketch = stage(docs.select(F.col(key).cast("string").alias("key"), F.xxhash64(text).alias("tie"),
+                               F.col(text).alias("text")).mapInArrow(_sketch(words, bands, hashes), SKETCH), "sketches")
     own = F.col("key").cast(kind)
     classes = stage(sketch.where("print is not null").groupBy("print").agg(
         F.min(own).alias("least"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"),
@@ -239,8 +239,28 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_i
     ids = classes.select("print", "least").join(linked, F.col("print") == F.col("node"), "left").select(
         "print", "least", F.coalesce("component", "print").alias("component"))
     least = ids.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = ids.join(least, "component").select("print", "component_id")
-    out = sketch.select("key", "n_shingles", "print").join(named, "print", "left").select(
-        own.alias(key), "n_shingles", F.coalesce("component_id", own).alias("component_id"))
+    named = ids.join(least, "component").select("print", "component_id", F.col("component").alias("group"))
+    out = sketch.select("key", "tie", "n_shingles", "print").join(named, "print", "left").select(
+        own.alias(key), "n_shingles", F.coalesce("component_id", own).alias("component_id"), "tie", "group")
     return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.col("component_id").isNull()))
 
+
+def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one row of each group: the smallest id's, or, without any id, the smallest text hash's.
+
+    Rows without words are in no group and stay.  Of rows alike in id and text one stays.  Columns are those of ``docs``.
+    """
+    found = stage(groups(docs, words, percent, key, text), "groups")
+    one = found.where("group is not null and kept").groupBy("group").agg(F.min(F.struct(key, "tie")).alias("s"))
+    copies = found.where("group is not null").groupBy(F.col(key).alias("k"), F.col("tie").alias("t")).agg(
+        F.count("*").alias("n"))
+    chosen = one.select(F.col(f"s.{key}").alias("_key"), F.col("s.tie").alias("_tie"))
+    chosen = stage(chosen.join(copies, F.col("_key").eqNullSafe(F.col("k")) & (F.col("_tie") == F.col("t"))).select(
+        "_key", "_tie", (F.col("n") > 1).alias("_again")), "chosen")
+    # the row travels as one value: its columns may have any names
+    rows = docs.select(F.col(key).alias("_key"), F.xxhash64(text).alias("_tie"), F.struct(*quoted(docs)).alias("row"),
+                       F.coalesce(F.regexp_like(text, F.lit(r"[^\x20\x09-\x0D]")), F.lit(False)).alias("_words"))
+    keys = chosen.select(F.col("_key").alias("k"), F.col("_tie").alias("t"), "_again")
+    here = rows.where("_words").join(keys, F.col("_key").eqNullSafe(F.col("k")) & (F.col("_tie") == F.col("t")))
+    again = here.where("_again").groupBy("_key", "_tie").agg(F.first("row").alias("row")).select("row")
+    return here.where("not _again").select("row").union(again).union(rows.where("not _words").select("row")).select("row.*")

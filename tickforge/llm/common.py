@@ -17,6 +17,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Settings of a session that runs these operators."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.parquet.compression.codec", "zstd")     # stored steps are read once or twice
     return spark
 
 
@@ -24,9 +25,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def lower_ascii(c: Column) -> Column:
-    """A-Z in lower case, all other characters as they are."""
-    return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def quoted(df: DataFrame) -> list[Column]:
+    """All columns, whatever their names hold."""
+    return [F.col(f"`{c}`") for c in df.columns]
 
 
 def id_remainder(c: Column, modulus: int) -> Column:

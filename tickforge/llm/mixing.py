@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tickforge.llm.common import cells, running
+from tickforge.llm.common import cells, quoted, running
 from tickforge.session import stage
 
 BLOCK = 128                 # words
@@ -134,6 +134,7 @@ def copies(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
         .cast("int").alias("_times"))
     # rows alike in id and text share their draws; each of them is its group's average
     times = times.groupBy("_key", "_tie").agg(F.round(F.avg("_times")).cast("int").alias("_times")).where("_times > 0")
-    same = F.col(f"`{key}`").eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_tie"))
-    return docs.join(times, same).withColumn("_copy", F.explode(F.expr("sequence(1, _times)"))).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    # the row travels as one value: its columns may have any names
+    rows = docs.select(F.col(key).alias("k"), F.xxhash64(text).alias("t"), F.struct(*quoted(docs)).alias("row"))
+    return rows.join(times, F.col("k").eqNullSafe(F.col("_key")) & (F.col("t") == F.col("_tie"))).withColumn(
+        "_copy", F.explode(F.expr("sequence(1, _times)"))).select("row.*")

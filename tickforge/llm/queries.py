@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickforge.llm import (
-    bbit_minhash, main_text, mixing, packing, pii_tagger, projection_forest, quality_ftrl, subword_lattice, topk_search)
+    bbit_minhash, main_text, mixing, packing, pii_tagger, projection_forest, quality_ftrl, subword_lattice, topk_search,
+    warc)
 from tickforge.llm.common import id_remainder, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +46,26 @@ def op3_pii_tagger(spark, sf_dir):
     return pii_tagger.find(docs, pii_tagger.fit(docs))
 
 
+@query
+def op4_warc_index(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    # the table has no capture times; one second after the other, by id
+    captured = F.date_format(F.timestamp_seconds(F.lit(1_704_067_200) + F.coalesce("page_id", F.lit(0))),
+                             "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return warc.capture(pages, captured=captured).select("page_id", "payload_bytes", "payload_digest", "record_type",
+                                                         "refers_to")
+
+
+ORACLE["op4_warc_index"] = """
+WITH p AS (SELECT page_id, url, encode(coalesce(html, '')) AS body FROM pages),
+q AS (SELECT page_id, octet_length(body) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first FROM q WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM q LEFT JOIN f USING (payload_digest)"""
+
+
 @query
 def op5_main_text(spark, sf_dir):
     return main_text.main_text(table(spark, sf_dir, "pages"))
@@ -60,7 +81,7 @@ def op6_best_fit_packing(spark, sf_dir):
 
 @query
 def op7_bbit_minhash(spark, sf_dir):
-    return bbit_minhash.groups(table(spark, sf_dir, "documents"), words=3, percent=85)
+    return bbit_minhash.groups(table(spark, sf_dir, "documents"), words=3, percent=85).drop("tie", "group")
 
 
 @query
