@@ -12,7 +12,9 @@ Candidates without all pairs of a bucket:
    group of near copies that is the text they derive from.
 2. Links found make components.  Where a bucket still holds several, every pair across components has a member outside
    the bucket's largest component, so those members meet all others in a second join.  Nothing else can be missed: pairs
-   within a component need no link.
+   within a component need no link.  A pair leaves that join only if an exact bound allows it: shingles that no other
+   class of such buckets has cannot be shared, so the copies of a text that differ too much from it, and from each
+   other by what only they have, never become pairs.
 
 Both steps are equi-joins on the band key, which adaptive execution splits when a bucket is large.  The number of bands
 follows from the threshold: a pair just at it is missed with probability ``MISS`` at most.
@@ -161,17 +163,20 @@ def most_differing(threshold: float, hashes: int) -> int:
     return math.ceil(hashes * (1.0 - agree) + SLACK * math.sqrt(hashes * agree * (1.0 - agree)))
 
 
-def _confirmed(pairs: DataFrame, source: DataFrame, chosen: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs (x, y) of classes whose full sets are similar enough.
+def _full_sets(prints: DataFrame, source: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
+    """print, shingles (stored) of the classes named.
 
-    ``source``: key, text of all documents; ``chosen``: print, key of one document of each class.  Only the texts that
-    are in a pair are read again; rows that share a key but not a text are told apart by their full sets.
+    ``source``: key, text of all documents; ``chosen``: print, key of one document of each class.  Only the texts asked
+    for are read again; rows that share a key but not a text are told apart by their full sets.
     """
-    wanted = pairs.select(F.col("x").alias("print")).union(pairs.select("y")).distinct()
-    keys = chosen.join(wanted, "print", "left_semi").select(F.col("key").alias("wanted")).distinct()
-    sets = stage(source.join(stage(keys, "wanted"), F.col("key").eqNullSafe(F.col("wanted")), "left_semi").select("text")
+    keys = chosen.join(prints, "print", "left_semi").select(F.col("key").alias("wanted")).distinct()
+    return stage(source.join(stage(keys, "wanted"), F.col("key").eqNullSafe(F.col("wanted")), "left_semi").select("text")
                  .mapInArrow(_sets(words), "print binary, shingles array<bigint>")
                  .groupBy("print").agg(F.first("shingles").alias("shingles")), "sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of classes whose full sets are similar enough."""
     joined = (pairs.join(sets.select(F.col("print").alias("y"), F.col("shingles").alias("sy")), "y")
               .join(sets.select(F.col("print").alias("x"), F.col("shingles").alias("sx")), "x"))
     both = joined.select("x", "y", F.size(F.array_intersect("sx", "sy")).cast("bigint").alias("i"),
@@ -179,6 +184,15 @@ def _confirmed(pairs: DataFrame, source: DataFrame, chosen: DataFrame, words: in
     return both.where(100 * F.col("i") >= percent * (F.col("s") - F.col("i"))).select("x", "y")
 
 
+def _shared(sets: DataFrame) -> DataFrame:
+    """print, shared: how many of a class's shingles any other class of ``sets`` has, too."""
+    alone = (sets.select("print", F.explode("shingles").alias("shingle")).groupBy("shingle")
+             .agg(F.count("*").alias("c"), F.first("print").alias("print")).where("c = 1")
+             .groupBy("print").agg(F.count("*").alias("alone")))
+    return sets.select("print", F.size("shingles").alias("n_all")).join(alone, "print", "left").select(
+        "print", (F.col("n_all") - F.coalesce("alone", F.lit(0))).alias("shared"))
+
+
 def groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, n_shingles, component_id, kept, tie (hash of the text), group (null without words) for every row.
 
@@ -216,7 +230,8 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_i
 
     source = docs.select(F.col(text).alias("text"), F.col(key).cast("string").alias("key"))
     chosen = classes.select("print", F.col("least").cast("string").alias("key"))
-    links = stage(_confirmed(star, source, chosen, words, percent), "links")
+    asked = star.select(F.col("x").alias("print")).union(star.select("y")).distinct()
+    links = stage(_confirmed(star, _full_sets(asked, source, chosen, words), percent), "links")
     first = stage(components(links, "x", "y"), "components")
 
     labelled = stage(posts.join(first, posts["print"] == first["node"], "left").select(
@@ -224,16 +239,22 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_i
     of = labelled.groupBy("band", "component").agg(F.count("*").alias("size"))
     mixed = of.groupBy("band").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts")).where(
         "parts > 1").select("band", F.col("top.component").alias("top"))
-    members = labelled.join(mixed, "band")
+    members = stage(labelled.join(mixed, "band"), "members")
+    sets = _full_sets(members.select("print").distinct(), source, chosen, words)
+    # what no other member has cannot be shared: the rest bounds the similarity from above
+    members = stage(members.join(stage(_shared(sets), "shared"), "print").where(
+        100 * F.col("shared") >= percent * F.col("n")), "members")
     stray = members.where(F.col("component") != F.col("top")).select(
         F.col("band").alias("b"), F.col("print").alias("x"), F.col("sig").alias("xs"), F.col("n").alias("xn"),
-        F.col("component").alias("c"))
+        F.col("component").alias("c"), F.col("shared").alias("xshared"))
+    common = F.least("shared", "xshared")
+    bound = 100 * common >= percent * (F.col("n") + F.col("xn") - common)
     # two strays of a bucket meet once
     apart = (F.col("c") != F.col("component")) & ((F.col("component") == F.col("top")) | (F.col("x") < F.col("print")))
-    more = stage(members.join(stray, (F.col("band") == F.col("b")) & apart & near).select(
+    more = stage(members.join(stray, (F.col("band") == F.col("b")) & apart & bound & near).select(
         F.least("x", "print").alias("x"), F.greatest("x", "print").alias("y")).distinct().join(
         star, ["x", "y"], "left_anti"), "candidates")
-    links = links.union(_confirmed(more, source, chosen, words, percent))
+    links = links.union(_confirmed(more, sets, percent))
     linked = components(links, "x", "y")
 
     ids = classes.select("print", "least").join(linked, F.col("print") == F.col("node"), "left").select(
@@ -242,7 +263,8 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_i
     named = ids.join(least, "component").select("print", "component_id", F.col("component").alias("group"))
     out = sketch.select("key", "tie", "n_shingles", "print").join(named, "print", "left").select(
         own.alias(key), "n_shingles", F.coalesce("component_id", own).alias("component_id"), "tie", "group")
-    return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.col("component_id").isNull()))
+    return out.select(key, "n_shingles", "component_id", F.coalesce(
+        F.col(key) == F.col("component_id"), F.col("component_id").isNull()).alias("kept"), "tie", "group")
 
 
 def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
