@@ -279,6 +279,8 @@ def _windows(batches):
 
 def _train(batches):
     rows = sorted(r for pdf in batches for r in pdf.itertuples(index=False, name=None))
+    if not rows:
+        return
     x = np.full((len(rows), WINDOW), PAD, dtype=np.int64)
     y = np.zeros((len(rows), WINDOW), dtype=np.int64)
     lengths = np.array([len(part) for _, part, _ in rows])
