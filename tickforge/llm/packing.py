@@ -137,7 +137,8 @@ def place(found: DataFrame, size: int) -> DataFrame:
                         (F.col("at") + F.col("j") * F.col("length")).alias("offset"))
     ranked = running(found, ["length"], ["key", "piece", "tie"], F.lit(1).cast("bigint"),
                      cells(max(counts.values(), default=1)), "rank")
-    return ranked.join(taken, ["length", "rank"])
+    # both sides grow with the pieces; the planner sees only the few rows that the slots are unfolded from
+    return ranked.join(taken.hint("merge"), ["length", "rank"])
 
 
 def pack(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", size: int = SIZE,
