@@ -111,7 +111,8 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     goals = stage(targets(sizes, block), "goals")
     uses = slots(goals).groupBy(F.col("source").alias("s"), F.col("index").alias("i")).agg(F.count("*").alias("uses"))
     spread = laid(sizes, block)
-    taken = (spread.join(uses, F.col("source").eqNullSafe(F.col("s")) & (F.col("index") == F.col("i")), "left")
+    # both sides grow with the words; the planner sees only the few rows that the slots are unfolded from
+    taken = (spread.join(uses.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("index") == F.col("i")), "left")
              .groupBy("source", "start", "key", "size", "tie")
              .agg(F.sum(F.col("share") * F.coalesce("uses", F.lit(0))).alias("taken")).drop("start"))
     rows = taken.select("key", "source", "size", "tie", "taken").union(
