@@ -26,12 +26,16 @@ def order_key(ts, tiebreak=None) -> Column:
 
     A struct key would force ``min_by/max_by`` into a sort-based aggregation; a
     decimal keeps the buffer mutable, so Spark hash-aggregates on the map side.
-    ``tiebreak`` is a non-negative long, such as a broker offset or an event id.
+    ``tiebreak`` is a non-negative long, such as a broker offset or an event id; a NULL
+    one comes before all others of its time.  Offsets are unique within a partition of
+    a topic only: ticks of one time and offset from two partitions tie, and either may
+    be chosen; keyed topics hold a symbol in one partition, so its ticks do not.
     """
     if tiebreak is None:
         return _col(ts)
     head = micros(ts).cast("decimal(18,0)") * F.lit(Decimal(10 ** 19))
-    return (head + _col(tiebreak).cast("decimal(19,0)")).cast("decimal(38,0)")
+    last = F.coalesce(_col(tiebreak).cast("decimal(19,0)") + 1, F.lit(0))
+    return (head + last).cast("decimal(38,0)")
 
 
 def since(ts, as_of: Column, hours: int) -> Column:

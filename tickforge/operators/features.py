@@ -7,10 +7,11 @@ from pyspark.sql import Column, DataFrame, WindowSpec, functions as F
 from tickforge import settings
 from tickforge.functions.clock import day_of_week
 from tickforge.functions.market import pct_or
-from tickforge.operators.ordered import MAX_ROWS, over_sequence
+from tickforge.operators.ordered import PIECE_ROWS, over_sequence
 
 LONGEST_FRAME = 20   # moving average; RSI reaches 15 rows back
 
+# fixed values: names and order of the feature contract
 OUTPUT = [
     "symbol", "timestamp_parsed", "price", "price_change_pct",
     *[f"price_ma_{n}" for n in (5, 10, 20)], *[f"price_std_{n}" for n in (5, 10)],
@@ -95,11 +96,11 @@ def indicators(df: DataFrame, w: WindowSpec) -> DataFrame:
 
 
 def build_features(trades: DataFrame, latest_sentiment: DataFrame, tiebreak: str,
-                   max_rows: int = MAX_ROWS) -> DataFrame:
+                   piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Feature rows with a known next move, 22 columns."""
     featured = calendar(over_sequence(
         trades, indicators, "symbol", "timestamp_parsed", tiebreak,
-        before=LONGEST_FRAME, after=1, max_rows=max_rows,
+        before=LONGEST_FRAME, after=1, piece_rows=piece_rows,
     ))
     joined = featured.filter(F.col("target").isNotNull()).join(latest_sentiment, "symbol", "left")
     return joined.withColumns({

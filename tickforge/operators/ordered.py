@@ -2,36 +2,34 @@
 
 ``Window.partitionBy("symbol")`` sorts all ticks of one symbol in one task, which
 fails when a symbol holds a large share of all rows.  :func:`over_sequence` gives the
-same result with bounded tasks:
-
-1. Count rows per key.  If no key exceeds ``max_rows`` the plain window is used.
-2. Cut only the hot keys along event time (day, hour, minute, second, then the exact
-   time with id ranges), going finer only where a piece is still too large.
-3. Hand each piece the few rows its frames reach into: the last ``before`` rows of the
-   pieces ahead of it and the first ``after`` rows of those behind it.  They are found
-   with a top-n per piece (cut in each task before the shuffle) and piece sizes.
-4. Compute the window per (key, piece) and drop the borrowed rows.
-
-Frames must be bounded by ``before``/``after`` rows; the result is then exact.
+same result with bounded tasks, in one way for every size and every key:
+
+1. Rows are range-partitioned and sorted by (key, time, id), and stored.  Ranges cut
+   through a key, a second, even one instant, wherever the rows are; a NULL key or
+   time sorts like any other.
+2. A row's position in this order is its place in its partition plus the sizes of the
+   partitions ahead: one number per partition.  Pieces are equal runs of positions.
+3. The last ``before`` rows of a piece are lent to the next one, the first ``after``
+   to the one ahead; frames reach no further.
+4. The window runs per (piece, key), and the lent rows are dropped.
+
+A task's window holds ``piece_rows + before + after`` rows at most, and no more than
+``before + after`` rows per piece are lent.  Frames must be bounded by ``before`` and
+``after`` rows; the result is then exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from tickforge.functions.clock import MICROS, micros
+from tickforge.session import stage
 
-MAX_ROWS = 5_000_000
-#: A level of hot pieces lists at most this many, so the list always fits a broadcast:
-#: a hot piece holds more than ``total / MAX_PIECES`` rows.
-MAX_PIECES = 20_000
+PIECE_ROWS = 200_000
 
-_T, _I, _BORROWED = "_piece_time", "_piece_id", "_borrowed"
-_WHOLE = -(2 ** 62)              # piece of a key that is not cut
-_NO_TIME = -62_135_596_800_000_000   # NULL event times sort first, as in a window
+_AT, _POSITION, _PIECE, _TO = "_at", "_position", "_piece", "_to"
+_PLACE_BITS = 33    # of monotonically_increasing_id: place in the partition; above, the partition
 
 
 def over_sequence(
@@ -42,131 +40,42 @@ def over_sequence(
     tiebreak: str,
     before: int,
     after: int = 0,
-    max_rows: int = MAX_ROWS,
+    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """Apply ``compute(df, window)`` to each key's rows in (ts, tiebreak) order.
 
-    ``df`` is read up to four times when hot keys exist; pass a table scan or a staged
-    table, not an expensive plan.
+    ``df`` is evaluated twice, once to find the ranges; stage it first if it is an
+    expensive plan.  Rows equal in key, time and id keep one order in all pieces.
     """
-    hot_levels = _find_hot(df, key, ts, tiebreak, max_rows)
-    if not hot_levels:
-        return compute(df, Window.partitionBy(key).orderBy(ts, tiebreak))
-
-    pieces = _assign_pieces(df, hot_levels, key, ts, tiebreak)
-    borrowed = _borrowed_rows(pieces, key, ts, tiebreak, before, after)
-    complete = pieces.withColumn(_BORROWED, F.lit(False)).unionByName(
-        borrowed.withColumn(_BORROWED, F.lit(True))
-    )
-    window = Window.partitionBy(key, _T, _I).orderBy(ts, tiebreak)
-    return compute(complete, window).filter(~F.col(_BORROWED)).drop(_T, _I, _BORROWED)
-
-
-# ------------------------------------------------------------------ hot pieces
-
-def _time(ts: str) -> Column:
-    return F.coalesce(micros(ts), F.lit(_NO_TIME))
-
-
-def _floor_to(value: Column, width) -> Column:
-    width = F.lit(width) if isinstance(width, int) else width
-    return value - F.pmod(value, width)
-
-
-def _levels(ts: str) -> list[Column]:
-    """Piece start per level: whole key, ever shorter periods, exact time."""
-    return [F.lit(_WHOLE)] + [_floor_to(_time(ts), width) for width in MICROS.values()] + [_time(ts)]
-
-
-def _find_hot(df: DataFrame, key: str, ts: str, tiebreak: str, max_rows: int) -> list[DataFrame]:
-    """One small local table per level with the pieces that exceed the limit there."""
-    spark = df.sparkSession
-    sizes = df.groupBy(key).agg(F.count("*").alias("n"))
-    total, largest = sizes.agg(F.sum("n"), F.max("n")).first()
-    if (largest or 0) <= max_rows:
-        return []
-
-    limit = max(max_rows, total // MAX_PIECES)
-    starts = _levels(ts)
-    # min/max id are only used at the last level, to cut one instant into id ranges
-    stats = [F.count("*").alias("n"), F.min(tiebreak).cast("bigint").alias("lo"),
-             F.max(tiebreak).cast("bigint").alias("hi")]
-    slim = df.select(key, ts, tiebreak)
-    found: list[DataFrame] = []
-    for start in starts:
-        parent = found[-1] if found else None
-        scope = slim if parent is None else _inside(slim, parent, key, starts[len(found) - 1])
-        rows = (scope.groupBy(F.col(key), start.alias("start")).agg(*stats)
-                .filter((F.col("n") > limit) & F.col(key).isNotNull()).collect())
-        if not rows:
-            break
-        schema = f"{key} {dict(df.dtypes)[key]}, start bigint, n bigint, lo bigint, hi bigint"
-        found.append(spark.createDataFrame(rows, schema).withColumn(
-            "width", F.ceil((F.col("hi") - F.col("lo") + 1) / F.ceil(F.col("n") / F.lit(limit)))))
-    return found
-
-
-def _inside(df: DataFrame, hot: DataFrame, key: str, start: Column) -> DataFrame:
-    listed = hot.select(key, F.col("start").alias("_start"))
-    return (df.withColumn("_start", start)
-            .join(F.broadcast(listed), [key, "_start"], "left_semi").drop("_start"))
-
-
-def _assign_pieces(df: DataFrame, levels: list[DataFrame], key: str, ts: str, tiebreak: str) -> DataFrame:
-    """Each row's piece: the start of the first period on its path that is not hot."""
-    starts = _levels(ts)
-    out = df.withColumns({_T: F.lit(_WHOLE), _I: F.lit(0).cast("bigint")})
-    last = len(starts) - 1
-    for depth, hot in enumerate(levels):
-        marks = hot.select(key, F.col("start").alias(_T), F.col("width").alias("_width"))
-        out = out.join(F.broadcast(marks), [key, _T], "left")
-        cut = F.col("_width").isNotNull()
-        if depth < last:
-            out = out.withColumn(_T, F.when(cut, starts[depth + 1]).otherwise(F.col(_T)))
-        else:
-            ids = _floor_to(F.col(tiebreak).cast("bigint"), F.col("_width"))
-            out = out.withColumn(_I, F.when(cut, ids).otherwise(F.col(_I)))
-        out = out.drop("_width")
-    return out.select(*df.columns, _T, _I)
-
-
-# --------------------------------------------------------------- borrowed rows
-
-def _borrowed_rows(pieces: DataFrame, key: str, ts: str, tiebreak: str, before: int, after: int) -> DataFrame:
-    """Rows that other pieces' frames reach into, relabelled with the borrowing piece."""
-    cut = pieces.filter(F.col(_T) != _WHOLE)
-    ordered = Window.partitionBy(key).orderBy(_T, _I)
-    # one row per piece of a hot key; "first" counts the key's rows ahead of the piece
-    sizes = cut.groupBy(key, _T, _I).agg(F.count("*").alias("_n")).withColumn(
-        "_first", F.coalesce(F.sum("_n").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    )
-    span = F.struct(F.col(_T).alias("t"), F.col(_I).alias("i"), F.col("_first").alias("first"),
-                    (F.col("_first") + F.col("_n")).alias("end"))
-    # a piece has at least one row, so at most `before` (`after`) pieces can reach it
-    neighbours = sizes.withColumns({
-        "_later": F.collect_list(span).over(ordered.rowsBetween(1, max(before, 1))),
-        "_earlier": F.collect_list(span).over(ordered.rowsBetween(-max(after, 1), -1)),
-    })
-    by_piece = Window.partitionBy(key, _T, _I)
-
-    def lend(order: list[Column], rows: int, position: Column, targets: str, reaches) -> DataFrame:
-        edge = cut.withColumn("_rank", F.row_number().over(by_piece.orderBy(*order))).filter(
-            F.col("_rank") <= rows)
-        placed = edge.join(neighbours, [key, _T, _I]).withColumn("_pos", position)
-        borrower = F.explode(F.filter(targets, reaches))
-        return (placed.withColumn("_to", borrower)
-                .withColumns({_T: F.col("_to.t"), _I: F.col("_to.i")})
-                .select(*pieces.columns))
-
-    parts = []
-    if before:
-        parts.append(lend(
-            [F.col(ts).desc(), F.col(tiebreak).desc()], before,
-            F.col("_first") + F.col("_n") - F.col("_rank"), "_later",
-            lambda to: F.col("_pos") >= to["first"] - before))
-    if after:
-        parts.append(lend(
-            [F.col(ts).asc(), F.col(tiebreak).asc()], after,
-            F.col("_first") + F.col("_rank") - 1, "_earlier",
-            lambda to: F.col("_pos") < to["end"] + after))
-    return reduce(DataFrame.unionByName, parts)
+    if piece_rows < max(before, after, 1):
+        raise ValueError("a piece must hold the rows that its neighbours' frames reach into")
+    pieces = lent(positioned(df, key, ts, tiebreak), before, after, piece_rows)
+    window = Window.partitionBy(_TO, key).orderBy(_POSITION)
+    return compute(pieces, window).filter(F.col(_TO) == F.col(_PIECE)).drop(_POSITION, _PIECE, _TO)
+
+
+def positioned(df: DataFrame, key: str, ts: str, tiebreak: str) -> DataFrame:
+    """``df`` (stored) with each row's position in the order of (key, ts, tiebreak)."""
+    order = [key, ts, tiebreak]
+    rows = stage(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                 .withColumn(_AT, F.monotonically_increasing_id()), "ordered")
+    part: Column = F.shiftright(_AT, _PLACE_BITS)
+    ahead = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range partition, however many rows there are
+    offsets = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n")).select(
+        "_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
+    place = F.col(_AT).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    return (rows.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+            .withColumn(_POSITION, F.col("_ahead") + place).drop("_part", "_ahead", _AT))
+
+
+def lent(df: DataFrame, before: int, after: int, piece_rows: int) -> DataFrame:
+    """Rows with their own piece and the piece they are handed to: their own, and a
+    neighbour whose frames may reach them."""
+    within = F.col(_POSITION) % piece_rows
+    piece = F.expr(f"{_POSITION} div {piece_rows}")
+    to = F.array_compact(F.array(
+        piece,
+        F.when(within >= piece_rows - before, piece + 1),
+        F.when((within < after) & (piece > 0), piece - 1)))
+    return df.withColumns({_PIECE: piece, _TO: F.explode(to)})

@@ -82,13 +82,13 @@ def sentiment(spark, sf_dir):
     return news.ticks_with_sentiment(fx.enriched(spark, sf_dir), daily_news(spark, sf_dir))
 
 
-def feature_rows(spark, sf_dir, max_rows: int = ordered.MAX_ROWS):
+def feature_rows(spark, sf_dir, piece_rows: int = ordered.PIECE_ROWS):
     """The feature table; trade facts are stored first, as in the chain, and then scanned."""
     stored = stage(trades(spark, sf_dir), "trades")
     newest = news.newest_tick(stored.withColumnRenamed("trade_date", "date_parsed"), ID)
     latest = stage(news.latest_sentiment(
         news.ticks_with_sentiment(newest, daily_news(spark, sf_dir)), ID), "latest-sentiment")
-    return features.build_features(stored, latest, ID, max_rows)
+    return features.build_features(stored, latest, ID, piece_rows)
 
 
 def latest_trades(spark, sf_dir):
@@ -304,9 +304,9 @@ def contract_trades(spark, sf_dir):
 
 # ----------------------------------------------------------------- features
 
-def _indicator(spark, sf_dir, compute, before, after=0, max_rows=ordered.MAX_ROWS):
+def _indicator(spark, sf_dir, compute, before, after=0, piece_rows=ordered.PIECE_ROWS):
     return ordered.over_sequence(trades(spark, sf_dir), compute, "symbol", "timestamp_parsed", ID,
-                                 before=before, after=after, max_rows=max_rows)
+                                 before=before, after=after, piece_rows=piece_rows)
 
 
 @exact
@@ -351,8 +351,8 @@ def feature_table(spark, sf_dir):
 
 @query
 def feature_table_split(spark, sf_dir):
-    """The same table with every symbol treated as hot: cut along time, frames still exact."""
-    return feature_rows(spark, sf_dir, max_rows=25)
+    """The same table from very short pieces: frames still exact."""
+    return feature_rows(spark, sf_dir, piece_rows=25)
 
 
 @exact
