@@ -24,7 +24,8 @@ def test_metrics_by_hand(spark):
     assert sum(r["count"] for r in ml.confusion_matrix(df).collect()) == 10
     assert [tuple(r) for r in ml.accuracy_by_symbol(df).collect()] == [("B", 4, 5, 0.8), ("A", 3, 5, 0.6)]
     assert ml.accuracy_by_symbol(df.filter("target = 0 or symbol = 'A'")).count() == 1   # B has four left
-    live = ml.live_accuracy(df, 0.6).first()
+    stored = spark.createDataFrame([("train", 0.9), ("test", 0.6)], "dataset string, accuracy double")
+    live = ml.live_accuracy(df, stored).first()
     assert (live.live_accuracy, round(live.delta_points, 6)) == (0.7, 10.0)
     assert {r["actual_label"] for r in as_dicts(df)} == {"UP", "DOWN", "PENDING"}
 
@@ -59,6 +60,23 @@ def test_split_is_stratified_and_repeatable(spark, rows):
         assert abs(r["count"] / sizes[r.target] - 0.2) < 0.02
 
 
+def test_split_of_many_rows_does_not_depend_on_their_layout(spark):
+    df = spark.range(0, 250_000, 1, 8).select(
+        F.concat(F.lit("S"), F.col("id") % 90).alias("symbol"),
+        F.timestamp_seconds(F.col("id") * 7).alias("timestamp_parsed"), (F.col("id") % 2).cast("int").alias("target"))
+    marks = [parted.groupBy("target", "dataset").agg(F.count("*"), F.sum(F.xxhash64("symbol", "timestamp_parsed").cast(
+        "decimal(38,0)"))).collect() for parted in (ml.with_split(df), ml.with_split(df.repartition(3)),
+                                                    ml.with_split(df.filter("id % 10 >= 0").orderBy("symbol")))]
+    assert sorted(marks[0]) == sorted(marks[1]) == sorted(marks[2])
+    assert all(abs(r[2] / 125_000 - (0.2 if r.dataset == "test" else 0.8)) < 0.005 for r in marks[0])
+
+
+def test_metrics_are_stored_beside_the_model(spark, tmp_path):
+    measured = ml.metrics(predictions(spark, [("A", 1, 1, 0.9), ("A", 0, 1, 0.6)]), "test")
+    ml.save_metrics(measured, str(tmp_path / "m"))
+    assert ml.stored_metrics(spark, str(tmp_path / "m")).first().accuracy == 0.5
+
+
 def answers(scored):
     return sorted(map(tuple, scored.select("symbol", "timestamp_parsed", "prediction", "probability_up").collect()))
 

@@ -14,21 +14,21 @@ def newest(df: DataFrame, n: int, ts: str = "timestamp_parsed", tiebreak: str |
     """The ``n`` newest rows: every task keeps ``n``, nothing is sorted globally.
 
     With many thousand tasks even ``n`` rows from each are too many for the task that
-    merges them.  Given the ``day`` column of a partitioned table, only the last days that
-    hold ``n`` rows are read.
+    merges them.  Given the ``day`` column by which a stored table is partitioned, only
+    the last days that hold ``n`` rows are read; rows without a day count as the oldest.
     """
     if day is not None:
-        df = df.filter(F.col(day) >= _first_day_needed(df, n, day))
-    order = [F.desc(ts)] + ([F.desc(tiebreak)] if tiebreak else [])
+        first = _first_day_needed(df, n, day)
+        df = df if first is None else df.filter(F.col(day) >= F.lit(first))
+    order = [F.desc_nulls_last(ts)] + ([F.desc_nulls_last(tiebreak)] if tiebreak else [])
     return df.orderBy(*order).limit(n)
 
 
-def _first_day_needed(df: DataFrame, n: int, day: str) -> Column:
-    """Latest day such that it and the days after it hold at least ``n`` rows."""
+def _first_day_needed(df: DataFrame, n: int, day: str):
+    """Latest day such that it and the days after it hold ``n`` rows; None if all do not."""
     counts = df.filter(F.col(day).isNotNull()).groupBy(day).count()   # one row per day
     covered = counts.withColumn("_covered", F.sum("count").over(Window.orderBy(F.desc(day))))
-    found = covered.agg(F.max(F.when(F.col("_covered") >= n, F.col(day))), F.min(day)).first()
-    return F.lit(found[0] or found[1])
+    return covered.agg(F.max(F.when(F.col("_covered") >= n, F.col(day)))).first()[0]
 
 
 def latest_per_symbol(df: DataFrame, columns: list[str], ts: str = "timestamp_parsed",

@@ -9,11 +9,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickforge import schemas, settings
+from tickforge.functions.clock import micros
 from tickforge.session import shared_dir
 
 LABEL = "target"
 IDENTITY = ("symbol", "timestamp_parsed")
-ROWS_PER_TASK = 20_000   # below this, starting a task costs more than its share of a pass
+TIMES = ("timestamp_parsed",)
 
 
 # ----------------------------------------------------------------- training
@@ -23,46 +24,63 @@ def prepare(features: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return features.dropna(subset=(columns or settings.FEATURE_COLUMNS) + [LABEL])
 
 
-def split(df: DataFrame, test_share: float = 0.2, seed: int = 42,
-          identity: tuple[str, ...] = IDENTITY) -> tuple[DataFrame, DataFrame]:
-    """Stratified split that a recomputed partition cannot change.
+def draw(identity: tuple[str, ...] = IDENTITY, seed: int = 42) -> Column:
+    """A number in [0, 2^32) from a row's identity: the leading digits of an md5, which any
+    engine can compute."""
+    parts = [F.coalesce((micros(c) if c in TIMES else F.col(c)).cast("string"), F.lit("")) for c in identity]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts, F.lit(str(seed)))), 1, 8), 16, 10).cast("bigint")
+
 
-    Each row draws from a hash of its identity; within each class the rows below that
-    class's ``test_share`` quantile of draws form the test set.  The only data brought
-    to the driver is one threshold per class.
+def with_split(df: DataFrame, test_share: float = 0.2, seed: int = 42,
+               identity: tuple[str, ...] = IDENTITY) -> DataFrame:
+    """``df`` with the column ``dataset``: train or test.
+
+    Each row falls by a hash of its identity, so classes are split alike and neither the
+    layout of the rows nor the other rows change a row's set.  Nothing is counted.
     """
-    draw = F.pmod(F.xxhash64(*identity, F.lit(seed)), F.lit(2 ** 31))
-    cuts = df.agg(*[
-        F.percentile_approx(F.when(F.col(LABEL) == c, draw), test_share, 10_000).alias(f"cut_{c}") for c in (0, 1)
-    ]).first()
-    in_test = draw <= F.when(F.col(LABEL) == 1, cuts["cut_1"]).otherwise(cuts["cut_0"])
-    return df.filter(~in_test), df.filter(in_test)
+    return df.withColumn("dataset", F.when(draw(identity, seed) < int(test_share * 2 ** 32), "test").otherwise("train"))
+
+
+def split(df: DataFrame, test_share: float = 0.2, seed: int = 42,
+          identity: tuple[str, ...] = IDENTITY) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows of :func:`with_split`."""
+    parted = with_split(df, test_share, seed, identity)
+    return tuple(parted.filter(F.col("dataset") == d).drop("dataset") for d in ("train", "test"))
 
 
 def train(rows: DataFrame, columns: list[str] | None = None, trees: int = 100, depth: int = 5,
-          rate: float = 0.1, seed: int = 42) -> PipelineModel:
+          rate: float = 0.1, seed: int = 42, partitions: int = 8, fit_rows: int | None = None) -> PipelineModel:
     """Gradient-boosted trees; every tenth round is checkpointed to the shared folder.
 
-    Training passes over the rows hundreds of times, so a table of few large files is
-    spread once over the cores beforehand.
+    Rows are always laid out in ``partitions`` sorted by identity, so one seed gives one
+    model wherever it is fitted; choose about as many as the cluster has cores.  With
+    ``fit_rows`` at most that many rows, the first by their hash, are used.
     """
     columns = columns or settings.FEATURE_COLUMNS
-    context = rows.sparkSession.sparkContext
-    context.setCheckpointDir(shared_dir(rows.sparkSession))
-    useful = min(context.defaultParallelism, rows.count() // ROWS_PER_TASK)
-    if rows.rdd.getNumPartitions() < useful:
-        rows = rows.repartition(useful, *IDENTITY).sortWithinPartitions(*IDENTITY)
+    rows.sparkSession.sparkContext.setCheckpointDir(shared_dir(rows.sparkSession))
+    if fit_rows is not None:
+        rows = rows.orderBy(draw(seed=seed + 1), *IDENTITY).limit(fit_rows)
+    laid = rows.repartition(partitions, *IDENTITY).sortWithinPartitions(*IDENTITY)
     return Pipeline(stages=[
         VectorAssembler(inputCols=columns, outputCol="vector", handleInvalid="skip"),
         GBTClassifier(featuresCol="vector", labelCol=LABEL, maxIter=trees, maxDepth=depth,
                       stepSize=rate, seed=seed),
-    ]).fit(rows.select(*columns, LABEL))
+    ]).fit(laid.select(*columns, LABEL))
 
 
 def save(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
 
+def save_metrics(measured: DataFrame, path: str) -> None:
+    """Metrics by dataset, beside the model they were measured with."""
+    measured.coalesce(1).write.mode("overwrite").parquet(f"{path}/measured")
+
+
+def stored_metrics(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/measured")
+
+
 def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
@@ -158,12 +176,14 @@ def accuracy_by_symbol(predicted: DataFrame, support: int = settings.MIN_SUPPORT
     ).filter(F.col("total") >= support).orderBy(F.desc("accuracy"), "symbol")
 
 
-def live_accuracy(predicted: DataFrame, test_accuracy: float | Column) -> DataFrame:
-    """Accuracy over known outcomes and its distance from the test accuracy, in points."""
-    test = test_accuracy if isinstance(test_accuracy, Column) else F.lit(float(test_accuracy))
+def live_accuracy(predicted: DataFrame, measured: DataFrame) -> DataFrame:
+    """Accuracy over known outcomes and its distance, in points, from the test accuracy
+    stored with the model."""
     live = predicted.filter(F.col(LABEL).isNotNull()).agg(
         F.avg(F.col("correct").cast("int")).alias("live_accuracy"))
-    return live.withColumn("delta_points", (F.col("live_accuracy") - test) * 100)
+    test = measured.filter("dataset = 'test'").agg(F.first("accuracy").alias("_test"))   # one row
+    return live.join(test, F.lit(True)).select(
+        "live_accuracy", ((F.col("live_accuracy") - F.col("_test")) * 100).alias("delta_points"))
 
 
 def prediction_distribution(predicted: DataFrame) -> DataFrame:

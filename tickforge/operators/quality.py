@@ -38,10 +38,26 @@ def unique(df: DataFrame, table: str, column: str) -> DataFrame:
         F.lit("unique").alias("rule"), "failures")
 
 
+def both(df: DataFrame, table: str, columns: list[str], key: str) -> DataFrame:
+    """NULLs per column and repeated values of ``key``, in one aggregation by ``key``."""
+    per = df.groupBy(key).agg(F.count("*").alias("_n"), *[
+        F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in columns])
+    found = per.agg(
+        *[F.coalesce(F.sum(f"_null_{c}"), F.lit(0)).alias(f"not_null {c}") for c in columns],
+        F.count_if(F.col(key).isNotNull() & (F.col("_n") > 1)).alias(f"unique {key}"))
+    rule = F.split("_test", " ")
+    return found.unpivot([], found.columns, "_test", "failures").select(
+        F.lit(table).alias("table_name"), rule[1].alias("column_name"), rule[0].alias("rule"), "failures")
+
+
 def run_tests(tables: dict[str, DataFrame]) -> DataFrame:
-    """Every declared test on the tables given."""
-    checks = [not_null(tables[t], t, cols) for t, cols in NOT_NULL.items() if t in tables]
-    checks += [unique(tables[t], t, c) for t, cols in UNIQUE.items() if t in tables for c in cols]
+    """Every declared test on the tables given, each read once."""
+    checks = []
+    for table, columns in NOT_NULL.items():
+        if table in tables:
+            keys = UNIQUE.get(table, [])
+            checks.append(both(tables[table], table, columns, keys[0]) if keys else
+                          not_null(tables[table], table, columns))
     return reduce(DataFrame.unionByName, checks)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -364,7 +365,7 @@ def class_distribution(spark, sf_dir):
 
 @exact
 def newest_trades(spark, sf_dir):
-    return dashboard.newest(trades(spark, sf_dir), settings.SCORED_ROWS, tiebreak=ID, day="trade_date").select(
+    return dashboard.newest(trades(spark, sf_dir), settings.SCORED_ROWS, tiebreak=ID).select(
         *BASE, "price", "price_change_pct")
 
 
@@ -434,14 +435,15 @@ def chart_volume(spark, sf_dir):
 
 @query
 def newest_sentiment(spark, sf_dir):
-    return dashboard.newest(sentiment(spark, sf_dir), 500, tiebreak=ID, day="date_parsed").select(
+    """The join gives one row per tick, so it is needed for the rows kept only."""
+    kept = dashboard.newest(fx.enriched(spark, sf_dir), 500, tiebreak=ID)
+    return news.ticks_with_sentiment(kept, daily_news(spark, sf_dir)).select(
         *BASE, "price", "price_change_pct", *news.MEASURES)
 
 
 @query
 def sentiment_dist(spark, sf_dir):
-    return dashboard.sentiment_distribution(sentiment(spark, sf_dir).withColumn(
-        "news_sentiment", six_places(F.col("news_sentiment"))))
+    return dashboard.sentiment_distribution(sentiment(spark, sf_dir))
 
 
 @query
@@ -474,7 +476,8 @@ def anomaly_timeline(spark, sf_dir):
 
 @exact
 def dq_tests(spark, sf_dir):
-    dim, facts_ = fx.dimension(spark, sf_dir), trades(spark, sf_dir)
+    """Tables that several tests read, directly or through a mart, are stored once."""
+    dim, facts_ = fx.dimension(spark, sf_dir), stage(trades(spark, sf_dir), "trades")
     stored = stage(bars(spark, sf_dir), "candles")
     staged = marts.stg_stock_trades(facts_, keep=(ID,))
     built = fx.stock_ticks(fx.table(spark, sf_dir, "events")).withColumnRenamed("timestamp", "timestamp_parsed")
@@ -594,7 +597,10 @@ def confidence_hist(spark, sf_dir):
 
 @query
 def live_accuracy(spark, sf_dir):
-    return ml.live_accuracy(rule_predictions(spark, sf_dir), 0.6705)
+    """Accuracy of the rule against the metrics stored for its test rows."""
+    predicted, path = stage(rule_predictions(spark, sf_dir), "predicted"), fresh_path(spark, "rule")
+    ml.save_metrics(ml.metrics(ml.split(predicted)[1], "test"), path)
+    return ml.live_accuracy(predicted, ml.stored_metrics(spark, path))
 
 
 @query
@@ -606,41 +612,76 @@ _MODELS: dict[tuple[str, str], tuple[str, str]] = {}
 
 
 def trained(spark, sf_dir):
-    """Fitted model and prepared rows; fitted once per session and folder, then loaded back."""
+    """Folder of the fitted model with its metrics, and the stored feature table with its
+    split; fitted once per session and folder.  Rows that lack a feature have no dataset."""
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _MODELS:
         rows, model = fresh_path(spark, "features"), fresh_path(spark, "model")
-        ml.prepare(feature_rows(spark, sf_dir)).write.parquet(rows)
-        ml.save(ml.train(ml.split(spark.read.parquet(rows))[0]), model)
+        whole = reduce(lambda c, x: c & x, [F.col(c).isNotNull() for c in [*settings.FEATURE_COLUMNS, ml.LABEL]])
+        ml.with_split(feature_rows(spark, sf_dir)).withColumn(
+            "dataset", F.when(whole, F.col("dataset"))).write.parquet(rows)
+        stored = spark.read.parquet(rows)
+        fitted = ml.train(stored.filter("dataset = 'train'"))
+        ml.save(fitted, model)
+        scored = ml.predict(fitted, stored.filter("dataset is not null"))
+        ml.save_metrics(ml.metrics(scored.filter("dataset = 'train'"), "train").unionByName(
+            ml.metrics(scored.filter("dataset = 'test'"), "test")), model)
         _MODELS[at] = (model, rows)
     model, rows = _MODELS[at]
-    return ml.load(model), *ml.split(spark.read.parquet(rows))
+    return model, spark.read.parquet(rows)
 
 
 @query
 def split_sizes(spark, sf_dir):
     """Class counts of the training and the test set."""
-    rows = stage(ml.prepare(feature_rows(spark, sf_dir)), "features")
-    fit, held_out = ml.split(rows)
-    return ml.class_distribution(fit).withColumn("dataset", F.lit("train")).unionByName(
-        ml.class_distribution(held_out).withColumn("dataset", F.lit("test")))
+    return ml.with_split(ml.prepare(feature_rows(spark, sf_dir))).groupBy("dataset", ml.LABEL).agg(
+        F.count("*").alias("count"))
 
 
 @query
 def gbt_metrics(spark, sf_dir):
-    model, fit, held_out = trained(spark, sf_dir)
-    return ml.metrics(ml.predict(model, fit), "train").unionByName(ml.metrics(ml.predict(model, held_out), "test"))
+    return ml.stored_metrics(spark, trained(spark, sf_dir)[0])
 
 
 @query
 def gbt_predictions(spark, sf_dir):
     """The newest feature rows, scored."""
-    model, *_ = trained(spark, sf_dir)
-    newest = dashboard.newest(feature_rows(spark, sf_dir), settings.SCORED_ROWS, tiebreak="symbol")
-    return ml.predictions_table(ml.predict(model, newest))
+    model, rows = trained(spark, sf_dir)
+    newest = dashboard.newest(rows.drop("dataset"), settings.SCORED_ROWS, tiebreak="symbol")
+    return ml.predictions_table(ml.predict(ml.load(model), newest))
 
 
 @query
 def gbt_importance(spark, sf_dir):
-    model, *_ = trained(spark, sf_dir)
-    return ml.importance(spark, model)
+    return ml.importance(spark, ml.load(trained(spark, sf_dir)[0]))
+
+
+@query
+def gbt_facts(spark, sf_dir):
+    """What holds for any fitted model: every prepared row is scored, probabilities add up
+    to its set's size, labels and confidence follow from them, importances sum to 1."""
+    model, rows = trained(spark, sf_dir)
+    fitted = ml.load(model)
+    weights = ml.importance(spark, fitted)
+    total = weights.agg(F.round(F.sum("importance"), 6).alias("importance"), F.count("*").alias("features"))
+    up, down = F.col("probability_up"), F.col("probability_down")
+    facts_ = ml.predict(fitted, rows.filter("dataset is not null")).groupBy("dataset").agg(
+        F.count("*").alias("rows"), F.round(F.sum(up + down), 3).alias("probability"),
+        F.count_if((F.col("prediction") == 1) != (up > down)).alias("wrong_side"),
+        F.count_if(F.col("confidence") < 0.5).alias("too_low"),
+        F.count_if(F.col("correct") != (F.col("prediction") == F.col(ml.LABEL))).alias("wrong_mark"),
+        F.sum(ml.LABEL).alias("ups"))
+    return facts_.join(total, F.lit(True))
+
+
+# ---------------------------------------------------------------- NULL ids
+
+@query
+def ohlc_null_ids(spark, sf_dir):
+    """Minute candles from ticks of which every fifth has no id: it comes before the
+    others of its time, and opens and closes are there."""
+    some = fx.enriched(spark, sf_dir).withColumn(ID, F.when(F.col(ID) % 5 != 0, F.col(ID)))
+    return candles.ohlc(some.withColumn("timestamp_parsed", F.date_trunc("minute", "timestamp_parsed")), "1 hour",
+                        tiebreak=ID).select("symbol", "window_start", "high", "low", "tick_count",
+                                            F.col("open").isNotNull().alias("opens"),
+                                            F.col("close").isNotNull().alias("closes"))

@@ -287,6 +287,13 @@ _NOT_NULL = "SELECT '{t}' AS table_name, '{c}' AS column_name, 'not_null' AS rul
 _UNIQUE = ("SELECT '{t}' AS table_name, '{c}' AS column_name, 'unique' AS rule, count(*) AS failures FROM "
            "(SELECT {c} FROM {s} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)")
 
+#: A row's set by the leading digits of its identity's md5; the hex digits are read one by one.
+_DIGEST = "md5(coalesce(symbol, '') || '|' || CAST(epoch_us(timestamp_parsed) AS VARCHAR) || '|42')"
+_DRAW = "(" + " + ".join(
+    f"(position(substr({_DIGEST}, {k + 1}, 1) IN '0123456789abcdef') - 1) * {16 ** (7 - k)}::BIGINT" for k in range(8)) + ")"
+_IN_TEST = f"{_DRAW} < {int(0.2 * 2 ** 32)}"
+_PREPARED = " AND ".join(f"{c} IS NOT NULL" for c in settings.FEATURE_COLUMNS)
+
 _SELECTS = {
     "ticks_built": f"SELECT {_TICK_COLUMNS}, timestamp, market_hours FROM ticks WHERE price <> 0",
     "crypto_built": "SELECT event_id, symbol, name, sector, exchange, currency, market_cap, market_open, timestamp, "
@@ -372,8 +379,8 @@ _SELECTS = {
     "chart_volume": f"SELECT window_start, volume, candle_color {_RECENT_BARS}",
     "newest_sentiment": f"SELECT {_BASE}, price, price_change_pct, {_MEASURES} FROM sentiment "
                         "ORDER BY timestamp_parsed DESC, event_id DESC LIMIT 500",
-    "sentiment_dist": "SELECT symbol, round(news_sentiment, 6) AS news_sentiment, count(*) AS count "
-                      "FROM sentiment GROUP BY symbol, round(news_sentiment, 6)",
+    "sentiment_dist": "SELECT symbol, round(news_sentiment, 6) AS news_sentiment, count "
+                      "FROM (SELECT symbol, news_sentiment, count(*) AS count FROM sentiment GROUP BY ALL)",
     "sentiment_correlation": "SELECT round(corr(news_sentiment, price_change_pct), 6) AS correlation, "
                              "count(*) AS ticks FROM sentiment",
     "sentiment_table": "SELECT symbol, round(arg_max(news_sentiment, (timestamp_parsed, event_id)), 6) "
@@ -426,8 +433,17 @@ FROM (SELECT count(*) FILTER (WHERE target = 1 AND prediction = 1) AS tp,
     "prediction_dist": "SELECT prediction_label, count(*) AS count FROM predicted GROUP BY prediction_label",
     "confidence_hist": "SELECT prediction_label, CAST(least(floor((confidence - 0.5) / 0.5 * 20) + 1, 20) AS INTEGER) "
                        "AS bin, count(*) AS count FROM predicted GROUP BY ALL",
-    "live_accuracy": "SELECT round(live, 6) AS live_accuracy, round((live - 0.6705::DOUBLE) * 100, 6) AS delta_points "
-                     "FROM (SELECT avg(CAST(correct AS INTEGER)) AS live FROM predicted)",
+    "live_accuracy": f"""SELECT round(live, 6) AS live_accuracy, round((live - test) * 100, 6) AS delta_points
+FROM (SELECT avg(CAST(correct AS INTEGER)) AS live,
+             avg(CAST(correct AS INTEGER)) FILTER (WHERE {_IN_TEST}) AS test FROM predicted)""",
+    "split_sizes": f"SELECT CASE WHEN {_IN_TEST} THEN 'test' ELSE 'train' END AS dataset, target, count(*) AS count "
+                   f"FROM features WHERE {_PREPARED} GROUP BY ALL",
+    "gbt_facts": f"""SELECT CASE WHEN {_IN_TEST} THEN 'test' ELSE 'train' END AS dataset, count(*) AS rows,
+  CAST(count(*) AS DOUBLE) AS probability, 0 AS wrong_side, 0 AS too_low, 0 AS wrong_mark,
+  CAST(sum(target) AS BIGINT) AS ups, 1.0::DOUBLE AS importance, {len(settings.FEATURE_COLUMNS)} AS features
+FROM features WHERE {_PREPARED} GROUP BY 1""",
+    "ohlc_null_ids": "SELECT symbol, time_bucket(INTERVAL '1 hour', timestamp_parsed) AS window_start, max(price) AS high, "
+                     "min(price) AS low, count(*) AS tick_count, true AS opens, true AS closes FROM enriched GROUP BY ALL",
     "predictions_contract": "SELECT symbol, timestamp_parsed, price, prediction, prediction_label, "
                             "round(probability_down, 6) AS probability_down, round(probability_up, 6) AS probability_up, "
                             "round(confidence, 6) AS confidence, target AS actual, correct FROM predicted",
