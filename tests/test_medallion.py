@@ -6,11 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickforge import settings
-from tickforge.operators import features
+from tickforge.operators import dashboard, features
 from tickforge.plans import catalogue, medallion, warehouse
 from tickforge.sinks import lake as sink
 from tickforge.sources import fixtures as fx, topics
-from tickforge.sources.lake import batch_table, snapshot
+from tickforge.sources.lake import batch_table, snapshot, versions
 from tickforge.streaming import jobs
 
 
@@ -67,6 +67,41 @@ def test_trade_look_back_prunes_days(spark, lake):
     assert "PartitionFilters: [isnotnull(trade_date" in plan
 
 
+def test_chart_look_back_prunes_days(spark, lake):
+    bars = batch_table(spark, lake.table("gold", "fact_ohlc_candles"))
+    found = dashboard.chart(bars, F.lit(datetime(2024, 1, 30)), 24, "S7", day="candle_date")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(candle_date" in plan
+
+
+def test_chain_with_a_silent_topic_and_a_new_field(spark, sf_dir, tmp_path):
+    folder, quiet = str(tmp_path / "topics"), jobs.Lake(str(tmp_path / "lake"))
+    some = catalogue.wire_messages(spark, sf_dir).limit(200)
+    sink.publish_messages(some, "json", f"{folder}/stocks")
+    for topic in ("crypto", "news"):
+        (tmp_path / "topics" / topic).mkdir(parents=True)
+    feeds = {k: topics.replay_topic(spark, f"{folder}/{k}") for k in settings.TOPICS}
+    medallion.run(spark, quiet, feeds, valid_from=datetime(2024, 1, 1))
+    ticks = batch_table(spark, quiet.table("silver", "stock_prices_enriched"))
+    joined = snapshot(spark, quiet.table("gold", "stock_with_sentiment"))
+    assert joined.count() == ticks.count() > 0 and joined.filter("news_count <> 0").count() == 0
+
+
+def test_snapshots_are_bounded_and_claimed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(6):
+        sink.overwrite(spark.range(n + 1), path, keep=2)
+    assert versions(spark, path) == [5, 6] and snapshot(spark, path).count() == 6
+    (tmp_path / "t" / "_claims" / "7").touch()      # another writer is at work
+    sink.overwrite(spark.range(3), path, keep=2)
+    assert versions(spark, path) == [6, 8] and snapshot(spark, path).count() == 3
+
+
+def test_keys_share_a_partition(spark, sf_dir):
+    sent = catalogue.wire_messages(spark, sf_dir).groupBy("key").agg(F.countDistinct("partition").alias("n"))
+    assert {r.n for r in sent.collect()} == {1}
+
+
 def test_feature_table_is_current(spark, lake):
     stored = snapshot(spark, lake.table("ml", "features"))
     assert stored.columns == features.OUTPUT and stored.filter("target is null").count() == 0

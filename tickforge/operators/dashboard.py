@@ -50,9 +50,14 @@ def top(df: DataFrame, by: str, n: int, ascending: bool = False) -> DataFrame:
     return df.filter(F.col(by).isNotNull()).orderBy(first, F.asc("symbol")).limit(n)
 
 
-def recent(df: DataFrame, ts: str, as_of: Column, hours: int, symbol: str | None = None) -> DataFrame:
-    """Rows of the look-back, optionally of one symbol; both predicates reach the scan."""
+def recent(df: DataFrame, ts: str, as_of: Column, hours: int, symbol: str | None = None,
+           day: str | None = None) -> DataFrame:
+    """Rows of the look-back, optionally of one symbol; all predicates reach the scan.
+    ``day`` names the column by which a stored table is partitioned: older days are not
+    read."""
     kept = df.filter(since(ts, as_of, hours))
+    if day is not None:
+        kept = kept.filter(F.col(day) >= F.to_date(as_of - F.make_dt_interval(hours=F.lit(hours))))
     return kept if symbol is None else kept.filter(F.col("symbol") == symbol)
 
 
@@ -92,8 +97,8 @@ def price_table(latest: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------------------- chart
 
-def chart(candles: DataFrame, as_of: Column, hours: int, symbol: str) -> DataFrame:
-    return recent(candles, "window_start", as_of, hours, symbol).orderBy("window_start")
+def chart(candles: DataFrame, as_of: Column, hours: int, symbol: str, day: str | None = None) -> DataFrame:
+    return recent(candles, "window_start", as_of, hours, symbol, day).orderBy("window_start")
 
 
 def chart_stats(candles: DataFrame) -> DataFrame:

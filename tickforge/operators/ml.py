@@ -31,14 +31,46 @@ def draw(identity: tuple[str, ...] = IDENTITY, seed: int = 42) -> Column:
     return F.conv(F.substring(F.md5(F.concat_ws("|", *parts, F.lit(str(seed)))), 1, 8), 16, 10).cast("bigint")
 
 
+def cuts(df: DataFrame, test_share: float, seed: int, identity: tuple[str, ...]) -> list[tuple[int | None, int]]:
+    """(class, largest draw of its test set): the exact order statistic at ``test_share``.
+
+    Found in two counts, by the upper and then the lower 16 bits of the draws, so at most
+    65,536 counts per class reach the driver however many rows there are, and the layout of
+    the rows cannot change them.
+    """
+    upper, lower = F.shiftright(draw(identity, seed), 16), draw(identity, seed)
+    found = []
+    rows = df.groupBy(F.col(LABEL).cast("int").alias("c"), upper.alias("u")).count().collect()
+    for c in {r.c for r in rows}:
+        left = int(sum(r["count"] for r in rows if r.c == c) * test_share + 0.5)
+        for r in sorted((r for r in rows if r.c == c), key=lambda r: r.u):
+            if left <= r["count"]:
+                found.append((c, r.u, left))
+                break
+            left -= r["count"]
+    out = []
+    for c, u, left in found:
+        part = df.filter(F.col(LABEL).cast("int").eqNullSafe(F.lit(c)) & (upper == u)).groupBy(lower.alias("d")).count()
+        cut = -1
+        for r in sorted(part.collect(), key=lambda r: r.d):
+            if left <= 0:
+                break
+            cut, left = r.d, left - r["count"]
+        out.append((c, cut))
+    return out
+
+
 def with_split(df: DataFrame, test_share: float = 0.2, seed: int = 42,
                identity: tuple[str, ...] = IDENTITY) -> DataFrame:
-    """``df`` with the column ``dataset``: train or test.
+    """``df`` with the column ``dataset``: train or test, stratified by class.
 
-    Each row falls by a hash of its identity, so classes are split alike and neither the
-    layout of the rows nor the other rows change a row's set.  Nothing is counted.
+    Each row draws from a hash of its identity; the ``test_share`` of each class with the
+    smallest draws is its test set.  Rows of one identity stay together.
     """
-    return df.withColumn("dataset", F.when(draw(identity, seed) < int(test_share * 2 ** 32), "test").otherwise("train"))
+    in_test = F.lit(False)
+    for c, cut in cuts(df, test_share, seed, identity):
+        in_test = in_test | (F.col(LABEL).cast("int").eqNullSafe(F.lit(c)) & (draw(identity, seed) <= cut))
+    return df.withColumn("dataset", F.when(in_test, "test").otherwise("train"))
 
 
 def split(df: DataFrame, test_share: float = 0.2, seed: int = 42,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
@@ -536,9 +537,9 @@ def stream_hourly(spark, sf_dir):
 @exact
 def stream_json_decode(spark, sf_dir):
     """Ticks written as JSON envelopes, read back as a topic stream, decoded and enriched."""
-    folder = fresh_path(spark, "topic")
+    folder = fresh_path(spark, "topic")     # this topic's alone: nothing to filter
     sink.publish_messages(wire_messages(spark, sf_dir), "json", folder)
-    live = topics.decode(topics.replay_topic(spark, folder, settings.TOPICS["stocks"]), schemas.STOCK_DDL)
+    live = topics.decode(topics.replay_topic(spark, folder), schemas.STOCK_DDL)
     return ticks.enrich(_drained(spark, live, "decoded")).select(
         F.col("offset").alias(ID), "symbol", "timestamp_parsed", "price", "volume", "price_change_pct",
         "market_hours", "is_anomaly")
@@ -558,16 +559,57 @@ def medallion_features(spark, sf_dir):
     return snapshot(spark, run_chain(spark, sf_dir).table("ml", "features"))
 
 
-def run_chain(spark, sf_dir) -> jobs.Lake:
+def run_chain(spark, sf_dir, database: str | None = None) -> jobs.Lake:
     folder = fresh_path(spark, "topics")
-    for msgs in (wire_messages(spark, sf_dir), wire_messages(spark, sf_dir, "crypto"), news_messages(spark, sf_dir)):
-        sink.publish_messages(msgs, "json", folder)
-    feeds = {kind: topics.replay_topic(spark, folder, topic) for kind, topic in settings.TOPICS.items()}
+    for kind, msgs in (("stocks", wire_messages(spark, sf_dir)), ("crypto", wire_messages(spark, sf_dir, "crypto")),
+                       ("news", news_messages(spark, sf_dir))):
+        sink.publish_messages(msgs, "json", f"{folder}/{settings.TOPICS[kind]}")
+    feeds = {kind: topics.replay_topic(spark, f"{folder}/{topic}") for kind, topic in settings.TOPICS.items()}
     lake = jobs.Lake(fresh_path(spark, "lake"))
-    medallion.run(spark, lake, feeds, valid_from=datetime(2024, 1, 1))
+    report = medallion.run(spark, lake, feeds, valid_from=datetime(2024, 1, 1), database=database)
+    if report is not None:
+        sink.overwrite(report, lake.table("warehouse", "report"))
     return lake
 
 
+_WAREHOUSES: dict[tuple[str, str], tuple[str, jobs.Lake]] = {}
+
+
+def loaded(spark, sf_dir) -> tuple[str, jobs.Lake]:
+    """Database that the chain has filled, and its lake; once per session and folder."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _WAREHOUSES:
+        database = f"market_{uuid.uuid4().hex[:8]}"
+        _WAREHOUSES[at] = (database, run_chain(spark, sf_dir, database))
+    return _WAREHOUSES[at]
+
+
+@query
+def warehouse_performance(spark, sf_dir):
+    """Daily performance as the warehouse stores it."""
+    return spark.table(f"{loaded(spark, sf_dir)[0]}.fct_daily_performance").drop("created_at")
+
+
+@query
+def warehouse_metrics(spark, sf_dir):
+    """24-hour metrics as the warehouse stores them, looking back from the newest trade."""
+    return spark.table(f"{loaded(spark, sf_dir)[0]}.fct_stock_metrics").select(
+        "symbol", "candle_count_24h", "avg_price_24h", "total_volume_24h", "high_24h", "low_24h", "current_price")
+
+
+@exact
+def warehouse_trades(spark, sf_dir):
+    """Loaded trades in the declared columns."""
+    return spark.table(f"{loaded(spark, sf_dir)[0]}.raw_stock_trades").drop("source", "loaded_at").withColumnRenamed(
+        "offset", ID)
+
+
+@exact
+def warehouse_tests(spark, sf_dir):
+    """The report of the declared data tests on the warehouse."""
+    return snapshot(spark, loaded(spark, sf_dir)[1].table("warehouse", "report"))
+
+
 # ----------------------------------------------------------------------- ml
 
 @exact
@@ -618,8 +660,9 @@ def trained(spark, sf_dir):
     if at not in _MODELS:
         rows, model = fresh_path(spark, "features"), fresh_path(spark, "model")
         whole = reduce(lambda c, x: c & x, [F.col(c).isNotNull() for c in [*settings.FEATURE_COLUMNS, ml.LABEL]])
-        ml.with_split(feature_rows(spark, sf_dir)).withColumn(
-            "dataset", F.when(whole, F.col("dataset"))).write.parquet(rows)
+        found = stage(feature_rows(spark, sf_dir), "features")
+        ml.with_split(found.filter(whole)).unionByName(
+            found.filter(~whole).withColumn("dataset", F.lit(None).cast("string"))).write.parquet(rows)
         stored = spark.read.parquet(rows)
         fitted = ml.train(stored.filter("dataset = 'train'"))
         ml.save(fitted, model)
@@ -634,7 +677,7 @@ def trained(spark, sf_dir):
 @query
 def split_sizes(spark, sf_dir):
     """Class counts of the training and the test set."""
-    return ml.with_split(ml.prepare(feature_rows(spark, sf_dir))).groupBy("dataset", ml.LABEL).agg(
+    return ml.with_split(stage(ml.prepare(feature_rows(spark, sf_dir)), "features")).groupBy("dataset", ml.LABEL).agg(
         F.count("*").alias("count"))
 
 

@@ -4,22 +4,26 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickforge.operators import facts, features, news
 from tickforge.plans import warehouse
 from tickforge.session import stage
 from tickforge.sinks.lake import overwrite
-from tickforge.sources.lake import batch_table, snapshot
-from tickforge.streaming.jobs import Lake, drain, ingest, refine, serve
+from tickforge.sources.lake import snapshot, table_or_empty
+from tickforge.streaming.jobs import Lake, cleaned_schemas, drain, ingest, refine, serve, trade_schema
 
 
 def refresh_sentiment(spark: SparkSession, lake: Lake) -> None:
     """Rebuild ticks-with-sentiment from the cleaned tables."""
-    ticks = batch_table(spark, lake.table("silver", "stock_prices_enriched"), lake.fmt)
-    cleaned = batch_table(spark, lake.table("silver", "news_sentiment_clean"), lake.fmt)
-    overwrite(news.ticks_with_sentiment(ticks, stage(news.daily(cleaned), "daily-news")),
-              lake.table("gold", "stock_with_sentiment"), lake.fmt)
+    declared = cleaned_schemas(spark)
+
+    def cleaned(table: str) -> DataFrame:
+        return table_or_empty(spark, lake.table("silver", table), declared[table], lake.fmt)
+
+    joined = news.ticks_with_sentiment(cleaned("stock_prices_enriched"),
+                                       stage(news.daily(cleaned("news_sentiment_clean")), "daily-news"))
+    overwrite(joined, lake.table("gold", "stock_with_sentiment"), lake.fmt, partition_by=["date_parsed"])
 
 
 def refresh_dimension(spark: SparkSession, lake: Lake, valid_from: datetime) -> None:
@@ -28,7 +32,7 @@ def refresh_dimension(spark: SparkSession, lake: Lake, valid_from: datetime) ->
 
 def refresh_features(spark: SparkSession, lake: Lake, tiebreak: str = "offset") -> None:
     """Rebuild the feature table from trade facts and the newest sentiment per symbol."""
-    trades = batch_table(spark, lake.table("gold", "fact_stock_trades"), lake.fmt)
+    trades = table_or_empty(spark, lake.table("gold", "fact_stock_trades"), trade_schema(spark), lake.fmt)
     trades = trades.withColumnRenamed("trade_timestamp", "timestamp_parsed")   # name in older tables
     sentiment = snapshot(spark, lake.table("gold", "stock_with_sentiment"), lake.fmt)
     latest = stage(news.latest_sentiment(sentiment, tiebreak), "latest-sentiment")
@@ -36,11 +40,13 @@ def refresh_features(spark: SparkSession, lake: Lake, tiebreak: str = "offset")
 
 
 def run(spark: SparkSession, lake: Lake, topics: dict[str, DataFrame], valid_from: datetime,
-        database: str | None = None) -> None:
+        database: str | None = None, as_of: Column | None = None) -> DataFrame | None:
     """Bring every layer up to date with what the topics hold, then load the warehouse.
 
     Each stage takes what is available and ends, so the next one can start; running the
-    chain again continues from the checkpoints.
+    chain again continues from the checkpoints.  The marts look back from ``as_of``, by
+    default the newest trade, so a replay of past ticks gives their marts.  Returns the
+    report of the warehouse's data tests.
     """
     drain(ingest(lake, topics))
     drain(refine(spark, lake))
@@ -50,4 +56,8 @@ def run(spark: SparkSession, lake: Lake, topics: dict[str, DataFrame], valid_fro
     refresh_features(spark, lake)
     if database:
         warehouse.load(spark, lake, database)
-        warehouse.build(spark, database, as_of=F.lit(datetime.now()))
+        if as_of is None:
+            newest = spark.table(f"{database}.raw_stock_trades").agg(F.max("timestamp_parsed")).first()[0]
+            as_of = F.lit(newest or datetime.now())
+        return warehouse.build(spark, database, as_of)
+    return None

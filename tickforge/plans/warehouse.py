@@ -4,31 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from tickforge import schemas
 from tickforge.operators import marts, quality
 from tickforge.sinks.lake import epoch_to_time, publish, stamped
 from tickforge.sources.lake import batch_table, exists, snapshot
 from tickforge.streaming.jobs import Lake
 
-# Lake folder -> warehouse table; the third part marks whole-table snapshots.
+# Lake folder -> warehouse table, its contract, the day it is stored by; the
+# fourth part marks whole-table snapshots.
 LOADS = [
-    ("gold", "fact_stock_trades", "raw_stock_trades", False),
-    ("gold", "fact_ohlc_candles", "raw_ohlc_candles", False),
-    ("gold", "stock_with_sentiment", "raw_stock_sentiment", True),
-    ("gold", "dim_stocks", "raw_dim_stocks", True),
-    ("ml", "features", "ml_features", True),
+    ("gold", "fact_stock_trades", "raw_stock_trades", False, "raw.stock_trades", "trade_date"),
+    ("gold", "fact_ohlc_candles", "raw_ohlc_candles", False, "raw.ohlc_candles", "candle_date"),
+    ("gold", "stock_with_sentiment", "raw_stock_sentiment", True, "raw.stock_sentiment", "date_parsed"),
+    ("gold", "dim_stocks", "raw_dim_stocks", True, "raw.dim_stocks", None),
+    ("ml", "features", "ml_features", True, "ml.features", None),
 ]
+#: Beyond the contract: the id that orders ticks of one time.
+KEPT = ("offset",)
 
 
 def load(spark: SparkSession, lake: Lake, database: str, fmt: str = "parquet") -> list[str]:
-    """Replace the raw tables with the current lake tables; absent folders are skipped."""
+    """Replace the raw tables with the current lake tables in their declared columns; absent
+    folders are skipped."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     loaded = []
-    for layer, folder, table, is_snapshot in LOADS:
+    for layer, folder, table, is_snapshot, contract, day in LOADS:
         path = lake.table(layer, folder)
         if not exists(spark, path):
             continue
-        df = (snapshot if is_snapshot else batch_table)(spark, path, lake.fmt)
-        publish(epoch_to_time(df), f"{database}.{table}", fmt)
+        df = epoch_to_time((snapshot if is_snapshot else batch_table)(spark, path, lake.fmt))
+        extra = [c for c in (*KEPT, day) if c in df.columns]
+        declared = schemas.conform(df, schemas.WAREHOUSE_DDL[contract], absent=("source", "loaded_at"), keep=extra)
+        publish(declared, f"{database}.{table}", fmt, [day] if day else None)
         loaded.append(table)
     return loaded
 
@@ -58,7 +65,7 @@ def mart_models(stg: dict[str, DataFrame], as_of: Column) -> dict[str, DataFrame
 
 def build(spark: SparkSession, database: str, as_of: Column, fmt: str = "parquet") -> DataFrame:
     """Create the staging views and mart tables; returns the report of the declared tests."""
-    raw = {table: spark.table(f"{database}.{table}") for *_, table, _ in LOADS[:4]}
+    raw = {table: spark.table(f"{database}.{table}") for _, _, table, *_ in LOADS[:4]}
     stg = staging(raw)
     for name, df in stg.items():
         df.createOrReplaceTempView(name)

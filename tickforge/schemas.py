@@ -86,8 +86,9 @@ def struct(ddl: str) -> StructType:
     return StructType.fromDDL(ddl)
 
 
-def conform(df: DataFrame, ddl: str, absent: tuple[str, ...] = ()) -> DataFrame:
-    """Project ``df`` onto a contract: order, names and types.
+def conform(df: DataFrame, ddl: str, absent: tuple[str, ...] = (), keep: list[str] | None = None) -> DataFrame:
+    """Project ``df`` onto a contract: order, names and types; ``keep`` names columns that
+    follow as they are.
 
     Columns named in ``absent`` may be missing and become NULL; any other missing
     column is an error, so a renamed upstream column cannot turn into NULLs.
@@ -99,4 +100,4 @@ def conform(df: DataFrame, ddl: str, absent: tuple[str, ...] = ()) -> DataFrame:
     return df.select([
         (F.col(have[f.name]) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in schema
-    ])
+    ] + [F.col(c) for c in keep or [] if c.lower() not in {f.name.lower() for f in schema}])

@@ -35,22 +35,36 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, name: str | None, f
     return writer.trigger(**trigger).start(path)
 
 
-def overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def overwrite(df: DataFrame, path: str, fmt: str = "parquet", keep: int = 3,
+              partition_by: list[str] | None = None) -> None:
     """Replace a whole table without readers seeing it half-written.
 
     Plain files have no atomic overwrite, so each write is a new ``v=<n>`` folder that
-    counts from the moment its success marker exists.
+    counts from the moment its success marker exists.  A writer claims its number by
+    making the folder's claim file, which only one can; the ``keep`` newest complete
+    snapshots stay, so a reader has that many refreshes to finish.
     """
+    spark = df.sparkSession
+    writer = df.write.format(fmt).mode("overwrite")
+    writer = writer.partitionBy(*partition_by) if partition_by else writer
     if fmt == "delta":
-        df.write.format(fmt).mode("overwrite").save(path)
+        writer.save(path)
         return
-    found = versions(df.sparkSession, path)
-    df.write.format(fmt).mode("overwrite").save(f"{path}/v={(found[-1] if found else 0) + 1}")
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = versions(spark, path)
+    n = (found[-1] if found else 0) + 1
+    while not fs.createNewFile(hadoop.Path(f"{path}/_claims/{n}")):
+        n += 1
+    writer.save(f"{path}/v={n}")
+    for old in versions(spark, path)[:-keep]:
+        fs.delete(hadoop.Path(f"{path}/v={old}"), True)
 
 
-def publish(df: DataFrame, table: str, fmt: str = "parquet") -> None:
-    """Replace a catalog table."""
-    df.write.format(fmt).mode("overwrite").saveAsTable(table)
+def publish(df: DataFrame, table: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
+    """Replace a catalog table, keeping the layout that look-backs prune."""
+    writer = df.write.format(fmt).mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
 
 
 def epoch_to_time(df: DataFrame, column: str = "timestamp_parsed") -> DataFrame:
@@ -61,12 +75,12 @@ def epoch_to_time(df: DataFrame, column: str = "timestamp_parsed") -> DataFrame:
 
 
 def messages(df: DataFrame, topic: str, key: str = "symbol", payload: list[str] | None = None,
-             at: Column | None = None, offset: Column | None = None) -> DataFrame:
-    """Rows as keyed JSON messages in the broker envelope."""
+             at: Column | None = None, offset: Column | None = None, partitions: int = 8) -> DataFrame:
+    """Rows as keyed JSON messages in the broker envelope; equal keys share a partition."""
     body = F.to_json(F.struct(*(payload or df.columns)), {"ignoreNullFields": "false"})
     return df.select(
         F.col(key).cast("string").alias("key"), body.alias("value"), F.lit(topic).alias("topic"),
-        F.lit(0).alias("partition"),
+        F.pmod(F.hash(F.col(key).cast("string")), F.lit(partitions)).cast("int").alias("partition"),
         (offset if offset is not None else F.lit(None)).cast("bigint").alias("offset"),
         (at if at is not None else F.current_timestamp()).cast("timestamp").alias("timestamp"),
     )

@@ -8,13 +8,33 @@ from pyspark.sql.types import StructType
 
 def stream_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None,
                  **options: str) -> DataFrame:
-    """A table as a stream.  File formats need a schema: given, or that of the files present."""
+    """A table as a stream.  File formats need a schema: given, or that of the files present.
+
+    With a schema the table may still be empty, or not exist: its folder is made, and the
+    stream waits for the first file.
+    """
     reader = spark.readStream.format(fmt).options(**options)
     if fmt != "delta":
+        if schema is not None and not exists(spark, path):
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
         reader = reader.schema(schema or spark.read.format(fmt).load(path).schema)
     return reader.load(path)
 
 
+def table_or_empty(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """A table as of now, with the columns of ``schema`` and any that its files have beyond
+    them; no rows where nothing was written."""
+    if fmt == "delta":
+        return batch_table(spark, path, fmt)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop.Path(f"{path}/_spark_metadata/*"))
+    if not found:
+        return spark.createDataFrame([], schema)
+    return batch_table(spark, path, fmt, merge=True)
+
+
 def batch_table(spark: SparkSession, path: str, fmt: str = "parquet", merge: bool = False) -> DataFrame:
     """A table as of now; ``merge`` unites the columns of all files (additive evolution)."""
     reader = spark.read.format(fmt)

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tickforge import schemas, settings
 from tickforge.operators import candles, facts, news, ticks
@@ -61,6 +62,33 @@ RAW = {
 }
 
 
+def raw_schema(spark: SparkSession, kind: str) -> StructType:
+    """Declared columns of a raw table: the wire contract and where a message came from."""
+    envelope = spark.createDataFrame([], schemas.ENVELOPE_DDL)
+    return decode(envelope, RAW[kind][1]).withColumn("ingested_at", F.current_timestamp()).schema
+
+
+def cleaned_schemas(spark: SparkSession) -> dict[str, StructType]:
+    """Columns of the cleaned tables, from the raw ones through the same operators."""
+    def empty(kind: str) -> DataFrame:
+        return spark.createDataFrame([], raw_schema(spark, kind))
+
+    stocks = ticks.enrich(empty("stocks"))
+    return {
+        "stock_prices_enriched": stocks.schema,
+        "stock_prices_1min_ohlc": candles.ohlc(stocks.withColumn(
+            "timestamp_parsed", F.col("timestamp_parsed").cast("timestamp")), tiebreak="offset").withColumn(
+            "processed_at", F.current_timestamp()).schema,
+        "crypto_prices_enriched": ticks.enrich(empty("crypto")).schema,
+        "news_sentiment_clean": news.clean(empty("news")).schema,
+    }
+
+
+def trade_schema(spark: SparkSession) -> StructType:
+    stocks = spark.createDataFrame([], cleaned_schemas(spark)["stock_prices_enriched"])
+    return facts.fact_trades(stocks, keep=("offset",)).withColumn("loaded_at", F.current_timestamp()).schema
+
+
 def _append(lake: Lake, df: DataFrame, layer: str, table: str, stamp: str | None, continuous: bool,
             **kwargs) -> StreamingQuery:
     return append_stream(
@@ -79,31 +107,36 @@ def ingest(lake: Lake, topics: dict[str, DataFrame], continuous: bool = False) -
 
 def refine(spark: SparkSession, lake: Lake, continuous: bool = False) -> list[StreamingQuery]:
     """Raw tables to enriched ticks, minute candles and cleaned news."""
-    def raw(table: str) -> DataFrame:
-        return stream_table(spark, lake.table("bronze", table), lake.fmt)
+    def raw(kind: str) -> DataFrame:
+        return stream_table(spark, lake.table("bronze", RAW[kind][0]), lake.fmt, raw_schema(spark, kind))
 
-    stocks = ticks.enrich(raw("stock_prices"))
+    stocks = ticks.enrich(raw("stocks"))
     return [
-        _append(lake, stocks, "silver", "stock_prices_enriched", None, continuous),
+        _append(lake, stocks, "silver", "stock_prices_enriched", None, continuous,
+                partition_by=["date_parsed"]),
         _append(lake, stream_candles(stocks), "silver", "stock_prices_1min_ohlc", "processed_at", continuous),
-        _append(lake, ticks.enrich(raw("crypto_prices")), "silver", "crypto_prices_enriched", None, continuous),
-        _append(lake, news.clean(raw("news_sentiment")), "silver", "news_sentiment_clean", None, continuous),
+        _append(lake, ticks.enrich(raw("crypto")), "silver", "crypto_prices_enriched", None, continuous),
+        _append(lake, news.clean(raw("news")), "silver", "news_sentiment_clean", None, continuous),
     ]
 
 
 def serve(spark: SparkSession, lake: Lake, continuous: bool = False) -> list[StreamingQuery]:
-    """Cleaned tables to trade facts (by day, so look-backs prune), candle facts, hourly metrics."""
+    """Cleaned tables to trade facts, candle facts and hourly metrics, each by day, so that
+    look-backs prune."""
+    declared = cleaned_schemas(spark)
+
     def cleaned(table: str) -> DataFrame:
-        return stream_table(spark, lake.table("silver", table), lake.fmt)
+        return stream_table(spark, lake.table("silver", table), lake.fmt, declared[table])
 
     stocks = cleaned("stock_prices_enriched")
     bars = cleaned("stock_prices_1min_ohlc").drop("processed_at")
     return [
         _append(lake, facts.fact_trades(stocks, keep=("offset",)), "gold", "fact_stock_trades", "loaded_at",
                 continuous, evolve=False, partition_by=["trade_date"]),
-        _append(lake, candles.fact_candles(bars), "gold", "fact_ohlc_candles", "loaded_at",
-                continuous, evolve=False),
-        _append(lake, stream_hourly(stocks), "gold", "hourly_metrics", None, continuous, evolve=False),
+        _append(lake, candles.fact_candles(bars).withColumn("candle_date", F.to_date("window_start")), "gold",
+                "fact_ohlc_candles", "loaded_at", continuous, evolve=False, partition_by=["candle_date"]),
+        _append(lake, stream_hourly(stocks).withColumn("hour_date", F.to_date("hour_start")), "gold",
+                "hourly_metrics", None, continuous, evolve=False, partition_by=["hour_date"]),
     ]
 
 
