@@ -77,7 +77,7 @@ CASES = [
 
 
 def test_sentiment_against_brute_force(spark):
-    positive, negative = settings.terms(settings.POSITIVE_TERMS), settings.terms(settings.NEGATIVE_TERMS)
+    positive, negative = settings.POSITIVE_TERMS, settings.NEGATIVE_TERMS
     df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(CASES)], "id int, headline string, description string")
     got = [tuple(r)[3:] for r in news.score(df).select(
         "id", "headline", "description", "sentiment_score", "sentiment_label", "positive_words", "negative_words"
@@ -94,5 +94,5 @@ def test_word_count_matches_split(spark, texts):
 
 
 def test_default_lists_are_complete():
-    assert len(settings.instruments()) == 20 and len(settings.news_keywords()) == 20
-    assert len(settings.terms(settings.POSITIVE_TERMS)) == 21 and len(settings.terms(settings.NEGATIVE_TERMS)) == 22
+    assert len(settings.INSTRUMENTS) == 20 and len(settings.NEWS_KEYWORDS) == 20
+    assert len(settings.POSITIVE_TERMS) == 21 and len(settings.NEGATIVE_TERMS) == 22

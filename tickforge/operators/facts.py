@@ -26,7 +26,7 @@ def dim_stocks(spark: SparkSession, valid_from: datetime,
                rows: list[tuple[str, ...]] | None = None) -> DataFrame:
     """The configured instruments as current dimension rows."""
     columns = ", ".join(f"{c} string not null" for c in LISTED)
-    return as_dimension(spark.createDataFrame(rows or settings.instruments(), columns), F.lit(valid_from))
+    return as_dimension(spark.createDataFrame(rows or settings.INSTRUMENTS, columns), F.lit(valid_from))
 
 
 def as_dimension(listed: DataFrame, valid_from) -> DataFrame:

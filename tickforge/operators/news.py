@@ -16,8 +16,8 @@ from tickforge.functions.market import sentiment_category
 def score(articles: DataFrame, positive: list[str] | None = None,
           negative: list[str] | None = None) -> DataFrame:
     """Add sentiment score, label and hit counts over the whole title and description."""
-    positive = positive or settings.terms(settings.POSITIVE_TERMS)
-    negative = negative or settings.terms(settings.NEGATIVE_TERMS)
+    positive = positive or settings.POSITIVE_TERMS
+    negative = negative or settings.NEGATIVE_TERMS
     counted = articles.withColumn(
         "_text", F.lower(words.article_text(F.col("headline"), F.col("description")))
     ).withColumns({
@@ -42,7 +42,7 @@ def tag_articles(articles: DataFrame, keywords: dict[str, list[str]] | None = No
     keeps ``newest`` rows per symbol in every task before the shuffle, so a symbol named
     by a third of all articles stays small.
     """
-    keywords = keywords or settings.news_keywords()
+    keywords = keywords or settings.NEWS_KEYWORDS
     mentioned = [
         F.when(reduce(or_, [F.contains(F.col("_text"), F.lit(p.lower())) for p in phrases]), F.lit(symbol))
         for symbol, phrases in keywords.items()

@@ -67,8 +67,8 @@ def _scored(positive: list[str], negative: list[str]) -> str:
                  len(regexp_extract_all(body, '{WORD}')) AS n_words FROM articles))"""
 
 
-_DEFAULT_POSITIVE = settings.terms(settings.POSITIVE_TERMS)
-_DEFAULT_NEGATIVE = settings.terms(settings.NEGATIVE_TERMS)
+_DEFAULT_POSITIVE = settings.POSITIVE_TERMS
+_DEFAULT_NEGATIVE = settings.NEGATIVE_TERMS
 _COUNTS = "news_count, positive_news_count, negative_news_count"
 _MEASURES = f"round(news_sentiment, 6) AS news_sentiment, {_COUNTS}"
 _W = "PARTITION BY symbol ORDER BY timestamp_parsed, event_id"
@@ -331,7 +331,7 @@ _SELECTS = {
     "news_clean": "SELECT doc_id, symbol, timestamp_parsed, date_parsed, sentiment_score, sentiment_label, "
                   "positive_words, negative_words, sentiment_category FROM news",
     "news_daily": "SELECT * REPLACE (round(news_sentiment, 6) AS news_sentiment) FROM daily_news",
-    "news_tagged": _tagged(settings.news_keywords()),
+    "news_tagged": _tagged(settings.NEWS_KEYWORDS),
     "news_tagged_common": _tagged(_COMMON_PHRASES),
     "tick_with_sentiment": f"SELECT {_BASE}, price, price_change_pct, is_anomaly, {_MEASURES} FROM sentiment",
     "sentiment_latest": "SELECT * REPLACE (round(sentiment_score, 6) AS sentiment_score) FROM last_sentiment",

@@ -13,63 +13,65 @@ TOPICS = {
     "news": "news-sentiment",
 }
 
-# symbol | name | sector | exchange | currency
-INSTRUMENTS = """
-TCS.NS        | Tata Consultancy Services | IT      | NSE    | INR
-INFY.NS       | Infosys                   | IT      | NSE    | INR
-WIPRO.NS      | Wipro                     | IT      | NSE    | INR
-TECHM.NS      | Tech Mahindra             | IT      | NSE    | INR
-HDFCBANK.NS   | HDFC Bank                 | Banking | NSE    | INR
-ICICIBANK.NS  | ICICI Bank                | Banking | NSE    | INR
-SBIN.NS       | State Bank of India       | Banking | NSE    | INR
-RELIANCE.NS   | Reliance Industries       | Energy  | NSE    | INR
-ADANIENT.NS   | Adani Enterprises         | Energy  | NSE    | INR
-TATAMOTORS.NS | Tata Motors               | Auto    | NSE    | INR
-AAPL          | Apple                     | Tech    | NYSE   | USD
-GOOGL         | Alphabet                  | Tech    | NYSE   | USD
-MSFT          | Microsoft                 | Tech    | NYSE   | USD
-NVDA          | Nvidia                    | Tech    | NYSE   | USD
-AMZN          | Amazon                    | Tech    | NYSE   | USD
-META          | Meta                      | Tech    | NYSE   | USD
-BTC-USD       | Bitcoin                   | Crypto  | Crypto | USD
-ETH-USD       | Ethereum                  | Crypto  | Crypto | USD
-BNB-USD       | Binance Coin              | Crypto  | Crypto | USD
-SOL-USD       | Solana                    | Crypto  | Crypto | USD
-"""
+# symbol, name, sector, exchange, currency
+INSTRUMENTS = [
+    ("TCS.NS", "Tata Consultancy Services", "IT", "NSE", "INR"),
+    ("INFY.NS", "Infosys", "IT", "NSE", "INR"),
+    ("WIPRO.NS", "Wipro", "IT", "NSE", "INR"),
+    ("TECHM.NS", "Tech Mahindra", "IT", "NSE", "INR"),
+    ("HDFCBANK.NS", "HDFC Bank", "Banking", "NSE", "INR"),
+    ("ICICIBANK.NS", "ICICI Bank", "Banking", "NSE", "INR"),
+    ("SBIN.NS", "State Bank of India", "Banking", "NSE", "INR"),
+    ("RELIANCE.NS", "Reliance Industries", "Energy", "NSE", "INR"),
+    ("ADANIENT.NS", "Adani Enterprises", "Energy", "NSE", "INR"),
+    ("TATAMOTORS.NS", "Tata Motors", "Auto", "NSE", "INR"),
+    ("AAPL", "Apple", "Tech", "NYSE", "USD"),
+    ("GOOGL", "Alphabet", "Tech", "NYSE", "USD"),
+    ("MSFT", "Microsoft", "Tech", "NYSE", "USD"),
+    ("NVDA", "Nvidia", "Tech", "NYSE", "USD"),
+    ("AMZN", "Amazon", "Tech", "NYSE", "USD"),
+    ("META", "Meta", "Tech", "NYSE", "USD"),
+    ("BTC-USD", "Bitcoin", "Crypto", "Crypto", "USD"),
+    ("ETH-USD", "Ethereum", "Crypto", "Crypto", "USD"),
+    ("BNB-USD", "Binance Coin", "Crypto", "Crypto", "USD"),
+    ("SOL-USD", "Solana", "Crypto", "Crypto", "USD"),
+]
 
-# symbol | phrases, any of which selects an article
-NEWS_KEYWORDS = """
-TCS.NS        | TCS, Tata Consultancy
-INFY.NS       | Infosys, INFY
-WIPRO.NS      | Wipro
-TECHM.NS      | Tech Mahindra
-HDFCBANK.NS   | HDFC Bank
-ICICIBANK.NS  | ICICI Bank
-SBIN.NS       | SBI, State Bank
-RELIANCE.NS   | Reliance Industries, Jio
-ADANIENT.NS   | Adani
-TATAMOTORS.NS | Tata Motors
-AAPL          | Apple, iPhone
-GOOGL         | Google, Alphabet
-MSFT          | Microsoft
-NVDA          | Nvidia, NVDA
-AMZN          | Amazon, AWS
-META          | Meta, Facebook
-BTC-USD       | Bitcoin, BTC
-ETH-USD       | Ethereum, ETH
-BNB-USD       | Binance, BNB
-SOL-USD       | Solana, SOL
-"""
+# symbol: phrases, any of which selects an article
+NEWS_KEYWORDS = {
+    "TCS.NS": ["TCS", "Tata Consultancy"],
+    "INFY.NS": ["Infosys", "INFY"],
+    "WIPRO.NS": ["Wipro"],
+    "TECHM.NS": ["Tech Mahindra"],
+    "HDFCBANK.NS": ["HDFC Bank"],
+    "ICICIBANK.NS": ["ICICI Bank"],
+    "SBIN.NS": ["SBI", "State Bank"],
+    "RELIANCE.NS": ["Reliance Industries", "Jio"],
+    "ADANIENT.NS": ["Adani"],
+    "TATAMOTORS.NS": ["Tata Motors"],
+    "AAPL": ["Apple", "iPhone"],
+    "GOOGL": ["Google", "Alphabet"],
+    "MSFT": ["Microsoft"],
+    "NVDA": ["Nvidia", "NVDA"],
+    "AMZN": ["Amazon", "AWS"],
+    "META": ["Meta", "Facebook"],
+    "BTC-USD": ["Bitcoin", "BTC"],
+    "ETH-USD": ["Ethereum", "ETH"],
+    "BNB-USD": ["Binance", "BNB"],
+    "SOL-USD": ["Solana", "SOL"],
+}
 
-POSITIVE_TERMS = """
-surge, jump, gain, rise, rally, growth, profit, beat, record, strong, bullish,
-upgrade, buy, positive, up, high, win, success, expand, revenue, earnings beat
-"""
+POSITIVE_TERMS = [
+    "surge", "jump", "gain", "rise", "rally", "growth", "profit", "beat", "record", "strong",
+    "bullish", "upgrade", "buy", "positive", "up", "high", "win", "success", "expand", "revenue",
+    "earnings beat",
+]
 
-NEGATIVE_TERMS = """
-fall, drop, decline, loss, crash, weak, miss, concern, risk, sell, bearish, down,
-low, fail, cut, downgrade, negative, fear, uncertainty, layoff, debt, earnings miss
-"""
+NEGATIVE_TERMS = [
+    "fall", "drop", "decline", "loss", "crash", "weak", "miss", "concern", "risk", "sell",
+    "bearish", "down", "low", "fail", "cut", "downgrade", "negative", "fear", "uncertainty",
+    "layoff", "debt", "earnings miss",
+]
 
 UNKNOWN = "Unknown"             # sector and exchange of an unlisted symbol
 DEFAULT_CURRENCY = "USD"
@@ -97,20 +99,3 @@ FEATURE_COLUMNS = [
 ]
 
 # ------------------------------------------------------------ end fixed values
-
-
-def _rows(text: str) -> list[list[str]]:
-    return [[cell.strip() for cell in line.split("|")] for line in text.strip().splitlines()]
-
-
-def terms(text: str) -> list[str]:
-    """Comma-separated text to a list of terms."""
-    return [t.strip() for t in text.replace("\n", " ").split(",") if t.strip()]
-
-
-def instruments() -> list[tuple[str, ...]]:
-    return [tuple(row) for row in _rows(INSTRUMENTS)]
-
-
-def news_keywords() -> dict[str, list[str]]:
-    return {symbol: terms(phrases) for symbol, phrases in _rows(NEWS_KEYWORDS)}
