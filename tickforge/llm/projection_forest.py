@@ -1,11 +1,12 @@
 """Near-duplicate vectors by a forest of random-projection trees with spill.
 
 Equal vectors of a label form a class and go on as one row.  Every tree cuts a label's classes again and again: a cell
-that is too large is projected on random directions and split at the medians of a bounded sample of the cell; points
-near a cut go to both sides, so a pair at the threshold is rarely parted, and several trees part it in all of them
-hardly ever.  A round cuts every large cell ``DEPTH`` times; rounds go on until cells are small.  A cell that splits no
-further (its vectors are all near each other) is compared in tiles instead, exactly.  Within cells all pairs are
-verified in double precision; links of all trees are united, and stars of links give the components.
+that is too large is projected on random directions (of a few drawn, the one along which the cell is widest) and split
+at the medians of a bounded sample of the cell; points near a cut go to both sides, so a pair at the threshold is rarely
+parted, and several trees part it in all of them hardly ever.  A round cuts every large cell ``DEPTH`` times; rounds go
+on until cells are small.  A cell whose points would mostly go to both sides (they are all near each other, and mostly
+linked) is not split but compared in tiles, exactly.  Within cells all pairs are verified in double precision; links of
+all trees are united, and stars of links give the components.
 """
 
 from __future__ import annotations
@@ -15,19 +16,23 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tickforge.llm.common import components
 from tickforge.llm.topk_search import usable
 from tickforge.session import stage
 
-TREES = 4
+TREES = 5
 LEAF = 512
 DEPTH = 3           # cuts of a cell in one round
+NODES = (1 << DEPTH) - 1
+DRAWN = 8           # directions drawn for a cut
 SAMPLE = 2_000      # of a cell, for its medians
-SPILL = 1.25        # standard deviations of a threshold pair's projected distance
-STUCK = 0.8         # a cell that keeps this share of its parent's points is dense
+SPILL = 0.6         # standard deviations of a threshold pair's projected distance
+MOST = 2.4          # times its points a cell may hand on in a round; beyond, it is dense
 ROUNDS = 40
+GATHER = 20_000     # rows routed at once
 
 
 def unit(vectors) -> np.ndarray:
@@ -36,42 +41,78 @@ def unit(vectors) -> np.ndarray:
 
 
 def directions(cell: str, width: int) -> np.ndarray:
-    """The random directions of a cell's cuts, one for each inner node, from its name alone."""
-    r = np.random.default_rng(zlib.crc32(cell.encode()))
-    d = r.normal(size=(width, (1 << DEPTH) - 1))
+    """The random directions drawn for a cell's cuts, (width, NODES, DRAWN), from its name alone."""
+    d = np.random.default_rng(zlib.crc32(cell.encode())).normal(size=(width, NODES, DRAWN))
     return d / np.linalg.norm(d, axis=0)
 
 
-def _cuts(key, pdf: pd.DataFrame) -> pd.DataFrame:
-    m = unit(pdf["vector"])
-    p = m @ directions(key[0], m.shape[1])
-    cuts, inside = np.zeros((1 << DEPTH) - 1), {0: np.arange(len(m))}
-    for node in range(len(cuts)):
-        at = inside[node]
-        cuts[node] = np.median(p[at, node]) if len(at) else 0.0
-        inside[2 * node + 1], inside[2 * node + 2] = at[p[at, node] <= cuts[node]], at[p[at, node] > cuts[node]]
-    return pd.DataFrame({"cell": [key[0]], "cuts": [cuts.tolist()]})
+def reach(cosine: float, width: int) -> float:
+    """How far beyond a cut points go to both sides: a pair at ``cosine`` is sqrt(2 - 2 cosine) apart, and a random
+    direction shows 1 / sqrt(width) of that."""
+    return SPILL * math.sqrt((2 - 2 * cosine) / width)
+
+
+def spilled(m: np.ndarray, pick, cuts, far: float) -> list[np.ndarray]:
+    """Positions of the points in each leaf of a cell's cuts.  ``pick(node, points)`` gives their projection."""
+    inside = {0: np.arange(len(m))}
+    for node in range(NODES):
+        at = inside.pop(node)
+        x = pick(node, m[at])
+        cut = cuts[node] if cuts is not None else None
+        x = x - (cut if cut is not None else 0.0)
+        inside[2 * node + 1], inside[2 * node + 2] = at[x <= far], at[x >= -far]
+    return [inside[leaf] for leaf in range(NODES, 2 * NODES + 1)]
+
+
+def _cuts(cosine: float):
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        m = unit(pdf["vector"])
+        drawn, cuts, picks = directions(key[0], m.shape[1]), np.zeros(NODES), np.zeros(NODES, dtype=int)
+
+        def widest(node, points):
+            p = points @ drawn[:, node]
+            picks[node] = int(p.std(axis=0).argmax()) if len(p) else 0
+            cuts[node] = np.median(p[:, picks[node]]) if len(p) else 0.0
+            return p[:, picks[node]] - cuts[node]
+
+        leaves = spilled(m, widest, None, reach(cosine, m.shape[1]))
+        return pd.DataFrame({"cell": [key[0]], "cuts": [cuts.tolist()], "picks": [picks.tolist()],
+                             "growth": [sum(map(len, leaves)) / len(m)]})
+    return run
+
+
+ROUTED = pa.schema([("cell", pa.string()), ("node", pa.int64()), ("vector", pa.list_(pa.float64()))])
 
 
 def _route(cosine: float):
+    def one(table: pa.Table):
+        cells, vectors = table["cell"].to_numpy(), table["vector"].to_pylist()
+        order = np.argsort(cells, kind="stable")
+        edges = np.flatnonzero(np.r_[True, cells[order][1:] != cells[order][:-1], True])
+        take, names = [], []
+        for s, e in zip(edges[:-1], edges[1:]):
+            at = order[s:e]
+            cell, first = cells[at[0]], int(at[0])
+            m = unit([vectors[i] for i in at])
+            picks = table["picks"][first].as_py()
+            drawn = directions(cell, m.shape[1])[:, np.arange(NODES), picks]
+            for leaf, rows in enumerate(spilled(m, lambda node, x: x @ drawn[:, node], table["cuts"][first].as_py(),
+                                                reach(cosine, m.shape[1]))):
+                take.append(at[rows])
+                names += [f"{cell}.{leaf}"] * len(rows)
+        at = pa.array(np.concatenate(take))
+        yield from pa.table({"cell": pa.array(names, pa.string()), "node": table["node"].take(at),
+                             "vector": table["vector"].take(at)}).cast(ROUTED).to_batches(max_chunksize=5000)
+
     def run(batches):
-        for pdf in batches:
-            out = []
-            for cell, part in pdf.groupby("cell", sort=False):
-                m, cuts = unit(part["vector"]), np.asarray(part["cuts"].iloc[0])
-                p = m @ directions(cell, m.shape[1])
-                reach = SPILL * math.sqrt((2 - 2 * cosine) / m.shape[1])
-                inside = {0: np.arange(len(m))}
-                for node in range(len(cuts)):
-                    at = inside[node]
-                    x = p[at, node] - cuts[node]
-                    inside[2 * node + 1], inside[2 * node + 2] = at[x <= reach], at[x >= -reach]
-                for leaf in range(len(cuts), 2 * len(cuts) + 1):
-                    rows = part.iloc[inside[leaf]]
-                    out.append(pd.DataFrame({"cell": f"{cell}.{leaf - len(cuts)}", "node": rows["node"],
-                                             "vector": rows["vector"], "parent": rows["size"]}))
-            if out:
-                yield pd.concat(out)
+        held = []
+        for b in batches:
+            held.append(b)
+            if sum(x.num_rows for x in held) >= GATHER:
+                yield from one(pa.Table.from_batches(held).combine_chunks())
+                held = []
+        if sum(x.num_rows for x in held):
+            yield from one(pa.Table.from_batches(held).combine_chunks())
     return run
 
 
@@ -87,35 +128,31 @@ def _compare(cosine: float):
             x.append(i[new])
             y.append(j[new])
         x, y = node[np.concatenate(x)], node[np.concatenate(y)]
-        low = np.where(x < y, x, y)
-        return pd.DataFrame({"x": low, "y": np.where(x < y, y, x)})
+        return pd.DataFrame({"x": np.minimum(x, y), "y": np.maximum(x, y)})
     return run
 
 
 def cells(classes: DataFrame, cosine: float) -> DataFrame:
     """cell, size, node, vector: every class in the final cells of every tree."""
     trees = F.explode(F.expr(f"sequence(0, {TREES - 1})"))
-    rows = classes.withColumn("tree", trees).select(
+    rows = stage(classes.withColumn("tree", trees).select(
         F.concat_ws("/", F.col("label").cast("string"), F.size("vector").cast("string"), F.col("tree").cast("string"))
-        .alias("cell"), "node", "vector", F.lit(1 << 62).cast("bigint").alias("parent"))
-    rows, done = stage(rows, "cells"), None
-    for _ in range(ROUNDS):
-        sizes = rows.groupBy("cell").agg(F.count("*").alias("size"), F.min("parent").alias("p"))
-        sizes = stage(sizes.withColumn("large", (F.col("size") > LEAF) & (F.col("size") < STUCK * F.col("p"))), "sizes")
+        .alias("cell"), "node", "vector"), "cells")
+    done = None
+    for turn in range(ROUNDS):
+        sizes = stage(rows.groupBy("cell").agg(F.count("*").alias("size")), "sizes")
         sized = rows.join(sizes, "cell")
-        part = sized.where("not large").select("cell", "size", "node", "vector")
-        done = part if done is None else done.union(part)
-        if not sizes.where("large").head(1):
-            break
-        large = sized.where("large").select("cell", "size", "node", "vector")
+        if turn == ROUNDS - 1 or not sizes.where(F.col("size") > LEAF).head(1):
+            return sized if done is None else done.union(sized)
+        large = sized.where(F.col("size") > LEAF)
         chance = F.pmod(F.xxhash64("node", "cell"), F.lit(1 << 30)) < F.lit(float(SAMPLE << 30)) / F.col("size")
-        cuts = large.where(chance).groupBy("cell").applyInPandas(_cuts, "cell string, cuts array<double>")
-        routed = large.join(stage(cuts, "cuts"), "cell").mapInPandas(
-            _route(cosine), "cell string, node string, vector array<double>, parent bigint")
-        rows = stage(routed, "cells")
-    else:
-        done = done.union(rows.join(sizes.select("cell", "size"), "cell").select("cell", "size", "node", "vector"))
-    return done
+        cuts = stage(large.where(chance).groupBy("cell").applyInPandas(
+            _cuts(cosine), "cell string, cuts array<double>, picks array<int>, growth double"), "cuts")
+        cuts = cuts.where(F.col("growth") <= MOST).drop("growth")
+        rest = sized.join(cuts.select("cell"), "cell", "left_anti")      # small, or dense
+        done = rest if done is None else done.union(rest)
+        rows = stage(large.join(cuts, "cell").select("cell", "node", "vector", "cuts", "picks").mapInArrow(
+            _route(cosine), "cell string, node bigint, vector array<double>"), "cells")
 
 
 def links(classes: DataFrame, cosine: float) -> DataFrame:
@@ -126,7 +163,7 @@ def links(classes: DataFrame, cosine: float) -> DataFrame:
     # a cell of one tile is one group; of a dense cell every two tiles meet in a group
     met = dealt.withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)"))).select(
         "cell", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "tile", "node", "vector")
-    return met.groupBy("cell", "a", "b").applyInPandas(_compare(cosine), "x string, y string").distinct()
+    return met.groupBy("cell", "a", "b").applyInPandas(_compare(cosine), "x bigint, y bigint").distinct()
 
 
 def groups(vectors: DataFrame, cosine: float = 0.98, key: str = "vec_id", vector: str = "embedding",
@@ -142,24 +179,24 @@ def groups(vectors: DataFrame, cosine: float = 0.98, key: str = "vec_id", vector
     rows = vectors.select(F.col(key).alias("key"), F.col(label).alias("label"),
                           F.transform(x, lambda v: v.cast("double") + 0.0).alias("vector"),
                           F.coalesce(taking, F.lit(False)).alias("taking"))
-    # 128 bits of hash name a class
-    node = F.concat(F.hex(F.xxhash64(F.lit(1), "label", "vector")), F.lit("-"),
+    # 128 bits of hash tell classes apart; a stored number names them
+    name = F.concat(F.hex(F.xxhash64(F.lit(1), "label", "vector")), F.lit("-"),
                     F.hex(F.xxhash64("vector", "label", F.lit(2))))
-    rows = stage(rows.withColumn("node", F.when(F.col("taking"), node)), "vectors")
-    classes = stage(rows.where("taking").groupBy("node").agg(
+    rows = stage(rows.withColumn("name", F.when(F.col("taking"), name)), "vectors")
+    classes = stage(rows.where("taking").groupBy("name").agg(
         F.first("label").alias("label"), F.first("vector").alias("vector"), F.min("key").alias("least"),
-        F.count("*").alias("n")), "classes")
+        F.count("*").alias("n")).withColumn("node", F.monotonically_increasing_id()), "classes")
     pairs = stage(links(classes, cosine), "links")
     size = classes.select(F.col("node").alias("to"), "n")
     near = (pairs.union(pairs.select("y", "x")).toDF("node", "to").join(size, "to")
             .groupBy("node").agg(F.sum("n").alias("others")))
     linked = components(pairs, "x", "y")
-    named = classes.select("node", "n", "least").join(linked, "node", "left").withColumn(
+    named = classes.select("node", "name", "n", "least").join(linked, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
     facts = named.join(least, "component").join(near, "node", "left").select(
-        "node", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id")
-    out = rows.select("key", "node").join(facts, "node", "left").select(
+        "name", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id")
+    out = rows.select("key", "name").join(facts, "name", "left").select(
         F.col("key").alias(key), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
         F.coalesce("component_id", "key").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(True)))
