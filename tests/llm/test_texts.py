@@ -261,6 +261,13 @@ def test_main_text_of_an_article():
                                        "Last <one> with more words in it than others.")
 
 
+def test_main_text_parts_of_an_article():
+    page = ("<article class='post'><div class='entry-header'><h1>Title</h1></div><p>Some text of the article goes here.</p>"
+            "<article class='comment-12'><p>Nice one, I have read it twice and liked it.</p></article></article>"
+            "<ol class='commentlist'><li>Another reader's long comment on this article.</li></ol>")
+    assert main_text.extract(page) == "Title\n\nSome text of the article goes here."
+
+
 def test_main_text_without_an_article_element():
     body = "".join(f"<p>Paragraph {i} with a good many words of running text in it.</p>" for i in range(5))
     page = f"<body><ul><li><a>a</a></li><li><a>b</a></li></ul><div id=text>{body}<p>End.</p></div><div><a>x</a></div></body>"

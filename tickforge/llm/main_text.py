@@ -32,7 +32,11 @@ MARKS = frozenset("ad ads advert adverts advertisement advertising banner sponso
                   "nav navbar navigation menu breadcrumb breadcrumbs footer header masthead comment comments respond "
                   "replies reply disqus cookie cookies consent notice notices gdpr newsletter subscribe subscription "
                   "signup login share sharing social related recommended popup modal overlay toolbar widget skip "
-                  "complementary contentinfo search pagination pager alert".split())
+                  "complementary contentinfo search pagination pager alert disclaimer announcement".split())
+#: Beginnings of such words.
+MARK_STARTS = ("comment", "sidebar", "advert", "cookie", "newsletter", "breadcrumb", "sponsor", "subscri")
+#: Marks that an article's own parts may bear, too.
+OWN_MARKS = frozenset({"header", "masthead", "banner"})
 _MARK = re.compile(r"[^a-z0-9]+")
 #: An open element of these ends where a new block of the given kinds begins.
 CLOSES = {"p": BLOCK, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
@@ -41,13 +45,17 @@ _SPACES = re.compile(r"\s+")
 SIGMA = 1.0
 
 
-def _marked(tag: str, attrs: list) -> bool:
-    """Attributes that hide an element or name it as no article."""
+def _marked(tag: str, attrs: list, inside: bool) -> bool:
+    """Attributes that hide an element or name it as no article.  ``inside``: in an article."""
     for k, v in attrs:
         v = (v or "").lower()
-        if k in ("class", "id", "role") and tag not in ("html", "body", "article", "main") and not MARKS.isdisjoint(
-                _MARK.split(v)):
-            return True
+        if k in ("class", "id", "role") and tag not in ("html", "body", "main"):
+            words = _MARK.split(v)
+            if tag == "article":
+                words = [w for w in words if w.startswith("comment")]
+            marks = MARKS - OWN_MARKS if inside else MARKS
+            if not marks.isdisjoint(words) or any(w.startswith(MARK_STARTS) for w in words):
+                return True
         if k == "hidden" or (k == "aria-hidden" and v == "true") or (
                 k == "style" and "display:none" in v.replace(" ", "")):
             return True
@@ -93,8 +101,10 @@ class _Lines(HTMLParser):
             self.parts.append(" ")
         if tag in VOID:
             return
-        excluded = (self._excluded() or tag in EXCLUDED or (attrs and _marked(tag, attrs)) or
-                    (tag == "header" and not any(n in ("article", "main") for n, _, _ in self.open)))
+        excluded = self._excluded() or tag in EXCLUDED
+        if not excluded and (attrs or tag == "header"):
+            inside = any(n in ("article", "main") for n, _, _ in self.open)
+            excluded = (tag == "header" and not inside) or _marked(tag, attrs, inside)
         number = 0
         if tag in CONTAINER:
             number = len(self.names)
