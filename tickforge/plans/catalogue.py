@@ -717,6 +717,48 @@ def gbt_facts(spark, sf_dir):
     return facts_.join(total, F.lit(True))
 
 
+@exact
+def prepared_features(spark, sf_dir):
+    """Rows by class of which every feature is known."""
+    return ml.prepare(feature_rows(spark, sf_dir)).groupBy(ml.LABEL).agg(F.count("*").alias("rows"))
+
+
+# ------------------------------------------------------------- load and look
+
+@exact
+def epoch_times(spark, sf_dir):
+    """Trade times that arrive as epoch milliseconds."""
+    sent = trades(spark, sf_dir).select(ID, F.unix_millis(F.col("timestamp_parsed").cast("timestamp")).alias("timestamp_parsed"))
+    return sink.epoch_to_time(sent)
+
+
+@exact
+def preview_trades(spark, sf_dir):
+    return quality.preview(trades(spark, sf_dir), ID).select(*BASE, "price")
+
+
+@exact
+def stream_interval(spark, sf_dir):
+    """Enriched ticks by interval triggers, stopped when all that is there is processed."""
+    out = fresh_path(spark, "interval")
+    live = ticks.enrich(fx.stock_ticks(fx.event_stream(spark, sf_dir))).select(*BASE, "price")
+    running = sink.append_stream(live, out, f"{out}-checkpoint", name=None, every="1 second")
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return batch_table(spark, out)
+
+
+@exact
+def stream_progress(spark, sf_dir):
+    """Rows that the progress of a drained stream reports."""
+    out = fresh_path(spark, "progress")
+    live = ticks.enrich(fx.stock_ticks(fx.event_stream(spark, sf_dir))).select(*BASE)
+    ended = jobs.drain([sink.append_stream(live, out, f"{out}-checkpoint", name=None)])
+    return jobs.progress(spark, ended).agg(F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"))
+
+
 # ---------------------------------------------------------------- NULL ids
 
 @query

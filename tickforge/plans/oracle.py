@@ -469,6 +469,11 @@ FROM (SELECT avg(CAST(correct AS INTEGER)) AS live, avg(CAST(correct AS INTEGER)
   CAST(count(*) AS DOUBLE) AS probability, 0 AS wrong_side, 0 AS too_low, 0 AS wrong_mark,
   CAST(sum(target) AS BIGINT) AS ups, 1.0::DOUBLE AS importance, {len(settings.FEATURE_COLUMNS)} AS features
 FROM {_split(f'features WHERE {_PREPARED}')} GROUP BY 1""",
+    "prepared_features": f"SELECT target, count(*) AS rows FROM features WHERE {_PREPARED} GROUP BY target",
+    "epoch_times": "SELECT event_id, date_trunc('milliseconds', timestamp_parsed) AS timestamp_parsed FROM trades",
+    "preview_trades": f"SELECT {_BASE}, price FROM trades ORDER BY event_id DESC LIMIT 5",
+    "stream_interval": f"SELECT {_BASE}, price FROM enriched",
+    "stream_progress": "SELECT CAST(count(*) AS BIGINT) AS input_rows, CAST(0 AS BIGINT) AS late_rows FROM events",
     "ohlc_null_ids": "SELECT symbol, time_bucket(INTERVAL '1 hour', timestamp_parsed) AS window_start, max(price) AS high, "
                      "min(price) AS low, count(*) AS tick_count, true AS opens, true AS closes FROM enriched GROUP BY ALL",
     "predictions_contract": "SELECT symbol, timestamp_parsed, price, prediction, prediction_label, "
