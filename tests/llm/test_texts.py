@@ -380,3 +380,13 @@ def test_packing_odd_rows(spark):
     assert packed(docs(spark, [])) == []
     same = [(1, "same text")] * 40
     check_packing(packed(docs(spark, same), 16), same, 16)
+
+
+def test_overlaps():
+    r = random.Random(9)
+    for _ in range(300):
+        spans = [(a := r.randrange(50), 0, a + r.randrange(1, 9)) for _ in range(r.randrange(6))]
+        known = pii_tagger.Overlaps(spans)
+        s = r.randrange(50)
+        e = s + r.randrange(1, 9)
+        assert known.touch(s, e) == any(b < e and s < c for b, _, c in spans)

@@ -16,7 +16,6 @@ import re
 from html.parser import HTMLParser
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())

@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -231,20 +233,25 @@ class Tagger:
                 self.p[k] -= rate * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.99 ** step)) + 1e-6)
 
 
-def tags_of(spans, start: int, end: int) -> np.ndarray:
-    out = np.zeros(end - start, dtype=np.int64)
-    for s, kind, e in spans:
-        if s >= start and e <= end:
-            out[s - start:e - start] = 2 + 2 * kind
-            out[s - start] = 1 + 2 * kind
-    return out
+class Overlaps:
+    """Does a stretch touch one of many spans?  Two lookups, however many there are."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        spans = sorted(spans)
+        self.starts = [s for s, _, _ in spans]
+        self.ends = list(accumulate((e for _, _, e in spans), max, initial=0))
+
+    def touch(self, start: int, end: int) -> bool:
+        return self.ends[bisect_left(self.starts, end)] > start
 
 
 def examples(text: str, turn: int) -> list[tuple[str, str]]:
     """Labelled windows (text, tags as letters) around a text's pattern spans; every second span also in a form
     that the patterns miss, and one window around a number that is no personal data."""
-    spans = [s for s in patterns(text)]
-    plain = [s for s in spans if not any(o is not s and o[0] < s[2] and s[0] < o[2] for o in spans)]
+    spans = patterns(text)
+    ends = list(accumulate((e for _, _, e in spans), max, initial=0))
+    plain = [(s, kind, e) for i, (s, kind, e) in enumerate(spans)
+             if ends[i] <= s and (i + 1 == len(spans) or spans[i + 1][0] >= e)]
     out = []
     for k, (s, kind, e) in enumerate(plain):
         value, left, right = text[s:e], text[max(0, s - REACH):s], text[e:e + REACH]
@@ -255,15 +262,17 @@ def examples(text: str, turn: int) -> list[tuple[str, str]]:
             if kind == 2:
                 digits = re.sub(r"[^0-9]", "", value)
                 forms.append(".".join(digits[i:i + 4] for i in range(0, len(digits), 4)))
-        if any(o[0] < e + REACH and s - REACH < o[2] for o in plain if o[0] != s):
+        if (k and plain[k - 1][2] > s - REACH) or (k + 1 < len(plain) and plain[k + 1][0] < e + REACH):
             left = right = " "      # a neighbour would be cut in its middle
         for form in forms:
             if form and len(left) + len(form) + len(right) <= WINDOW:
                 tags = "0" * len(left) + str(1 + 2 * kind) + str(2 + 2 * kind) * (len(form) - 1) + "0" * len(right)
                 out.append((left + form + right, tags))
-    clear = [m.start() for m in _DIGIT.finditer(text[:4000]) if not any(s - WINDOW <= m.start() <= e + WINDOW for s, _, e in spans)]
-    for s in clear[:1]:
-        part = text[max(0, s - REACH):s + REACH]
+    far = Overlaps([(s - WINDOW, kind, e + WINDOW) for s, kind, e in spans])
+    clear = (m.start() for m in _DIGIT.finditer(text) if not far.touch(m.start(), m.end()))
+    other = next(clear, None)
+    if other is not None:
+        part = text[max(0, other - REACH):other + REACH]
         out.append((part, "0" * len(part)))
     return out
 
@@ -381,9 +390,9 @@ def tag(model: Tagger | None, texts: list[str | None], batch: int = 256) -> list
     for k, spans in enumerate(base):
         added = []
         if any(t.any() for _, t, _ in read.get(k, [])):
+            known = Overlaps(spans)
             for s, kind, e, sure in reconcile(*zip(*read[k], strict=True)):
-                if sure >= CONFIDENCE and _likely(kind, texts[k][s:e]) and not any(
-                        b < e and s < c for b, _, c in spans):
+                if sure >= CONFIDENCE and _likely(kind, texts[k][s:e]) and not known.touch(s, e):
                     added.append((s, kind, e))
         out.append((spans, added))
     return out

@@ -14,13 +14,11 @@ of the runs that fall into its range with a loser tree.  The range order makes t
 from __future__ import annotations
 
 import hashlib
-import io
 import re
 import uuid
 import zlib
 from urllib.parse import urlsplit
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -66,9 +64,10 @@ def record(key: str | None, url: str | None, captured: str, payload: bytes, dige
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
     revisit = refers_to is not None
     block = http + (b"\r\n" if revisit else b"Content-Length: %d\r\n\r\n" % len(payload) + payload)
+    name = hashlib.md5(f"{key}|{url}|{digest}".encode("utf-8", "surrogatepass")).digest()
     lines = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}",
-             f"WARC-Record-ID: <urn:uuid:{uuid.UUID(bytes=hashlib.md5(f'{key}|{url}|{digest}'.encode('utf-8', 'surrogatepass')).digest())}>",
-             f"WARC-Date: {captured}", f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {len(payload)}"]
+             f"WARC-Record-ID: <urn:uuid:{uuid.UUID(bytes=name)}>", f"WARC-Date: {captured}",
+             f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {len(payload)}"]
     if url is not None:
         lines.append(f"WARC-Target-URI: {_escaped(url)}")
     if key is not None:
@@ -116,6 +115,10 @@ def _opened(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def _written(name: str, n: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], names=["file", "records"])
+
+
 def _write(folder: str):
     def run(batches):
         system, path = _opened(folder)
@@ -132,11 +135,11 @@ def _write(folder: str):
                 size, n = size + len(payload) + 512, n + 1
                 if size >= FILE_BYTES:
                     out.close()
-                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], names=["file", "records"])
+                    yield _written(name, n)
                     out = None
         if out is not None:
             out.close()
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], names=["file", "records"])
+            yield _written(name, n)
     return run
 
 
