@@ -14,7 +14,8 @@ Candidates without all pairs of a bucket:
    the bucket's largest component, so those members meet all others in a second join.  Nothing else can be missed: pairs
    within a component need no link.  A pair leaves that join only if an exact bound allows it: shingles that no other
    class of such buckets has cannot be shared, so the copies of a text that differ too much from it, and from each
-   other by what only they have, never become pairs.
+   other by what only they have, never become pairs.  These classes' texts are read again anyway, so they get a wider
+   signature, too, and a pair leaves the first bucket it shares only.
 
 Both steps are equi-joins on the band key, which adaptive execution splits when a bucket is large.  The number of bands
 follows from the threshold: a pair just at it is missed with probability ``MISS`` at most.
@@ -36,6 +37,7 @@ ROWS = 4                    # minima per band
 BITS = 4                    # of each minimum in the signature
 MISS = 1e-5
 SLACK = 4.5                 # standard deviations below the threshold at which an estimate still counts
+WIDE = 512                  # minima of the wider signature of classes in mixed buckets
 CACHE = 300_000
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -127,28 +129,38 @@ def _sketch(words: int, bands: int, hashes: int):
     return run
 
 
-def _sets(words: int):
+def _sets(words: int, wide: int):
     def run(batches):
-        shingle = Shingler(words)
+        shingle, (a, b) = Shingler(words), _coefficients(wide)
         for batch in batches:
             sets = [shingle(t) for t in batch.column(0).to_pylist()]
+            sigs = [signature(minima(s, a, b)) if wide and len(s) else [] for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["print", "shingles"])
+                 pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                 pa.array(sigs, pa.list_(pa.int64()))], names=["print", "shingles", "wide"])
     return run
 
 
-def differing(a: str, b: str, words: int) -> Column:
-    """How many b-bit minima differ: bits of each group of BITS are or-ed into its lowest, then counted."""
+def _unequal(p: Column, q: Column) -> Column:
+    """How many b-bit minima of two signature words differ: the bits of each group of BITS are or-ed into its lowest,
+    then counted."""
     low = sum(1 << k for k in range(0, 64, BITS))
     low -= 1 << 64 if low >= 1 << 63 else 0
+    x = p.bitwiseXOR(q)
+    folded = x
+    for k in range(1, BITS):
+        folded = folded.bitwiseOR(F.shiftrightunsigned(x, k))
+    return F.bit_count(folded.bitwiseAND(F.lit(low)))
+
+
+def differing(a: str, b: str, words: int | None = None) -> Column:
+    """How many b-bit minima of two signatures differ; unrolled for signatures of a few ``words``."""
+    if words is None:
+        return F.aggregate(F.zip_with(a, b, _unequal), F.lit(0), lambda total, n: total + n)
     total = F.lit(0)
     for i in range(words):
-        x = F.col(a)[i].bitwiseXOR(F.col(b)[i])
-        folded = x
-        for k in range(1, BITS):
-            folded = folded.bitwiseOR(F.shiftrightunsigned(x, k))
-        total = total + F.bit_count(folded.bitwiseAND(F.lit(low)))
+        total = total + _unequal(F.col(a)[i], F.col(b)[i])
     return total
 
 
@@ -163,16 +175,16 @@ def most_differing(threshold: float, hashes: int) -> int:
     return math.ceil(hashes * (1.0 - agree) + SLACK * math.sqrt(hashes * agree * (1.0 - agree)))
 
 
-def _full_sets(prints: DataFrame, source: DataFrame, chosen: DataFrame, words: int) -> DataFrame:
-    """print, shingles (stored) of the classes named.
+def _full_sets(prints: DataFrame, source: DataFrame, chosen: DataFrame, words: int, wide: int = 0) -> DataFrame:
+    """print, shingles, wide (stored) of the classes named; wide is a signature of that many minima.
 
     ``source``: key, text of all documents; ``chosen``: print, key of one document of each class.  Only the texts asked
     for are read again; rows that share a key but not a text are told apart by their full sets.
     """
     keys = chosen.join(prints, "print", "left_semi").select(F.col("key").alias("wanted")).distinct()
     return stage(source.join(stage(keys, "wanted"), F.col("key").eqNullSafe(F.col("wanted")), "left_semi").select("text")
-                 .mapInArrow(_sets(words), "print binary, shingles array<bigint>")
-                 .groupBy("print").agg(F.first("shingles").alias("shingles")), "sets")
+                 .mapInArrow(_sets(words, wide), "print binary, shingles array<bigint>, wide array<bigint>")
+                 .groupBy("print").agg(F.first("shingles").alias("shingles"), F.first("wide").alias("wide")), "sets")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -189,8 +201,8 @@ def _shared(sets: DataFrame) -> DataFrame:
     alone = (sets.select("print", F.explode("shingles").alias("shingle")).groupBy("shingle")
              .agg(F.count("*").alias("c"), F.first("print").alias("print")).where("c = 1")
              .groupBy("print").agg(F.count("*").alias("alone")))
-    return sets.select("print", F.size("shingles").alias("n_all")).join(alone, "print", "left").select(
-        "print", (F.col("n_all") - F.coalesce("alone", F.lit(0))).alias("shared"))
+    return sets.select("print", F.size("shingles").alias("n_all"), "wide").join(alone, "print", "left").select(
+        "print", "wide", (F.col("n_all") - F.coalesce("alone", F.lit(0))).alias("shared"))
 
 
 def groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -240,18 +252,23 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_i
     mixed = of.groupBy("band").agg(F.max(F.struct("size", "component")).alias("top"), F.count("*").alias("parts")).where(
         "parts > 1").select("band", F.col("top.component").alias("top"))
     members = stage(labelled.join(mixed, "band"), "members")
-    sets = _full_sets(members.select("print").distinct(), source, chosen, words)
+    sets = _full_sets(members.select("print").distinct(), source, chosen, words, WIDE)
     # what no other member has cannot be shared: the rest bounds the similarity from above
     members = stage(members.join(stage(_shared(sets), "shared"), "print").where(
-        100 * F.col("shared") >= percent * F.col("n")), "members")
+        100 * F.col("shared") >= percent * F.col("n")).join(classes.select("print", "bands"), "print"), "members")
     stray = members.where(F.col("component") != F.col("top")).select(
         F.col("band").alias("b"), F.col("print").alias("x"), F.col("sig").alias("xs"), F.col("n").alias("xn"),
-        F.col("component").alias("c"), F.col("shared").alias("xshared"))
+        F.col("component").alias("c"), F.col("shared").alias("xshared"),
+        F.col("wide").alias("xwide"), F.col("bands").alias("xbands"))
     common = F.least("shared", "xshared")
     bound = 100 * common >= percent * (F.col("n") + F.col("xn") - common)
     # two strays of a bucket meet once
     apart = (F.col("c") != F.col("component")) & ((F.col("component") == F.col("top")) | (F.col("x") < F.col("print")))
-    more = stage(members.join(stray, (F.col("band") == F.col("b")) & apart & bound & near).select(
+    nearer = differing("xwide", "wide") <= most_differing(threshold, WIDE)
+    # a pair of several buckets leaves the first of them only
+    here = F.array_position("bands", F.col("band"))
+    only = F.array_position(F.zip_with("bands", "xbands", lambda p, q: p == q), True) == here
+    more = stage(members.join(stray, (F.col("band") == F.col("b")) & apart & bound & near & nearer & only).select(
         F.least("x", "print").alias("x"), F.greatest("x", "print").alias("y")).distinct().join(
         star, ["x", "y"], "left_anti"), "candidates")
     links = links.union(_confirmed(more, sets, percent))
