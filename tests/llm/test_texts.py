@@ -275,6 +275,36 @@ def test_main_text_without_an_article_element():
         *[f"Paragraph {i} with a good many words of running text in it." for i in range(5)], "End."]
 
 
+def paragraphs(a, b):
+    return [f"Paragraph {i} with a good many words of running text in it, long enough to be content." for i in range(a, b)]
+
+
+def test_main_text_keeps_content_in_several_parts():
+    nav, link = "<nav><ul><li><a>one</a></li><li><a>two</a></li></ul></nav>", "<ul><li><a>x</a><li><a>y</a><li><a>z</a></ul>"
+    p = lambda a, b: "".join(f"<p>{t}</p>" for t in paragraphs(a, b))
+    lead = f"<body>{nav}<div class='lead'>{p(0, 2)}</div><div class='body'>{p(2, 14)}</div></body>"
+    assert main_text.extract(lead).split("\n\n") == paragraphs(0, 14)
+    split = f"<body>{nav}<article>{p(0, 2)}<p>Short.</p></article><article>{p(2, 9)}</article></body>"
+    assert main_text.extract(split).split("\n\n") == [*paragraphs(0, 2), "Short.", *paragraphs(2, 9)]
+    for title in ("A title of the page, before its article", "Title"):
+        before = f"<body>{nav}{link}<h1>{title}</h1><article>{p(0, 5)}</article>{link}</body>"
+        assert main_text.extract(before).split("\n\n") == [title, *paragraphs(0, 5)]
+    teaser = f"<body>{nav}<div>{p(0, 3)}<p>a</p><p>b</p><p>c</p>{p(3, 6)}</div><article>{p(6, 8)}</article></body>"
+    assert main_text.extract(teaser).split("\n\n") == [*paragraphs(0, 3), "a", "b", "c", *paragraphs(3, 8)]
+
+
+def test_main_text_keeps_slugged_headings():
+    a, b, c = paragraphs(0, 3)
+    inner = (f"<p>{a}</p><h2 id='related-work'>Related work</h2><p>{b}</p><p id='notice'>Note it.</p>"
+             f"<h3 id='commentary'>Commentary</h3><p>{c}</p>")
+    want = [a, "Related work", b, "Note it.", "Commentary", c]
+    for part in ("article", "main", "div"):
+        page = f"<nav><a>menu</a></nav><{part}>{inner}<div class='share'>Share</div></{part}><div id='comments'><p>{a}</p></div>"
+        assert main_text.extract(page).split("\n\n") == want
+    page = f"<article><p>{a}</p><section id='search'><p>{b}</p></section><ul class='related'><li>{c}</li></ul></article>"
+    assert main_text.extract(page).split("\n\n") == [a, b]
+
+
 def test_main_text_on_odd_pages(spark):
     pages = [(1, "u", None), (2, None, ""), (3, "u", "<p>"), (4, "u", "plain &amp; text"), (None, "u", PAGE), (4, "u", "plain &amp; text"),
              (5, "u", "<div>" * 3000 + "deep"), (6, "u", "<article><p>" + "word " * 200_000), (7, "u", "<b"), (8, "u", "<nav>menu</nav>")]

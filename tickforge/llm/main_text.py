@@ -3,15 +3,18 @@
 The standard library's streaming parser feeds a page into lines: a line is the text of one block element, with the
 number of tags met since the line before.  Lines inside parts that are never an article (menus, page headers, footers,
 sidebars, notices, adverts, forms, comments, scripts, styles) have ratio 0.  The ratios are smoothed with a Gaussian
-and clustered in two by a threshold; the container element with the largest sum of content lines is the region of
-content, and all its lines that lie in no excluded part are the text, in page order.  So short lines between long ones
-stay, as the smoothing and the region decide, not a line's own length.
+and clustered in two by a threshold.  The text is, in page order and without excluded parts: every line of the upper
+cluster (content); every line of an article or main element that holds such a line, and headings right before one; and
+every line of the smallest container that holds all content outside those elements, unless that content is less than
+half of all.  So short lines between long ones stay, as the smoothing and the regions decide, not a line's own length.
+Several articles of a page are all kept.
 
 One page is one row's work: rows are handled where they lie, without a shuffle.
 """
 
 from __future__ import annotations
 
+import os
 import re
 from html.parser import HTMLParser
 
@@ -26,7 +29,11 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
                   "footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td "
                   "tfoot th thead tr ul".split())
 CONTAINER = frozenset("article main section div body td".split())
-#: Words of a class, id or role that mark a part as no article.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements that hold others.  Ids of all others are often slugs of their text, such as <h2 id="related-work">.
+PARTS = CONTAINER | frozenset("ul ol dl table".split())
+#: Words of a class, id or role that mark a part as no article.  In an article, only class and role of ``PARTS`` count;
+#: outside, ids of ``PARTS`` do, too, and class and role of any element.
 MARKS = frozenset("ad ads advert adverts advertisement advertising banner sponsored sponsor promo promotion sidebar "
                   "nav navbar navigation menu breadcrumb breadcrumbs footer header masthead comment comments respond "
                   "replies reply disqus cookie cookies consent notice notices gdpr newsletter subscribe subscription "
@@ -48,7 +55,8 @@ def _marked(tag: str, attrs: list, inside: bool) -> bool:
     """Attributes that hide an element or name it as no article.  ``inside``: in an article."""
     for k, v in attrs:
         v = (v or "").lower()
-        if k in ("class", "id", "role") and tag not in ("html", "body", "main"):
+        named = k in ("class", "role") and (tag in PARTS or not inside) or k == "id" and tag in PARTS and not inside
+        if named and tag not in ("html", "body", "main"):
             words = _MARK.split(v)
             if tag == "article":
                 words = [w for w in words if w.startswith("comment")]
@@ -69,6 +77,7 @@ class _Lines(HTMLParser):
         self.open: list[tuple[str, bool, int]] = []     # name, excluded, number of the container
         self.lines: list[tuple[str, int, bool, tuple[int, ...]]] = []
         self.names: dict[int, str] = {0: "body"}
+        self.headings: set[int] = set()     # numbers of lines
         self.parts: list[str] = []
         self.hidden = False
         self.tags = 0
@@ -80,6 +89,8 @@ class _Lines(HTMLParser):
         text = _SPACES.sub(" ", "".join(self.parts)).strip()
         if text or self.hidden:
             path = tuple(n for _, _, n in self.open if n)
+            if any(name in HEADINGS for name, _, _ in self.open):
+                self.headings.add(len(self.lines))
             self.lines.append((text, self.tags, not text, (0, *path)))
             self.tags, self.hidden = 0, False
         self.parts = []
@@ -171,24 +182,20 @@ def extract(html: str | None, sigma: float = SIGMA) -> str:
     ratio = np.array([0.0 if excluded else len(text) / max(1, tags) for text, tags, excluded, _ in lines])
     smooth = _smooth(np.log1p(ratio), sigma)
     content = smooth > _threshold(smooth) if len(lines) > 1 else np.ones(1, dtype=bool)
-    # the smallest container that holds (nearly) all that the clustering calls content
-    mass: dict[int, float] = {}
-    for k in kept:
-        if content[k] or len(kept) == 1:
-            for n in lines[k][3]:
-                mass[n] = mass.get(n, 0.0) + len(lines[k][0])
-    if not mass:
+    chosen = [k for k in kept if content[k] or len(kept) == 1]
+    if not chosen:
         return "\n\n".join(lines[k][0] for k in kept)
-    total = mass[0]
-    articles = [n for n in mass if page.names[n] in ("article", "main")]
-    if articles:
-        best = max(articles, key=lambda n: (mass[n], -n))
-        # an article's own article (a teaser, a nested comment) is inside; of nested ones the inner with all its mass
-        best = max(n for n in articles if mass[n] >= 0.9 * mass[best])
-        regions = {n for n in articles if mass[n] >= 0.5 * mass[best]}
-    else:
-        regions = {max(n for n in mass if mass[n] >= 0.8 * total)}
-    return "\n\n".join(lines[k][0] for k in kept if regions & set(lines[k][3]))
+    # articles with content, and the smallest container of the content outside of them
+    regions = {n for k in chosen for n in lines[k][3] if page.names[n] in ("article", "main")}
+    outside = [k for k in chosen if regions.isdisjoint(lines[k][3])]
+    if outside and 2 * sum(len(lines[k][0]) for k in outside) >= sum(len(lines[k][0]) for k in chosen):
+        regions.add(os.path.commonprefix([lines[k][3] for k in outside])[-1])
+    text, taken = [], False
+    for k in reversed(kept):
+        taken = content[k] or not regions.isdisjoint(lines[k][3]) or (taken and k in page.headings)
+        if taken:
+            text.append(lines[k][0])
+    return "\n\n".join(reversed(text))
 
 
 def _pages(sigma: float):
