@@ -368,6 +368,27 @@ def test_ids_are_those_of_the_tokenizers_library():
         assert [*model.encode_ordinary(text), packing.END_ID] == encoded(text)
 
 
+def test_ids_are_those_of_the_library_as_it_is_set():
+    import public_tokenizers as p
+    from tokenizers import Tokenizer
+
+    library, r = Tokenizer.from_file(p.path("byte_bpe_50k.json")), random.Random(10)
+    model = packing.tokenizer(p.path("byte_bpe_50k.json"), p.PATTERN)
+    assert packing.encode(model, "a <|endoftext|> b") == [64, 220, 50256, 275]
+    assert packing.encode(model, None) == packing.encode(model, "") == []
+    for _ in range(500):
+        text = "".join(r.choice([chr(r.randrange(1, 0x3000)), chr(r.randrange(32, 127)), " ", "\n", "<|endoftext|>", "<|endof", "|>",
+                                 "'s", "日本"]) for _ in range(30))
+        assert packing.encode(model, text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_packed_pieces_hold_added_tokens(spark):
+    got = packed(docs(spark, [(1, "a <|endoftext|> b"), (2, "<|endoftext|>")]))
+    want = {1: [64, 220, 50256, 275, packing.END_ID], 2: [50256, packing.END_ID]}
+    assert {x.doc_id: (x["length"], x.ids_crc32) for x in got} == {
+        i: (len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())) for i, ids in want.items()}
+
+
 def test_cut():
     assert packing.cut(1, 4) == [(0, 1)] and packing.cut(4, 4) == [(0, 4)]
     assert packing.cut(9, 4) == [(0, 1), (1, 4), (5, 4)] and packing.cut(8, 4) == [(0, 4), (4, 4)]
