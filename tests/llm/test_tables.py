@@ -330,6 +330,40 @@ def test_shard_counts_are_a_draw(spark):
     assert len(uses) == 500 and {x["count"] for x in uses} == {6}
 
 
+def test_mixed_slots_hold_the_words_that_mix_counts(spark):
+    r = random.Random(6)
+    data = [(i, sentence(r, r.randrange(0, 300)), r.choice(["a", "b", "b", None])) for i in range(80)] + [(99, sentence(r, 5000), "a")]
+    got = mixing.mixed(docs(spark, data), shard=20).collect()
+    size, by_slot, taken = {i: len(t.split()) for i, t, _ in data}, defaultdict(list), Counter()
+    for x in got:
+        assert 0 <= x.first_word < x.end_word <= size[x.doc_id]
+        taken[x.doc_id] += x.end_word - x.first_word
+        by_slot[x.shard, x.slot, x.source, x["index"]].append((x.at, x.end_word - x.first_word))
+    assert {x.doc_id: x.taken for x in mixing.mix(docs(spark, data)).collect()} == {i: taken[i] for i in size}
+    assert sorted(k[1] for k in by_slot) == list(range(len(by_slot))) and len({k[0] for k in by_slot}) > 2
+    for parts in by_slot.values():
+        end = 0
+        for at, n in sorted(parts):
+            assert at == end
+            end += n
+        assert 0 < end <= mixing.BLOCK
+
+
+def test_copies_keep_each_source_near_its_target(spark):
+    r = random.Random(7)
+    data = [(i, sentence(r, 300 + 40 * (i % 50)), "abc"[i % 3] if i % 10 else None) for i in range(300)]
+    data += [(1000, data[4][1], "b"), (1000, data[4][1], "b"), (None, data[7][1], "b"), (None, data[7][1], "b")]
+    taken, longest, source = Counter(), Counter(), {i: s for i, _, s in data}
+    for x in mixing.mix(docs(spark, data)).collect():
+        taken[source[x.doc_id]] += x.taken
+        longest[source[x.doc_id]] = max(longest[source[x.doc_id]], x["size"])
+    got = Counter()
+    for x in mixing.copies(docs(spark, data)).collect():
+        got[x.source] += len(x.text.split())
+    for s in taken:
+        assert abs(got[s] - taken[s]) <= 2 * longest[s], s
+
+
 def test_mixing_odd_rows(spark):
     got = mixing.mix(odd(spark)).collect()
     assert Counter((x.doc_id, x["size"]) for x in got) == Counter((i, len((t or "").encode().split())) for i, t, _ in odd_rows())
