@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickforge.llm import (
-    bbit_minhash, main_text, mixing, packing, pii_tagger, projection_forest, quality_ftrl, subword_lattice, topk_search,
-    warc)
+    bbit_minhash, contamination, main_text, mixing, packing, pii_tagger, projection_forest, quality_ftrl, spelling,
+    subword_lattice, topk_search, warc)
 from tickforge.llm.common import id_remainder, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +97,84 @@ def op8_topk_search(spark, sf_dir):
 @query
 def op10_projection_forest(spark, sf_dir):
     return projection_forest.groups(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_decontamination(spark, sf_dir):
+    return contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop(
+        "items", "spans")
+
+
+_CAPITALS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+ORACLE["op12_decontamination"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(translate(text, {_CAPITALS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents),
+i AS (
+  SELECT item_id, regexp_extract_all(translate(text, {_CAPITALS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+places AS (
+  SELECT item_id, w, least(len(w), 10) AS k, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p
+  FROM i WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, k, array_to_string(w[p:p + k - 1], ' ') AS v FROM places),
+sizes AS (SELECT DISTINCT k FROM windows),
+spots AS (SELECT r, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, sizes WHERE len(w) >= k),
+found AS (
+  SELECT r, p, k, item_id FROM (SELECT r, p, k, array_to_string(w[p:p + k - 1], ' ') AS v FROM spots)
+  JOIN windows USING (k, v)),
+words AS (
+  SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + k)) AS q FROM (SELECT DISTINCT r, p, k FROM found))
+  GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN named USING (r)"""
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+# The check sum has no function there: bytes are folded over a table of 256 remainders made by shifting eight times.
+ORACLE["op13_spelling_variants"] = rf"""
+WITH RECURSIVE t AS (
+  SELECT list(list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS r
+  FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS b)),
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, {_CAPITALS}), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+summed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295, [
+      CAST(('0x' || substr(hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)), 2 * i + 1, 2)) AS BIGINT)
+      for i in range(CAST(octet_length(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS BIGINT))]),
+    lambda c, x: xor(c >> 8, r[CAST(xor(c, x) & 255 AS BIGINT) + 1])), 4294967295) AS h
+  FROM counted, t),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM summed) WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS key FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b USING (i, key) WHERE a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM cut a JOIN words b ON b.word = a.key
+  UNION SELECT b.word, b.n, a.word, a.n FROM cut a JOIN words b ON b.word = a.key),
+best AS (
+  SELECT word, n, count(*) AS n_near, max(other_n) AS top_n FROM near GROUP BY word, n),
+forms AS (
+  SELECT word, any_value(n_near) AS n_near, min(CASE WHEN top_n >= 5 * n THEN other END) AS form,
+         any_value(CASE WHEN top_n >= 5 * n THEN top_n END) AS form_n
+  FROM best JOIN near USING (word, n) WHERE other_n = top_n GROUP BY word),
+walk AS (
+  SELECT word, form AS step FROM forms WHERE form IS NOT NULL
+  UNION ALL SELECT walk.word, forms.form FROM walk JOIN forms ON forms.word = walk.step WHERE forms.form IS NOT NULL),
+ends AS (
+  SELECT word, step AS root FROM walk WHERE step NOT IN (SELECT word FROM forms WHERE form IS NOT NULL))
+SELECT word, form, coalesce(root, word) AS root, n, coalesce(n_near, 0) AS n_near, form_n
+FROM words LEFT JOIN forms USING (word) LEFT JOIN ends USING (word)"""
