@@ -13,6 +13,16 @@ BATCH_ROWS = 512
 CELL_ROWS = 200_000
 
 
+_WORD_BYTES = frozenset([*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)])
+#: UTF-8 in which ASCII capitals are small and all but digits, letters and bytes beyond ASCII are blanks.
+NORMAL = bytes(b if b in _WORD_BYTES else 0x20 for b in bytes(range(256)).lower())
+
+
+def word_list(text: str | None) -> list[bytes]:
+    """Words of digits, ASCII letters (lower-cased) and characters beyond ASCII, as UTF-8."""
+    return [] if text is None else text.encode().translate(NORMAL).split()
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Settings of a session that runs these operators."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")

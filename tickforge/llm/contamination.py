@@ -16,24 +16,17 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tickforge.llm.common import NORMAL, word_list
 from tickforge.session import stage
 
 WORDS = 10
 #: Characters of windows and item ids in one automaton, about 45 bytes of memory each.
 WINDOW_CHARS = 2_000_000
 
-_WORD_BYTES = frozenset([*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)])
-#: Normalised byte for every byte of UTF-8.
-NORMAL = bytes(b if b in _WORD_BYTES else 0x20 for b in bytes(range(256)).lower())
-
 SPANS = "array<struct<start:bigint,end:bigint>>"
 _STATE = f"key string, text string, n_words bigint, runs array<bigint>, items array<string>, spans {SPANS}"
 
 
-def word_list(text: str | None) -> list[bytes]:
-    return [] if text is None else text.encode().translate(NORMAL).split()
-
-
 def normal_text(words: list[bytes]) -> str:
     """One blank between words and at both ends, so that a window matches whole words only."""
     return (b" " + b" ".join(words) + b" ").decode()
@@ -72,7 +65,7 @@ class Scanner:
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], tuple[str, ...]]:
         """Runs [first, last] of hit words, joined and in order, and the items whose windows occur."""
-        found = list(self.automaton.iter(normal_text(words)))
+        found = list(self.automaton.iter(normal_text(words))) if self.items else []
         if not found:
             return [], ()
         ends = list(itertools.accumulate(len(w.decode()) + 1 for w in words))     # place of the blank behind each word

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tickforge.llm import (
-    bbit_minhash, contamination, main_text, mixing, packing, pii_tagger, projection_forest, quality_ftrl, spelling,
+    bbit_minhash, contamination, dual_tree, main_text, mixing, packing, pii_tagger, projection_forest, quality_ftrl, spelling,
     subword_lattice, topk_search, warc)
 from tickforge.llm.common import id_remainder, prepare, table
 
@@ -178,3 +178,30 @@ ends AS (
   SELECT word, step AS root FROM walk WHERE step NOT IN (SELECT word FROM forms WHERE form IS NOT NULL))
 SELECT word, form, coalesce(root, word) AS root, n, coalesce(n_near, 0) AS n_near, form_n
 FROM words LEFT JOIN forms USING (word) LEFT JOIN ends USING (word)"""
+
+
+@query
+def op11_dual_tree_search(spark, sf_dir):
+    return dual_tree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op11_dual_tree_search"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, {_CAPITALS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS t FROM documents),
+totals AS (SELECT count(*) AS nd, sum(len(t))::BIGINT AS nw FROM d WHERE len(t) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY r, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(nd) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, totals GROUP BY term),
+norms AS (SELECT r, doc_id, 100 - 90 + ((90 * len(t) * nd) // nw) AS m FROM d, totals WHERE len(t) > 0),
+i AS (SELECT row_number() OVER () AS q, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+asked AS (
+  SELECT DISTINCT q, item_id,
+         unnest(regexp_extract_all(translate(text, {_CAPITALS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term FROM i),
+scored AS (
+  SELECT q, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN norms USING (r) GROUP BY q, item_id, r, doc_id)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+  FROM scored WHERE score > 0) WHERE rank <= 10"""
