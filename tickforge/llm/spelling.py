@@ -5,13 +5,14 @@
    frequent among the words; rare grams are not extended.  Words carry a mark at both ends.
 3. A word is decomposed into one gram per place, the longest that the dictionary holds there.  Which gram that is, is
    decided by the characters read at the place; one edit can change the grams only of those places that read the edited
-   character.  The largest number of places that read one character bounds the grams that one edit affects, per word.
-4. Two words one edit apart keep at least (grams - bound) grams in common, so the rarest common one is among the
-   (bound + 1) rarest grams of both words: only these enter the index.  The edit lies right or left of a kept gram, so
-   all characters before the gram's end, or after its start, are alike too: a gram's list is split by them.
-5. Lists are merged by a join on their keys, whose condition verifies the distance; what it keeps are near pairs only.
-
-No list is held by one task: the join sorts, and adaptive execution may split it.
+   character.  So every place of an edit has its affected grams; all others are in the lists of both words, those before
+   it at the same place from the start, those behind it at the same place from the end.
+4. For every place the lists of all unaffected grams are merged: a word's entry in the merged list is what it has before
+   the affected grams and behind them, one key.  Two words one edit apart meet in the list of that edit.
+5. A join brings the entries of a list together; its condition verifies the distance, and near pairs are all it keeps.
+
+Words that meet agree in all but fewer than two gram lengths around one place, so lists stay short however many words
+share a gram.  No list is gathered in a task: the join sorts, and adaptive execution may split it.
 """
 
 from __future__ import annotations
@@ -105,7 +106,7 @@ def dictionary(words: DataFrame, longest: int = LONGEST, frequent: int = FREQUEN
     """
     grams = stage(gram_counts(words, longest), "gram-counts")
     while grams.where(F.col("parent_n") > frequent).count() > most:
-        frequent *= 2
+        frequent = max(1, 2 * frequent)
     kept = grams.where((F.char_length("gram") == SHORTEST) | (F.col("parent_n") > frequent))
     return {r.gram: r.n for r in kept.select("gram", "n").collect()}, frequent
 
@@ -124,31 +125,27 @@ def decomposed(marked: str, grams: dict[str, int], longest: int, frequent: int)
     return out
 
 
-def affected(parts: list[tuple[str, int, int]], length: int) -> int:
-    """Most grams that one edit can change: the most places that read one character."""
-    opened = [0] * (length + 1)
-    for _, start, end in parts:
-        opened[start] += 1
-        opened[end] -= 1
-    most = now = 0
-    for change in opened:
-        now += change
-        most = max(most, now)
-    return most
+def unaffected(parts: list[tuple[str, int, int]], length: int) -> set[tuple[int, int]]:
+    """For every edit: up to where the grams before it reach, and where those behind it start.
+
+    A changed or deleted character leaves the places that do not read it, an inserted one also those that end before it
+    or start behind it.  No gram before is 0, none behind the length.
+    """
+    reach = [0] * (length + 1)
+    for gram, place, read in parts:
+        reach[read] = max(reach[read], place + len(gram))
+    for i in range(1, length + 1):
+        reach[i] = max(reach[i], reach[i - 1])
+    last = length - 2       # the last place with a gram
+    changed = {(reach[i], i + 1 if i < last else length) for i in range(1, length - 1)}
+    return changed | {(reach[i], i if i <= last else length) for i in range(1, length)}
 
 
 def index_keys(word: str, grams: dict[str, int], longest: int, frequent: int) -> list[str]:
-    """Keys of the word's rarest grams: place and characters up to the gram's end, or from its start, by the end."""
+    """The merged lists that the word is in."""
     marked = START + word + END
-    parts = decomposed(marked, grams, longest, frequent)
-    counts = sorted(grams.get(g, 0) for g, _, _ in parts)
-    limit = counts[min(affected(parts, len(marked)), len(counts) - 1)]
-    keys = []
-    for gram, place, _ in parts:
-        if grams.get(gram, 0) <= limit:
-            keys.append(f"l{place}:{marked[:place + len(gram)]}")
-            keys.append(f"r{len(marked) - place}:{marked[place:]}")
-    return keys
+    places = unaffected(decomposed(marked, grams, longest, frequent), len(marked))
+    return [f"{marked[:left]}|{marked[right:]}" for left, right in places]
 
 
 def postings(words: DataFrame, longest: int = LONGEST, frequent: int = FREQUENT) -> DataFrame:
@@ -172,7 +169,7 @@ def postings(words: DataFrame, longest: int = LONGEST, frequent: int = FREQUENT)
 def near_pairs(words: DataFrame, longest: int = LONGEST, frequent: int = FREQUENT) -> DataFrame:
     """a, a_n, b, b_n: distinct pairs a < b of words that one inserted, deleted or replaced code point parts.
 
-    Words must have at least ``longest`` code points: then one edit cannot affect all grams.
+    Words must have at least ``longest`` code points: then no edit affects all grams.
     """
     lists = stage(postings(words, longest, frequent), "postings")
     left = lists.select("key", F.col("word").alias("a"), F.col("n").alias("a_n"))
