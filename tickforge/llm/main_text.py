@@ -9,13 +9,17 @@ every line of the smallest container that holds all content outside those elemen
 half of all.  So short lines between long ones stay, as the smoothing and the regions decide, not a line's own length.
 Several articles of a page are all kept.
 
-One page is one row's work: rows are handled where they lie, without a shuffle.
+Names are weak evidence: a class like ``sidebar`` or ``post-comments`` excludes its part, one that says the opposite
+(``no-sidebar``, ``header-fixed``) does not, and one that merely holds such a word (``navbar-offset``, ``search-results``)
+does unless the part holds more than half of what the clustering calls content.
+
+One page is one row's work, in time proportional to its length: rows are handled where they lie, without a shuffle.
 """
 
 from __future__ import annotations
 
-import os
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -43,7 +47,11 @@ MARKS = frozenset("ad ads advert adverts advertisement advertising banner sponso
 MARK_STARTS = ("comment", "sidebar", "advert", "cookie", "newsletter", "breadcrumb", "sponsor", "subscri")
 #: Marks that an article's own parts may bear, too.
 OWN_MARKS = frozenset({"header", "masthead", "banner"})
-_MARK = re.compile(r"[^a-z0-9]+")
+#: Parts of a name that turn its meaning round, and parts by which a name is that of a layout.
+MODIFIERS = frozenset("has no not non with without free fixed off on offset enabled disabled hide hidden".split())
+LAYOUT = frozenset("content main layout page wrap wrapper container body site article".split())
+_PART = re.compile(r"[^a-z0-9]+")
+NONE, WEAK, STRONG = 0, 1, 2
 #: An open element of these ends where a new block of the given kinds begins.
 CLOSES = {"p": BLOCK, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
           "th": {"td", "th", "tr"}, "option": {"option"}}
@@ -51,47 +59,71 @@ _SPACES = re.compile(r"\s+")
 SIGMA = 1.0
 
 
-def _marked(tag: str, attrs: list, inside: bool) -> bool:
+def name_mark(name: str, marks: frozenset[str] = MARKS) -> int:
+    """What one word of a class, id or role says: STRONG as a whole, by its last part or its beginning; WEAK by another
+    part, or beside a word for layout; NONE otherwise, and with a part that turns it round."""
+    parts = [p for p in _PART.split(name) if p]
+    if not parts or not MODIFIERS.isdisjoint(parts) and len(parts) > 1:
+        return NONE
+    if len(parts) > 1 and not LAYOUT.isdisjoint(parts):
+        return NONE if marks.isdisjoint(parts) and not name.startswith(MARK_STARTS) else WEAK
+    if parts[-1] in marks or name.startswith(MARK_STARTS):
+        return STRONG
+    return NONE if marks.isdisjoint(parts) else WEAK
+
+
+def _marked(tag: str, attrs: list, inside: bool) -> int:
     """Attributes that hide an element or name it as no article.  ``inside``: in an article."""
+    found = NONE
     for k, v in attrs:
         v = (v or "").lower()
         named = k in ("class", "role") and (tag in PARTS or not inside) or k == "id" and tag in PARTS and not inside
         if named and tag not in ("html", "body", "main"):
-            words = _MARK.split(v)
+            words = v.split()
             if tag == "article":
-                words = [w for w in words if w.startswith("comment")]
+                words = [w for w in words if any(p.startswith("comment") for p in _PART.split(w))]
             marks = MARKS - OWN_MARKS if inside else MARKS
-            if not marks.isdisjoint(words) or any(w.startswith(MARK_STARTS) for w in words):
-                return True
+            found = max([found, *(name_mark(w, marks) for w in words)])
         if k == "hidden" or (k == "aria-hidden" and v == "true") or (
                 k == "style" and "display:none" in v.replace(" ", "")):
-            return True
-    return False
+            return STRONG
+    return found
 
 
 class _Lines(HTMLParser):
-    """Lines of a page: [text, tags, excluded, path of containers]."""
+    """Lines of a page: (text, tags, excluded, container, weak part)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int]] = []     # name, excluded, number of the container
-        self.lines: list[tuple[str, int, bool, tuple[int, ...]]] = []
-        self.names: dict[int, str] = {0: "body"}
+        self.open: list[tuple[str, bool, int, int]] = []    # name, excluded, innermost container, innermost weak part
+        self.blocks: list[int] = []         # places of block elements in ``open``
+        self.count: Counter[str] = Counter()    # open elements by name
+        self.lines: list[tuple[str, int, bool, int, int]] = []
+        self.names, self.above = ["body"], [0]      # containers, in page order: their names, and those around them
+        self.weak = [0]                     # weak parts: those around them
         self.headings: set[int] = set()     # numbers of lines
         self.parts: list[str] = []
         self.hidden = False
         self.tags = 0
 
-    def _excluded(self) -> bool:
-        return bool(self.open) and self.open[-1][1]
+    def _at(self) -> tuple[bool, int, int]:
+        return self.open[-1][1:] if self.open else (False, 0, 0)
+
+    def _close(self, place: int) -> None:
+        """End the open elements from ``place`` on."""
+        for name, *_ in self.open[place:]:
+            self.count[name] -= 1
+        del self.open[place:]
+        while self.blocks and self.blocks[-1] >= place:
+            self.blocks.pop()
 
     def end_line(self) -> None:
         text = _SPACES.sub(" ", "".join(self.parts)).strip()
         if text or self.hidden:
-            path = tuple(n for _, _, n in self.open if n)
-            if any(name in HEADINGS for name, _, _ in self.open):
+            _, container, weak = self._at()
+            if any(self.count[name] for name in HEADINGS):
                 self.headings.add(len(self.lines))
-            self.lines.append((text, self.tags, not text, (0, *path)))
+            self.lines.append((text, self.tags, not text, container, weak))
             self.tags, self.hidden = 0, False
         self.parts = []
 
@@ -99,27 +131,31 @@ class _Lines(HTMLParser):
         if tag in BLOCK:
             self.end_line()
             # a block inside inline elements of an unclosed paragraph ends the paragraph too
-            for k in range(len(self.open) - 1, -1, -1):
-                name = self.open[k][0]
-                if name in CLOSES and tag in CLOSES[name]:
-                    del self.open[k:]
-                    break
-                if name in BLOCK:
-                    break
+            if self.blocks and tag in CLOSES.get(self.open[self.blocks[-1]][0], ()):
+                self._close(self.blocks[-1])
         self.tags += 1
         if tag == "br":
             self.parts.append(" ")
         if tag in VOID:
             return
-        excluded = self._excluded() or tag in EXCLUDED
+        excluded, container, weak = self._at()
+        excluded = excluded or tag in EXCLUDED
         if not excluded and (attrs or tag == "header"):
-            inside = any(n in ("article", "main") for n, _, _ in self.open)
-            excluded = (tag == "header" and not inside) or _marked(tag, attrs, inside)
-        number = 0
+            inside = bool(self.count["article"] or self.count["main"])
+            mark = STRONG if tag == "header" and not inside else _marked(tag, attrs, inside)
+            if mark == WEAK and tag in BLOCK:
+                self.weak.append(weak)
+                weak = len(self.weak) - 1
+            else:
+                excluded = mark != NONE
         if tag in CONTAINER:
-            number = len(self.names)
-            self.names[number] = tag
-        self.open.append((tag, excluded, number))
+            self.names.append(tag)
+            self.above.append(container)
+            container = len(self.names) - 1
+        if tag in BLOCK:
+            self.blocks.append(len(self.open))
+        self.open.append((tag, excluded, container, weak))
+        self.count[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -129,18 +165,18 @@ class _Lines(HTMLParser):
     def handle_endtag(self, tag):
         if tag == "br":
             self.parts.append(" ")
-        if not (self.open and self.open[-1][0] == tag) and tag not in [n for n, _, _ in self.open]:
+        if not self.count[tag]:
             return      # a stray end
         if tag in BLOCK:
             self.end_line()
         self.tags += 1
-        while self.open:
-            name = self.open.pop()[0]
-            if name == tag:
-                break
+        place = len(self.open) - 1
+        while self.open[place][0] != tag:
+            place -= 1
+        self._close(place)
 
     def handle_data(self, data):
-        if self._excluded():
+        if self._at()[0]:
             self.hidden = self.hidden or not data.isspace()
         else:
             self.parts.append(data)
@@ -167,6 +203,36 @@ def _threshold(x: np.ndarray) -> float:
     return cut
 
 
+def _clustered(lines: list, sigma: float) -> np.ndarray:
+    """Which lines are content."""
+    ratio = np.array([0.0 if excluded else len(text) / max(1, tags) for text, tags, excluded, *_ in lines])
+    smooth = _smooth(np.log1p(ratio), sigma)
+    return smooth > _threshold(smooth) if len(lines) > 1 else np.ones(1, dtype=bool)
+
+
+def _weighed(page: _Lines, sigma: float) -> list:
+    """The page's lines, excluded where a weakly marked part holds no more than half of the content."""
+    if len(page.weak) == 1:
+        return page.lines
+    content, held = _clustered(page.lines, sigma), [0] * len(page.weak)
+    for line, good in zip(page.lines, content, strict=True):
+        held[line[4]] += len(line[0]) if good else 0
+    for part in range(len(held) - 1, 0, -1):        # a part is numbered after those around it
+        held[page.weak[part]] += held[part]
+    out = [False] * len(held)
+    for part in range(1, len(held)):
+        out[part] = out[page.weak[part]] or 2 * held[part] <= held[0]
+    return [("", tags, True, container, 0) if out[weak] else (text, tags, excluded, container, weak)
+            for text, tags, excluded, container, weak in page.lines]
+
+
+def _around(page: _Lines, a: int, b: int) -> int:
+    """The smallest container around two; numbers grow inwards."""
+    while a != b:
+        a, b = (page.above[a], b) if a > b else (a, page.above[b])
+    return a
+
+
 def extract(html: str | None, sigma: float = SIGMA) -> str:
     """Main text of one page; empty for a null, empty or text-free page."""
     if not html:
@@ -175,24 +241,33 @@ def extract(html: str | None, sigma: float = SIGMA) -> str:
     page.feed(html)
     page.close()
     page.end_line()
-    lines = page.lines
-    kept = [k for k, (_, _, excluded, _) in enumerate(lines) if not excluded]
+    lines = _weighed(page, sigma)
+    kept = [k for k, line in enumerate(lines) if not line[2]]
     if not kept:
         return ""
-    ratio = np.array([0.0 if excluded else len(text) / max(1, tags) for text, tags, excluded, _ in lines])
-    smooth = _smooth(np.log1p(ratio), sigma)
-    content = smooth > _threshold(smooth) if len(lines) > 1 else np.ones(1, dtype=bool)
+    content = _clustered(lines, sigma)
     chosen = [k for k in kept if content[k] or len(kept) == 1]
     if not chosen:
         return "\n\n".join(lines[k][0] for k in kept)
     # articles with content, and the smallest container of the content outside of them
-    regions = {n for k in chosen for n in lines[k][3] if page.names[n] in ("article", "main")}
-    outside = [k for k in chosen if regions.isdisjoint(lines[k][3])]
+    of_article = [False] * len(page.names)      # by container
+    for n in range(1, len(page.names)):
+        of_article[n] = page.names[n] in ("article", "main") or of_article[page.above[n]]
+    region, seen = [False] * len(page.names), [False] * len(page.names)
+    for k in chosen:
+        n = lines[k][3]
+        while of_article[n] and not seen[n]:
+            seen[n], region[n] = True, page.names[n] in ("article", "main")
+            n = page.above[n]
+    outside = [k for k in chosen if not of_article[lines[k][3]]]
     if outside and 2 * sum(len(lines[k][0]) for k in outside) >= sum(len(lines[k][0]) for k in chosen):
-        regions.add(os.path.commonprefix([lines[k][3] for k in outside])[-1])
+        found = [lines[k][3] for k in outside]
+        region[_around(page, min(found), max(found))] = True    # of all, as containers are numbered in page order
+    for n in range(1, len(page.names)):
+        region[n] = region[n] or region[page.above[n]]
     text, taken = [], False
     for k in reversed(kept):
-        taken = content[k] or not regions.isdisjoint(lines[k][3]) or (taken and k in page.headings)
+        taken = content[k] or region[lines[k][3]] or (taken and k in page.headings)
         if taken:
             text.append(lines[k][0])
     return "\n\n".join(reversed(text))
