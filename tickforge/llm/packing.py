@@ -11,6 +11,7 @@ length that a third of all pieces share is no single task's work.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections import defaultdict
 
@@ -57,9 +58,26 @@ def tokenizer(path: str, pattern: str):
     return _MODELS[path]
 
 
+#: Runs of white space from here on bypass the pattern, whose search keeps a place to return to for every character.
+LONG_SPACE = 100_000
+_SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_SPACE)
+
+
 def encode(model, text: str | None) -> list[int]:
-    """The text's ids, added tokens by their own."""
-    return model.encode(text, allowed_special="all") if text else []
+    """The text's ids, added tokens by their own.
+
+    The pattern takes a run of white space as all but its last character, which goes with what follows, or whole where
+    nothing or an added token follows; long runs are cut there and merged as one token each, so the ids are the same.
+    """
+    if not text:
+        return []
+    ids, done = [], 0
+    for run in _SPACE.finditer(text):
+        ids += model.encode(text[done:run.start()], allowed_special="all")
+        whole = run.end() == len(text) or any(text.startswith(t, run.end()) for t in model.special_tokens_set)
+        done = run.end() if whole else run.end() - 1
+        ids += model._encode_single_piece(text[run.start():done])
+    return ids + model.encode(text[done:], allowed_special="all")
 
 
 def cut(length: int, size: int) -> list[tuple[int, int]]:
