@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickforge import settings
 from tickforge.operators import dashboard, features
-from tickforge.plans import catalogue, medallion, warehouse
+from tickforge.plans import catalogue, medallion, refresh, warehouse
 from tickforge.sinks import lake as sink
 from tickforge.sources import fixtures as fx, topics
 from tickforge.sources.lake import batch_table, snapshot, versions
@@ -44,7 +44,7 @@ def test_layers_hold_every_message_once(spark, sf_dir, lake):
     valid = fx.enriched(spark, sf_dir).count()
     for layer, table in [("silver", "stock_prices_enriched"), ("gold", "fact_stock_trades")]:
         assert batch_table(spark, lake.table(layer, table)).count() == valid
-    assert snapshot(spark, lake.table("gold", "stock_with_sentiment")).count() == valid
+    assert refresh.sentiment_table(spark, lake).count() == valid
     assert snapshot(spark, lake.table("gold", "dim_stocks")).count() == 20
     assert batch_table(spark, lake.table("silver", "news_sentiment_clean")).count() == \
         fx.table(spark, sf_dir, "documents").count()
@@ -83,7 +83,7 @@ def test_chain_with_a_silent_topic_and_a_new_field(spark, sf_dir, tmp_path):
     feeds = {k: topics.replay_topic(spark, f"{folder}/{k}") for k in settings.TOPICS}
     medallion.run(spark, quiet, feeds, valid_from=datetime(2024, 1, 1))
     ticks = batch_table(spark, quiet.table("silver", "stock_prices_enriched"))
-    joined = snapshot(spark, quiet.table("gold", "stock_with_sentiment"))
+    joined = refresh.sentiment_table(spark, quiet)
     assert joined.count() == ticks.count() > 0 and joined.filter("news_count <> 0").count() == 0
 
 
@@ -103,7 +103,7 @@ def test_keys_share_a_partition(spark, sf_dir):
 
 
 def test_feature_table_is_current(spark, lake):
-    stored = snapshot(spark, lake.table("ml", "features"))
+    stored = refresh.feature_table(spark, lake)
     assert stored.columns == features.OUTPUT and stored.filter("target is null").count() == 0
 
 

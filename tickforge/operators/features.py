@@ -21,6 +21,11 @@ OUTPUT = [
 ]
 
 
+#: What indicators are computed from, and what is stored of a row before the sentiment is joined.
+INPUT = ["symbol", "timestamp_parsed", "trade_date", "price", "price_change_pct", "volume"]
+STORED = [c for c in OUTPUT if c not in ("sentiment_score", "news_count")]
+
+
 def price_lags(df: DataFrame, w: WindowSpec, steps: tuple[int, ...] = (1, 2, 3, 5)) -> DataFrame:
     return df.withColumns({f"price_lag_{k}": F.lag("price", k).over(w) for k in steps})
 
@@ -98,10 +103,16 @@ def indicators(df: DataFrame, w: WindowSpec) -> DataFrame:
 def build_features(trades: DataFrame, latest_sentiment: DataFrame, tiebreak: str,
                    piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Feature rows with a known next move, 22 columns."""
+    needed = [c for c in (*INPUT, tiebreak) if c in trades.columns]
     featured = calendar(over_sequence(
-        trades, indicators, "symbol", "timestamp_parsed", tiebreak,
+        trades.select(*needed), indicators, "symbol", "timestamp_parsed", tiebreak,
         before=LONGEST_FRAME, after=1, piece_rows=piece_rows,
     ))
+    return with_sentiment(featured, latest_sentiment)
+
+
+def with_sentiment(featured: DataFrame, latest_sentiment: DataFrame) -> DataFrame:
+    """Indicator rows with a known next move and the newest sentiment of their symbol, 0 where there is none."""
     joined = featured.filter(F.col("target").isNotNull()).join(latest_sentiment, "symbol", "left")
     return joined.withColumns({
         c: F.coalesce(F.col(c), F.lit(0)) for c in ("sentiment_score", "news_count")

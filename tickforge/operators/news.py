@@ -102,6 +102,13 @@ def latest_sentiment(sentiment: DataFrame, tiebreak: str | None = None,
     )
 
 
+def newest_rows(sentiment: DataFrame, tiebreak: str, ts: str = "timestamp_parsed") -> DataFrame:
+    """Each symbol's newest tick with its sentiment: state from which :func:`latest_sentiment` can go on."""
+    at = order_key(ts, tiebreak)
+    columns = [ts, tiebreak, "date_parsed", "news_sentiment", "news_count"]
+    return sentiment.groupBy("symbol").agg(*[F.max_by(c, at).alias(c) for c in columns])
+
+
 def newest_tick(enriched: DataFrame, tiebreak: str | None = None,
                 ts: str = "timestamp_parsed") -> DataFrame:
     """Time, id and day of each symbol's newest tick.

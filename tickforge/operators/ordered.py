@@ -54,9 +54,9 @@ def over_sequence(
     return compute(pieces, window).filter(F.col(_TO) == F.col(_PIECE)).drop(_POSITION, _PIECE, _TO)
 
 
-def positioned(df: DataFrame, key: str, ts: str, tiebreak: str) -> DataFrame:
+def positioned(df: DataFrame, key: str, ts: str, tiebreak: str | list[str]) -> DataFrame:
     """``df`` (stored) with each row's position in the order of (key, ts, tiebreak)."""
-    order = [key, ts, tiebreak]
+    order = [key, ts, *([tiebreak] if isinstance(tiebreak, str) else tiebreak)]
     rows = stage(df.repartitionByRange(*order).sortWithinPartitions(*order)
                  .withColumn(_AT, F.monotonically_increasing_id()), "ordered")
     part: Column = F.shiftright(_AT, _PLACE_BITS)

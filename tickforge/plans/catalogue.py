@@ -7,15 +7,16 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickforge import schemas, settings
-from tickforge.operators import candles, dashboard, facts, features, marts, ml, news, ordered, quality, ticks
-from tickforge.plans import medallion
+from tickforge.operators import (
+    asof, candles, dashboard, dimension, facts, features, marts, ml, news, ordered, quality, ticks)
+from tickforge.plans import medallion, refresh
 from tickforge.session import fresh_path, prepare, stage
 from tickforge.sinks import lake as sink
 from tickforge.sources import fixtures as fx
-from tickforge.sources import topics
+from tickforge.sources import contracts, topics
 from tickforge.sources.lake import batch_table, snapshot
 from tickforge.streaming import jobs
 
@@ -156,7 +157,8 @@ def wire_roundtrip(spark, sf_dir):
         "minute", "price", "volume", "price_change", "price_change_pct", "market_hours", "is_anomaly")
 
 
-def wire_messages(spark, sf_dir, kind: str = "stocks") -> DataFrame:
+def wire_messages(spark, sf_dir, kind: str = "stocks", further: dict[str, Column] | None = None) -> DataFrame:
+    """Messages of a topic; ``further`` are fields beyond its first contract."""
     events = fx.table(spark, sf_dir, "events")
     built = fx.stock_ticks(events) if kind == "stocks" else fx.crypto_ticks(events)
     ts = F.col("timestamp")
@@ -164,8 +166,9 @@ def wire_messages(spark, sf_dir, kind: str = "stocks") -> DataFrame:
         "_at": ts, "date": F.date_format(ts, "yyyy-MM-dd"), "source": F.lit("replay"),
         "timestamp": F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
     })
-    payload = schemas.struct(jobs.RAW[kind][1]).names
-    return sink.messages(wire, settings.TOPICS[kind], payload=payload, at=F.col("_at"), offset=F.col(ID))
+    payload = [*schemas.struct(jobs.RAW[kind][1]).names, *(further or {})]
+    return sink.messages(wire.withColumns(further or {}), settings.TOPICS[kind], payload=payload, at=F.col("_at"),
+                         offset=F.col(ID))
 
 
 def news_messages(spark, sf_dir) -> DataFrame:
@@ -556,7 +559,7 @@ def medallion_daily(spark, sf_dir):
 @query
 def medallion_features(spark, sf_dir):
     """The feature table as the chain stores it."""
-    return snapshot(spark, run_chain(spark, sf_dir).table("ml", "features"))
+    return refresh.feature_table(spark, run_chain(spark, sf_dir))
 
 
 def run_chain(spark, sf_dir, database: str | None = None) -> jobs.Lake:
@@ -770,3 +773,132 @@ def ohlc_null_ids(spark, sf_dir):
                         tiebreak=ID).select("symbol", "window_start", "high", "low", "tick_count",
                                             F.col("open").isNotNull().alias("opens"),
                                             F.col("close").isNotNull().alias("closes"))
+
+
+# -------------------------------------------------- refreshes beside streams
+
+FIRST, SECOND, LATE = "2024-01-20", "2024-01-26", "2024-01-24"
+
+
+def grown(spark, sf_dir) -> tuple[jobs.Lake, DataFrame]:
+    """A lake that grows in three steps with a refresh after each, and the days that the refreshes rewrote.
+
+    The month up to the 19th, six more days, then the rest, with late ticks of a day that is long refreshed.
+    """
+    lake, refreshed = jobs.Lake(fresh_path(spark, "lake")), []
+    events = fx.enriched(spark, sf_dir).withColumnRenamed(ID, "offset")
+    found, articles = stage(events, "ticks"), stage(fx.clean_news(spark, sf_dir), "articles")
+    late = (F.col("date_parsed") == F.lit(LATE).cast("date")) & (F.col("offset") % 7 == 3)
+    before, between = F.col("date_parsed") < FIRST, F.col("date_parsed").between(FIRST, "2024-01-25")
+    parts = [(before & ~late, before), (between & ~late, between), ((F.col("date_parsed") >= SECOND) | late,
+                                                                   F.col("date_parsed") >= SECOND)]
+    for step, (ticks_in, news_in) in enumerate(parts, 1):
+        for table, df in (("stock_prices_enriched", found.where(ticks_in)), ("news_sentiment_clean", articles.where(news_in))):
+            landing, declared = lake.table("landing", table), jobs.cleaned_schemas(spark, lake)[table]
+            df = df.select([F.col(f.name).cast(f.dataType) for f in declared if f.name in df.columns])
+            df.write.mode("append").parquet(landing)
+            arrived = spark.readStream.schema(df.schema).parquet(landing)
+            jobs.drain([sink.append_stream(arrived, lake.table("silver", table), lake.checkpoint("silver", table), None,
+                                           partition_by=["date_parsed"])])
+        jobs.drain(jobs.serve(spark, lake, only=("fact_stock_trades",)))
+        for day in refresh.refresh_sentiment(spark, lake):
+            refreshed.append((step, "stock_with_sentiment", day))
+        refreshed.append((step, "indicators", refresh.refresh_indicators(spark, lake)))
+    return lake, spark.createDataFrame([(s, t, None if d == "all" else d) for s, t, d in refreshed],
+                                       "step int, refreshed string, day date")
+
+
+@query
+def refreshed_sentiment(spark, sf_dir):
+    """Ticks with sentiment after three refreshes by changed days."""
+    return refresh.sentiment_table(spark, grown(spark, sf_dir)[0]).select(
+        F.col("offset").alias(ID), *BASE[1:], "price", *news.MEASURES)
+
+
+@query
+def refreshed_features(spark, sf_dir):
+    """The feature table after three refreshes from carried rows."""
+    return refresh.feature_table(spark, grown(spark, sf_dir)[0])
+
+
+@exact
+def refreshed_days(spark, sf_dir):
+    """Which days each refresh rewrote; for indicators the first one, null for all."""
+    return grown(spark, sf_dir)[1]
+
+
+@exact
+def evolved_ticks(spark, sf_dir):
+    """Enriched ticks of a topic that gains fields: unknown to the contract at first, then declared.
+
+    Messages up to the 9th lack the fields, later ones have them; they are declared when those up to the 19th are stored.
+    """
+    lake, folder = jobs.Lake(fresh_path(spark, "lake")), fresh_path(spark, "topic")
+    plain = wire_messages(spark, sf_dir)
+    wider = wire_messages(spark, sf_dir, further={
+        "venue": F.concat(F.lit("V"), (F.col(ID) % 4).cast("string")), "lots": F.col(ID) % 5})
+    at = F.col("timestamp")
+    steps = [plain.where(at < "2024-01-10"), wider.where((at >= "2024-01-10") & (at < FIRST)), wider.where(at >= FIRST)]
+    for step, sent in enumerate(steps):
+        if step == 2:
+            jobs.declare(spark, lake, "stocks", "venue STRING, lots BIGINT")
+        sink.publish_messages(sent, "json", folder)
+        jobs.drain(jobs.ingest(lake, {"stocks": topics.replay_topic(spark, folder)}))
+        jobs.drain(jobs.refine(spark, lake, only=("stock_prices_enriched",)))
+    return jobs.cleaned_table(spark, lake, "stock_prices_enriched").select(
+        F.col("offset").alias(ID), *BASE[1:], "price", "venue", "lots", F.col(contracts.UNKNOWN).isNull().alias("known"))
+
+
+# ------------------------------------------- sentiment, news and listing by time
+
+def _known_sentiment(spark, sf_dir, piece_rows: int):
+    return asof.as_of_join(
+        fx.enriched(spark, sf_dir).select(*BASE, "price"),
+        fx.clean_news(spark, sf_dir).select("doc_id", "symbol", F.col("timestamp_parsed").alias("reported"), "sentiment_score"),
+        "symbol", "timestamp_parsed", "reported", ["doc_id", "reported", "sentiment_score"], "doc_id", piece_rows)
+
+
+@exact
+def sentiment_as_of(spark, sf_dir):
+    """Every tick with the newest article on its symbol that was out at its time."""
+    return _known_sentiment(spark, sf_dir, ordered.PIECE_ROWS)
+
+
+@exact
+def sentiment_as_of_split(spark, sf_dir):
+    """The same from short pieces: what is known is carried from piece to piece."""
+    return _known_sentiment(spark, sf_dir, 50)
+
+
+@query
+def news_once(spark, sf_dir):
+    """Daily sentiment from a stream in which polls bring articles again: each counts once."""
+    out, landing = fresh_path(spark, "news"), fresh_path(spark, "polls")
+    first = stage(fx.clean_news(spark, sf_dir).withColumn("timestamp_parsed", F.col("timestamp_parsed").cast("timestamp")), "articles")
+    again = first.withColumn("timestamp_parsed", F.col("timestamp_parsed") + F.expr("interval 1 hour"))
+    for polled in (first.union(first.where(F.col("doc_id") % 3 == 0)), again.where(F.col("doc_id") % 2 == 0)):
+        polled.write.mode("append").parquet(landing)
+        arrived = spark.readStream.schema(first.schema).parquet(landing)
+        jobs.drain([sink.append_stream(jobs.first_reports(arrived), out, f"{out}-checkpoint", None)])
+    return news.daily(batch_table(spark, out))
+
+
+def _relisted(spark, sf_dir):
+    """The dimension after a second load: some instruments in another sector, some gone, some new."""
+    listed = fx.dimension(spark, sf_dir).select(*facts.LISTED)
+    number = F.substring("symbol", 2, 20).cast("bigint")
+    was = facts.as_dimension(listed.where(number % 11 != 5), F.lit("2024-01-01"))
+    now = listed.where(number % 7 != 2).withColumn("sector", F.when(number % 3 == 0, "MOVED").otherwise(F.col("sector")))
+    return stage(dimension.merge_history(was, now, F.lit("2024-01-15 12:00:00")), "history")
+
+
+@exact
+def dim_history(spark, sf_dir):
+    return _relisted(spark, sf_dir)
+
+
+@exact
+def trades_by_validity(spark, sf_dir):
+    """Trade facts with the attributes that were valid at their time."""
+    return dimension.by_validity(trades(spark, sf_dir).select(*BASE, "price"), _relisted(spark, sf_dir),
+                                 "timestamp_parsed", ["name", "sector"])

@@ -6,37 +6,30 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tickforge.operators import facts, features, news
-from tickforge.plans import warehouse
-from tickforge.session import stage
+from tickforge.operators import dimension, facts
+from tickforge.plans import refresh, warehouse
 from tickforge.sinks.lake import overwrite
-from tickforge.sources.lake import snapshot, table_or_empty
-from tickforge.streaming.jobs import Lake, cleaned_schemas, drain, ingest, refine, serve, trade_schema
+from tickforge.sources.lake import exists, snapshot
+from tickforge.streaming.jobs import Lake, drain, ingest, refine, serve
 
 
-def refresh_sentiment(spark: SparkSession, lake: Lake) -> None:
-    """Rebuild ticks-with-sentiment from the cleaned tables."""
-    declared = cleaned_schemas(spark)
-
-    def cleaned(table: str) -> DataFrame:
-        return table_or_empty(spark, lake.table("silver", table), declared[table], lake.fmt)
+def refresh_dimension(spark: SparkSession, lake: Lake, at: datetime,
+                      rows: list[tuple[str, ...]] | None = None) -> None:
+    """Merge the configured listing into the dimension's history; what changed is valid from ``at``."""
+    path = lake.table("gold", "dim_stocks")
+    listed = facts.dim_stocks(spark, at, rows)
+    if exists(spark, path):
+        listed = dimension.merge_history(snapshot(spark, path, lake.fmt), listed, F.lit(at))
+    overwrite(listed, path, lake.fmt)
 
-    joined = news.ticks_with_sentiment(cleaned("stock_prices_enriched"),
-                                       stage(news.daily(cleaned("news_sentiment_clean")), "daily-news"))
-    overwrite(joined, lake.table("gold", "stock_with_sentiment"), lake.fmt, partition_by=["date_parsed"])
 
+def refresh_features(spark: SparkSession, lake: Lake) -> None:
+    """Bring the indicators, of which the feature table is made, up to date."""
+    refresh.refresh_indicators(spark, lake)
 
-def refresh_dimension(spark: SparkSession, lake: Lake, valid_from: datetime) -> None:
-    overwrite(facts.dim_stocks(spark, valid_from), lake.table("gold", "dim_stocks"), lake.fmt)
 
-
-def refresh_features(spark: SparkSession, lake: Lake, tiebreak: str = "offset") -> None:
-    """Rebuild the feature table from trade facts and the newest sentiment per symbol."""
-    trades = table_or_empty(spark, lake.table("gold", "fact_stock_trades"), trade_schema(spark), lake.fmt)
-    trades = trades.withColumnRenamed("trade_timestamp", "timestamp_parsed")   # name in older tables
-    sentiment = snapshot(spark, lake.table("gold", "stock_with_sentiment"), lake.fmt)
-    latest = stage(news.latest_sentiment(sentiment, tiebreak), "latest-sentiment")
-    overwrite(features.build_features(trades, latest, tiebreak), lake.table("ml", "features"), lake.fmt)
+def refresh_sentiment(spark: SparkSession, lake: Lake) -> None:
+    refresh.refresh_sentiment(spark, lake)
 
 
 def run(spark: SparkSession, lake: Lake, topics: dict[str, DataFrame], valid_from: datetime,

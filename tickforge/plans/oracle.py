@@ -171,6 +171,22 @@ STEPS = {
          r_name AS currency, true AS is_current, TIMESTAMP '2024-01-01' AS valid_from,
          CAST(NULL AS TIMESTAMP) AS valid_to
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+    "listed_again": """
+  SELECT * REPLACE (CASE WHEN CAST(substr(symbol, 2) AS BIGINT) % 3 = 0 THEN 'MOVED' ELSE sector END AS sector)
+  FROM dim WHERE CAST(substr(symbol, 2) AS BIGINT) % 7 <> 2""",
+    "relisted": """
+  SELECT w.*, n.symbol IS NOT NULL AND w.sector = n.sector AS same FROM (
+    SELECT * FROM dim WHERE CAST(substr(symbol, 2) AS BIGINT) % 11 <> 5) w
+  LEFT JOIN listed_again n ON w.symbol = n.symbol""",
+    "history": """
+  SELECT * EXCLUDE (same) REPLACE (same AS is_current,
+         CASE WHEN NOT same THEN TIMESTAMP '2024-01-15 12:00:00' END AS valid_to) FROM relisted
+  UNION ALL
+  SELECT * REPLACE (TIMESTAMP '2024-01-15 12:00:00' AS valid_from) FROM listed_again
+  WHERE symbol NOT IN (SELECT symbol FROM relisted WHERE same)""",
+    "arrivals": """
+  SELECT *, CASE WHEN date_parsed = DATE '2024-01-24' AND event_id % 7 = 3 THEN 3 WHEN date_parsed < DATE '2024-01-20' THEN 1
+                 WHEN date_parsed < DATE '2024-01-26' THEN 2 ELSE 3 END AS step FROM enriched""",
     "ranked_days": """
   SELECT *, row_number() OVER (PARTITION BY symbol, trade_date ORDER BY timestamp_parsed, event_id) AS first_rank,
          row_number() OVER (PARTITION BY symbol, trade_date ORDER BY timestamp_parsed DESC, event_id DESC) AS last_rank
@@ -470,6 +486,26 @@ FROM (SELECT avg(CAST(correct AS INTEGER)) AS live, avg(CAST(correct AS INTEGER)
   CAST(sum(target) AS BIGINT) AS ups, 1.0::DOUBLE AS importance, {len(settings.FEATURE_COLUMNS)} AS features
 FROM {_split(f'features WHERE {_PREPARED}')} GROUP BY 1""",
     "prepared_features": f"SELECT target, count(*) AS rows FROM features WHERE {_PREPARED} GROUP BY target",
+    "refreshed_sentiment": f"SELECT {_BASE}, price, {_MEASURES} FROM sentiment",
+    "refreshed_features": _FEATURE_SQL,
+    "refreshed_days": """SELECT step, 'stock_with_sentiment' AS refreshed, date_parsed AS day FROM (
+        SELECT step, date_parsed FROM arrivals UNION
+        SELECT CASE WHEN date_parsed < DATE '2024-01-20' THEN 1 WHEN date_parsed < DATE '2024-01-26' THEN 2 ELSE 3 END,
+               date_parsed FROM news)
+      UNION ALL SELECT step, 'indicators', CASE WHEN step > 1 THEN min(date_parsed) END FROM arrivals GROUP BY step""",
+    "evolved_ticks": f"""SELECT {_BASE}, price,
+        CASE WHEN timestamp_parsed >= TIMESTAMP '2024-01-10' THEN 'V' || (event_id % 4) END AS venue,
+        CASE WHEN timestamp_parsed >= TIMESTAMP '2024-01-10' THEN event_id % 5 END AS lots, true AS known FROM enriched""",
+    **dict.fromkeys(["sentiment_as_of", "sentiment_as_of_split"], """
+      SELECT e.event_id, e.symbol, e.timestamp_parsed, e.price, n.doc_id, n.reported, n.sentiment_score
+      FROM enriched e ASOF LEFT JOIN (
+        SELECT symbol, timestamp_parsed AS reported, max(doc_id) AS doc_id, arg_max(sentiment_score, doc_id) AS sentiment_score
+        FROM news GROUP BY symbol, timestamp_parsed) n ON e.symbol = n.symbol AND e.timestamp_parsed >= n.reported"""),
+    "news_once": "SELECT * REPLACE (round(news_sentiment, 6) AS news_sentiment) FROM daily_news",
+    "dim_history": "SELECT * FROM history",
+    "trades_by_validity": """SELECT t.event_id, t.symbol, t.timestamp_parsed, t.price, h.name AS dim_name, h.sector AS dim_sector
+      FROM trades t LEFT JOIN history h ON t.symbol = h.symbol AND h.valid_from <= t.timestamp_parsed
+       AND (h.valid_to IS NULL OR t.timestamp_parsed < h.valid_to)""",
     "epoch_times": "SELECT event_id, date_trunc('milliseconds', timestamp_parsed) AS timestamp_parsed FROM trades",
     "preview_trades": f"SELECT {_BASE}, price FROM trades ORDER BY event_id DESC LIMIT 5",
     "stream_interval": f"SELECT {_BASE}, price FROM enriched",

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 
 from tickforge import schemas
 from tickforge.operators import marts, quality
+from tickforge.plans import refresh
 from tickforge.sinks.lake import epoch_to_time, publish, stamped
 from tickforge.sources.lake import batch_table, exists, snapshot
 from tickforge.streaming.jobs import Lake
@@ -15,10 +16,11 @@ from tickforge.streaming.jobs import Lake
 LOADS = [
     ("gold", "fact_stock_trades", "raw_stock_trades", False, "raw.stock_trades", "trade_date"),
     ("gold", "fact_ohlc_candles", "raw_ohlc_candles", False, "raw.ohlc_candles", "candle_date"),
-    ("gold", "stock_with_sentiment", "raw_stock_sentiment", True, "raw.stock_sentiment", "date_parsed"),
+    ("gold", "stock_with_sentiment", "raw_stock_sentiment", False, "raw.stock_sentiment", "date_parsed"),
     ("gold", "dim_stocks", "raw_dim_stocks", True, "raw.dim_stocks", None),
-    ("ml", "features", "ml_features", True, "ml.features", None),
 ]
+#: The feature table is made of two stored ones when it is loaded.
+FEATURES = ("ml_features", "ml.features")
 #: Beyond the contract: the id that orders ticks of one time.
 KEPT = ("offset",)
 
@@ -37,6 +39,10 @@ def load(spark: SparkSession, lake: Lake, database: str, fmt: str = "parquet") -
         declared = schemas.conform(df, schemas.WAREHOUSE_DDL[contract], absent=("source", "loaded_at"), keep=extra)
         publish(declared, f"{database}.{table}", fmt, [day] if day else None)
         loaded.append(table)
+    if refresh.refreshed(spark, lake):
+        table, contract = FEATURES
+        publish(schemas.conform(refresh.feature_table(spark, lake), schemas.WAREHOUSE_DDL[contract]), f"{database}.{table}", fmt)
+        loaded.append(table)
     return loaded
 
 
@@ -65,7 +71,7 @@ def mart_models(stg: dict[str, DataFrame], as_of: Column) -> dict[str, DataFrame
 
 def build(spark: SparkSession, database: str, as_of: Column, fmt: str = "parquet") -> DataFrame:
     """Create the staging views and mart tables; returns the report of the declared tests."""
-    raw = {table: spark.table(f"{database}.{table}") for _, _, table, *_ in LOADS[:4]}
+    raw = {table: spark.table(f"{database}.{table}") for _, _, table, *_ in LOADS}
     stg = staging(raw)
     for name, df in stg.items():
         df.createOrReplaceTempView(name)

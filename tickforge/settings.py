@@ -84,6 +84,7 @@ CATEGORY_CUTOFF = 0.3           # stored category: POSITIVE / NEGATIVE
 
 TICK_LATENESS = "2 minutes"     # watermark ahead of minute candles
 HOURLY_LATENESS = "5 minutes"   # watermark ahead of hourly metrics
+REPOLL_LATENESS = "2 days"      # how long a repeated article is recognised
 INGEST_TRIGGER = "10 seconds"   # raw and cleaned layers
 SERVING_TRIGGER = "30 seconds"  # star-schema layer
 

@@ -61,6 +61,26 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet", keep: int = 3,
         fs.delete(hadoop.Path(f"{path}/v={old}"), True)
 
 
+def by_day(df: DataFrame, day: str) -> DataFrame:
+    """Rows dealt by day before they are written, else every task has a file in every day; adaptive execution joins
+    small days in a task and splits a large one."""
+    return df.hint("rebalance", day)
+
+
+def replace_days(df: DataFrame, path: str, day: str, fmt: str = "parquet", days: list | None = None) -> None:
+    """Replace the days that ``df`` holds, leaving the files of all others as they are.
+
+    Plain files: each day's folder is exchanged when all tasks are done (dynamic partition overwrite); a day without
+    rows stays, so ``df`` must hold rows of every day that lost some.  Delta replaces ``days`` in one commit.
+    """
+    writer = by_day(df, day).write.format(fmt).mode("overwrite").partitionBy(day)
+    if fmt == "delta" and days is not None:
+        values = " OR ".join([f"{day} IS NULL" if d is None else f"{day} = DATE'{d}'" for d in days]) or "false"
+        writer.option("replaceWhere", values).save(path)
+    else:
+        writer.option("partitionOverwriteMode", "dynamic").save(path)
+
+
 def publish(df: DataFrame, table: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
     """Replace a catalog table, keeping the layout that look-backs prune."""
     writer = df.write.format(fmt).mode("overwrite")

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
+
+
+def optional(schema: StructType) -> StructType:
+    """``schema`` with every column optional, as older files may lack any of them."""
+    return StructType([StructField(f.name, f.dataType) for f in schema])
 
 
 def stream_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None,
@@ -18,21 +23,21 @@ def stream_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: S
         if schema is not None and not exists(spark, path):
             folder = spark._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
-        reader = reader.schema(schema or spark.read.format(fmt).load(path).schema)
+        reader = reader.schema(optional(schema or spark.read.format(fmt).load(path).schema))
     return reader.load(path)
 
 
 def table_or_empty(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
-    """A table as of now, with the columns of ``schema`` and any that its files have beyond
-    them; no rows where nothing was written."""
+    """A streamed table as of now in the columns of ``schema``, which older files need not have; no rows where nothing
+    was written.  No file is opened to find out what it holds."""
     if fmt == "delta":
         return batch_table(spark, path, fmt)
     hadoop = spark._jvm.org.apache.hadoop.fs
     root = hadoop.Path(path)
     found = root.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop.Path(f"{path}/_spark_metadata/*"))
     if not found:
-        return spark.createDataFrame([], schema)
-    return batch_table(spark, path, fmt, merge=True)
+        return spark.createDataFrame([], optional(schema))
+    return spark.read.format(fmt).schema(optional(schema)).load(path)
 
 
 def batch_table(spark: SparkSession, path: str, fmt: str = "parquet", merge: bool = False) -> DataFrame:
@@ -62,6 +67,30 @@ def snapshot(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(f"{path}/v={found[-1]}")
 
 
+def day_table(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """A table that :func:`tickforge.sinks.lake.replace_days` writes, in its declared columns; no rows before the
+    first write."""
+    if fmt == "delta":
+        return batch_table(spark, path, fmt)
+    if not exists(spark, path):
+        return spark.createDataFrame([], optional(schema))
+    return spark.read.format(fmt).schema(optional(schema)).load(path)
+
+
+def on_days(df: DataFrame, day: str, days) -> DataFrame:
+    """Rows of these days (None: without a day), by partition filters."""
+    known = sorted(d for d in days if d is not None)
+    wanted = F.col(day).isin(known) if known else F.lit(False)
+    return df.where(wanted | F.col(day).isNull()) if None in days else df.where(wanted)
+
+
+def off_days(df: DataFrame, day: str, days) -> DataFrame:
+    """Rows of all other days."""
+    known = sorted(d for d in days if d is not None)
+    other = F.coalesce(~F.col(day).isin(known), F.lit(True)) if known else F.lit(True)
+    return df.where(other & F.col(day).isNotNull()) if None in days else df.where(other)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tickforge import schemas
+from tickforge.sources import contracts
 
 #: Broker envelope as JSON lines: the same columns with text instead of bytes.
 FILE_ENVELOPE = schemas.ENVELOPE_DDL.replace("BINARY", "STRING")
@@ -32,16 +34,18 @@ def replay_topic(spark: SparkSession, path: str, topic: str | None = None,
     return raw if topic is None else raw.filter(F.col("topic") == topic)
 
 
-def decode(raw: DataFrame, ddl: str) -> DataFrame:
+def decode(raw: DataFrame, contract: str | StructType, keep_unknown: bool = False) -> DataFrame:
     """Message payload as typed columns plus where the message came from.
 
-    Unknown fields are ignored, missing or mistyped ones are NULL, and a payload that is
-    not JSON becomes a row of NULLs, which the tick filter drops.
+    Missing or mistyped fields are NULL, and a payload that is not JSON becomes a row of NULLs, which the tick filter
+    drops.  Unknown fields are ignored, or with ``keep_unknown`` kept as text in a map column.
     """
-    payload = F.from_json(F.col("value").cast("string"), schemas.struct(ddl))
+    known = schemas.struct(contract) if isinstance(contract, str) else contract
+    value = F.col("value").cast("string")
+    unknown = [contracts.unknown_fields(value, known).alias(contracts.UNKNOWN)] if keep_unknown else []
     return raw.select(
-        payload.alias("_payload"),
+        F.from_json(value, known).alias("_payload"), *unknown,
         F.col("key").cast("string").alias("kafka_key"),
         "partition", "offset",
         F.col("timestamp").alias("kafka_timestamp"),
-    ).select("_payload.*", "kafka_key", "partition", "offset", "kafka_timestamp")
+    ).select("_payload.*", *[contracts.UNKNOWN for _ in unknown], "kafka_key", "partition", "offset", "kafka_timestamp")

@@ -17,7 +17,8 @@ from pyspark.sql.types import StructType
 from tickforge import schemas, settings
 from tickforge.operators import candles, facts, news, ticks
 from tickforge.sinks.lake import TRIGGERS, append_stream
-from tickforge.sources.lake import stream_table
+from tickforge.sources import contracts
+from tickforge.sources.lake import stream_table, table_or_empty
 from tickforge.sources.topics import decode
 
 
@@ -54,6 +55,16 @@ def stream_hourly(enriched: DataFrame, tiebreak: str | None = "offset",
     return candles.hourly_metrics(with_lateness(enriched, lateness), tiebreak=tiebreak)
 
 
+def first_reports(cleaned: DataFrame, keys: tuple[str, ...] = ("symbol", "url"),
+                  lateness: str = settings.REPOLL_LATENESS) -> DataFrame:
+    """Cleaned news without the copies that later polls bring again.
+
+    The state holds one entry per article for ``lateness`` of event time.  A copy that arrives after that is older than
+    the watermark if its time is the article's, and dropped as late; only one polled with a newer time counts again.
+    """
+    return with_lateness(cleaned, lateness).dropDuplicatesWithinWatermark(list(keys))
+
+
 # name of the raw table, wire contract, topic key
 RAW = {
     "stocks": ("stock_prices", schemas.STOCK_DDL),
@@ -62,16 +73,31 @@ RAW = {
 }
 
 
-def raw_schema(spark: SparkSession, kind: str) -> StructType:
-    """Declared columns of a raw table: the wire contract and where a message came from."""
+def contract_path(lake: Lake, kind: str) -> str:
+    return lake.table("_contracts", kind)
+
+
+def wire_contract(spark: SparkSession, lake: Lake, kind: str) -> StructType:
+    """The wire contract in force: the newest that was declared for this lake."""
+    return contracts.contract(spark, contract_path(lake, kind), schemas.struct(RAW[kind][1]))
+
+
+def declare(spark: SparkSession, lake: Lake, kind: str, fields: str) -> StructType:
+    """Declare further fields of a topic.  Queries that are started from now on write and read them."""
+    return contracts.declare(spark, contract_path(lake, kind), fields, schemas.struct(RAW[kind][1]))
+
+
+def raw_schema(spark: SparkSession, lake: Lake, kind: str) -> StructType:
+    """Columns of a raw table: the wire contract, unknown fields and where a message came from."""
     envelope = spark.createDataFrame([], schemas.ENVELOPE_DDL)
-    return decode(envelope, RAW[kind][1]).withColumn("ingested_at", F.current_timestamp()).schema
+    decoded = decode(envelope, wire_contract(spark, lake, kind), keep_unknown=True)
+    return decoded.withColumn("ingested_at", F.current_timestamp()).schema
 
 
-def cleaned_schemas(spark: SparkSession) -> dict[str, StructType]:
+def cleaned_schemas(spark: SparkSession, lake: Lake) -> dict[str, StructType]:
     """Columns of the cleaned tables, from the raw ones through the same operators."""
     def empty(kind: str) -> DataFrame:
-        return spark.createDataFrame([], raw_schema(spark, kind))
+        return spark.createDataFrame([], raw_schema(spark, lake, kind))
 
     stocks = ticks.enrich(empty("stocks"))
     return {
@@ -84,8 +110,24 @@ def cleaned_schemas(spark: SparkSession) -> dict[str, StructType]:
     }
 
 
-def trade_schema(spark: SparkSession) -> StructType:
-    stocks = spark.createDataFrame([], cleaned_schemas(spark)["stock_prices_enriched"])
+#: The topic that each cleaned table's columns come from.
+SOURCE_OF = {"stock_prices_enriched": "stocks", "crypto_prices_enriched": "crypto", "news_sentiment_clean": "news"}
+
+
+def raw_table(spark: SparkSession, lake: Lake, kind: str) -> DataFrame:
+    """A raw table as of now, every row in the contract in force."""
+    found = table_or_empty(spark, lake.table("bronze", RAW[kind][0]), raw_schema(spark, lake, kind), lake.fmt)
+    return contracts.promoted(found, wire_contract(spark, lake, kind))
+
+
+def cleaned_table(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
+    """A cleaned table as of now, every row in the contract in force."""
+    found = table_or_empty(spark, lake.table("silver", table), cleaned_schemas(spark, lake)[table], lake.fmt)
+    return contracts.promoted(found, wire_contract(spark, lake, SOURCE_OF[table]))
+
+
+def trade_schema(spark: SparkSession, lake: Lake) -> StructType:
+    stocks = spark.createDataFrame([], cleaned_schemas(spark, lake)["stock_prices_enriched"])
     return facts.fact_trades(stocks, keep=("offset",)).withColumn("loaded_at", F.current_timestamp()).schema
 
 
@@ -98,46 +140,61 @@ def _append(lake: Lake, df: DataFrame, layer: str, table: str, stamp: str | None
 
 
 def ingest(lake: Lake, topics: dict[str, DataFrame], continuous: bool = False) -> list[StreamingQuery]:
-    """Topics to raw tables, one query each."""
+    """Topics to raw tables, one query each, by the contract in force when they start."""
     return [
-        _append(lake, decode(raw, RAW[kind][1]), "bronze", RAW[kind][0], "ingested_at", continuous)
+        _append(lake, decode(raw, wire_contract(raw.sparkSession, lake, kind), keep_unknown=True), "bronze", RAW[kind][0],
+                "ingested_at", continuous)
         for kind, raw in topics.items()
     ]
 
 
-def refine(spark: SparkSession, lake: Lake, continuous: bool = False) -> list[StreamingQuery]:
-    """Raw tables to enriched ticks, minute candles and cleaned news."""
+def refine(spark: SparkSession, lake: Lake, continuous: bool = False,
+           only: tuple[str, ...] | None = None) -> list[StreamingQuery]:
+    """Raw tables to enriched ticks, minute candles and cleaned news, or to those of these tables that ``only`` names."""
     def raw(kind: str) -> DataFrame:
-        return stream_table(spark, lake.table("bronze", RAW[kind][0]), lake.fmt, raw_schema(spark, kind))
-
-    stocks = ticks.enrich(raw("stocks"))
-    return [
-        _append(lake, stocks, "silver", "stock_prices_enriched", None, continuous,
-                partition_by=["date_parsed"]),
-        _append(lake, stream_candles(stocks), "silver", "stock_prices_1min_ohlc", "processed_at", continuous),
-        _append(lake, ticks.enrich(raw("crypto")), "silver", "crypto_prices_enriched", None, continuous),
-        _append(lake, news.clean(raw("news")), "silver", "news_sentiment_clean", None, continuous),
-    ]
+        streamed = stream_table(spark, lake.table("bronze", RAW[kind][0]), lake.fmt, raw_schema(spark, lake, kind))
+        return contracts.promoted(streamed, wire_contract(spark, lake, kind))
+
+    by_day = {"partition_by": ["date_parsed"]}
+    started = {
+        "stock_prices_enriched": lambda: (ticks.enrich(raw("stocks")), None, by_day),
+        "stock_prices_1min_ohlc": lambda: (stream_candles(ticks.enrich(raw("stocks"))), "processed_at", {}),
+        "crypto_prices_enriched": lambda: (ticks.enrich(raw("crypto")), None, {}),
+        "news_sentiment_clean": lambda: (news.clean(raw("news")), None, by_day),
+    }
+    queries = []
+    for table in only or started:
+        df, stamp, layout = started[table]()
+        queries.append(_append(lake, df, "silver", table, stamp, continuous, **layout))
+    return queries
 
 
-def serve(spark: SparkSession, lake: Lake, continuous: bool = False) -> list[StreamingQuery]:
-    """Cleaned tables to trade facts, candle facts and hourly metrics, each by day, so that
-    look-backs prune."""
-    declared = cleaned_schemas(spark)
+def serve(spark: SparkSession, lake: Lake, continuous: bool = False,
+          only: tuple[str, ...] | None = None) -> list[StreamingQuery]:
+    """Cleaned tables to trade facts, candle facts and hourly metrics (or those that ``only`` names), each by day, so
+    that look-backs prune."""
+    declared = cleaned_schemas(spark, lake)
 
     def cleaned(table: str) -> DataFrame:
         return stream_table(spark, lake.table("silver", table), lake.fmt, declared[table])
 
-    stocks = cleaned("stock_prices_enriched")
-    bars = cleaned("stock_prices_1min_ohlc").drop("processed_at")
-    return [
-        _append(lake, facts.fact_trades(stocks, keep=("offset",)), "gold", "fact_stock_trades", "loaded_at",
-                continuous, evolve=False, partition_by=["trade_date"]),
-        _append(lake, candles.fact_candles(bars).withColumn("candle_date", F.to_date("window_start")), "gold",
-                "fact_ohlc_candles", "loaded_at", continuous, evolve=False, partition_by=["candle_date"]),
-        _append(lake, stream_hourly(stocks).withColumn("hour_date", F.to_date("hour_start")), "gold",
-                "hourly_metrics", None, continuous, evolve=False, partition_by=["hour_date"]),
-    ]
+    def trades():
+        return facts.fact_trades(cleaned("stock_prices_enriched"), keep=("offset",)), "loaded_at", "trade_date"
+
+    def bars():
+        built = candles.fact_candles(cleaned("stock_prices_1min_ohlc").drop("processed_at"))
+        return built.withColumn("candle_date", F.to_date("window_start")), "loaded_at", "candle_date"
+
+    def hours():
+        built = stream_hourly(cleaned("stock_prices_enriched"))
+        return built.withColumn("hour_date", F.to_date("hour_start")), None, "hour_date"
+
+    started = {"fact_stock_trades": trades, "fact_ohlc_candles": bars, "hourly_metrics": hours}
+    queries = []
+    for table in only or started:
+        df, stamp, day = started[table]()
+        queries.append(_append(lake, df, "gold", table, stamp, continuous, evolve=False, partition_by=[day]))
+    return queries
 
 
 def drain(queries: list[StreamingQuery]) -> list[StreamingQuery]:
