@@ -2,11 +2,13 @@
 
 import time
 
+import numpy as np
+import public_tokenizers
 import pytest
 import tokenizers
+from pyspark.sql import functions as F
 
-import public_tokenizers
-from tickforge.llm import main_text, packing
+from tickforge.llm import main_text, packing, topk_search
 
 PARAGRAPHS = [f"Paragraph {i} of this article goes on for quite a while, with many words and no links in it." for i in range(5)]
 BODY = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
@@ -51,3 +53,23 @@ def test_two_million_blanks():
     library = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     text = "start" + " " * 2_000_000 + "end"
     assert packing.encode(model, text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_products_are_exact_at_any_size(spark):
+    big = {0: [6000.0] * 64, 1: [6000.0] * 64, 2: [-1e5] * 64, 3: [1e5, -1e5] * 32, 4: [3.5] * 64, 5: [1e-9] * 64, 100: [1e5] * 64}
+    df = spark.createDataFrame(list(big.items()), "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in topk_search.search(df, F.col("vec_id") % 100 == 0).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    whole = {k: [int(np.floor(1024 * x)) for x in v] for k, v in big.items()}
+    for q in (0, 100):
+        scored = sorted((-sum(a * b for a, b in zip(whole[q], whole[c])), c) for c in big if c != q)
+        assert sorted(got[q]) == [(i + 1, c, -s) for i, (s, c) in enumerate(scored)]
+    with pytest.raises(OverflowError, match="64 bits"):
+        topk_search.products(np.full((1, 4), 2.0 ** 40), np.full((1, 4), 2.0 ** 40))
+
+
+def test_ties_at_the_last_rank_fall_to_smaller_ids():
+    c = np.ones((9, 2))
+    at, ids, scores = topk_search.best_of(np.array([7]), np.ones((1, 2)), np.arange(9), c, 3)
+    assert list(at) == [0, 0, 0] and list(ids) == [0, 1, 2] and set(scores) == {2}

@@ -205,3 +205,50 @@ scored AS (
 SELECT item_id, rank, doc_id, score FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
   FROM scored WHERE score > 0) WHERE rank <= 10"""
+
+
+ORACLE["op7_bbit_minhash"] = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_CAPITALS}), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + 2], ' ') AS v
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS p FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y USING (v) WHERE x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * shared >= 85 * (na.n + nb.n - shared)),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(least_b, w.doc_id)) AS component_id,
+       w.doc_id <= coalesce(least_b, w.doc_id) AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN (SELECT a, min(b) AS least_b FROM reach GROUP BY a) ON a = w.doc_id"""
+
+_USABLE = """
+  vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+ORACLE["op8_topk_search"] = f"""
+WITH v AS (
+  SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings WHERE {_USABLE}),
+m AS (SELECT vec_id, i, CAST(floor(1024 * x) AS BIGINT) AS x FROM v),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM m q JOIN m c USING (i) WHERE q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id GROUP BY ALL)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+WHERE rank <= 10"""
+
+ORACLE["op10_projection_forest"] = f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings
+  WHERE label IS NOT NULL AND {_USABLE}),
+size AS (SELECT vec_id, sqrt(sum(x * x)) AS size FROM v GROUP BY vec_id HAVING sum(x * x) > 0),
+links AS (
+  SELECT a, b FROM (
+    SELECT p.vec_id AS a, q.vec_id AS b, sum(p.x * q.x) AS dot FROM v p JOIN v q USING (label, i)
+    WHERE p.vec_id <> q.vec_id GROUP BY ALL)
+  JOIN size sa ON sa.vec_id = a JOIN size sb ON sb.vec_id = b WHERE dot / (sa.size * sb.size) >= 0.98),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT e.vec_id, coalesce(n_links, 0) AS n_links, least(e.vec_id, coalesce(least_b, e.vec_id)) AS component_id,
+       e.vec_id <= coalesce(least_b, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) l ON l.a = e.vec_id
+LEFT JOIN (SELECT a, min(b) AS least_b FROM reach GROUP BY a) r ON r.a = e.vec_id"""
