@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,3 +102,30 @@ def test_train_score_save_load(spark, rows, tmp_path):
     assert nulls.count() == held.count()
     table = ml.predictions_table(scored)
     assert len(table.columns) == 10 and table.count() == held.count()
+
+
+def test_quantiles_are_exact_order_statistics(spark):
+    r = random.Random(1)
+    data = [(float(r.choice([r.random(), 0.5, 7])), None if i % 9 == 0 else float(i % 4)) for i in range(1000)]
+    df = spark.createDataFrame(data, "a double, b double")
+    for part in (df, df.repartition(7)):
+        found = {(x.feature, x["at"]): x.value for x in ml.quantiles(part, ["a", "b"], 8).collect()}
+        for k, name in enumerate("ab"):
+            column = sorted(d[k] for d in data if d[k] is not None)
+            assert [found[name, j] for j in range(1, 8)] == [column[len(column) * j // 8] for j in range(1, 8)]
+
+
+def test_one_model_for_every_layout(spark, rows):
+    fit, held = ml.split(ml.prepare(rows))
+
+    def shape(model):
+        trees = model.stages[-1].toDebugString
+        return re.sub(r"GBTClassif\S+|(Predict: \S{8})\S*", r"\1", trees)
+    few, many = (ml.train(fit.repartition(n), trees=4, depth=4, partitions=n) for n in (2, 64))
+    assert shape(few) == shape(many)
+    assert [(a[:3], round(a[3], 9)) for a in answers(ml.predict(few, held))] == [
+        (a[:3], round(a[3], 9)) for a in answers(ml.predict(many, held))]
+
+
+def test_partitions_follow_the_rows():
+    assert [ml.layout(n, 8) for n in (0, 9_999, 20_000, 10 ** 6, 10 ** 8)] == [1, 1, 2, 8, 100]

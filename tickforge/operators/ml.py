@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tickforge import schemas, settings
 from tickforge.functions.clock import micros
-from tickforge.session import shared_dir
+from tickforge.operators.ordered import _POSITION, positioned
+from tickforge.session import shared_dir, stage
 
 LABEL = "target"
 IDENTITY = ("symbol", "timestamp_parsed")
@@ -80,23 +81,67 @@ def split(df: DataFrame, test_share: float = 0.2, seed: int = 42,
     return tuple(parted.filter(F.col("dataset") == d).drop("dataset") for d in ("train", "test"))
 
 
+#: Bins of a feature, and so split candidates, as many as the trees take.
+BINS = 32
+#: Rows of a partition that fits trees: fewer only while cores would be idle, never more.
+FEW_ROWS, MANY_ROWS = 10_000, 1_000_000
+
+
+def quantiles(rows: DataFrame, columns: list[str], bins: int = BINS) -> DataFrame:
+    """feature, at, value: the exact order statistics at 1/bins, 2/bins, ... of every feature.
+
+    All (feature, value) pairs are put in one order; a pair's place is known from the sizes of the range partitions, so
+    neither samples nor sketches nor the layout of the rows have a part in it, and no feature is one task's work.
+    """
+    values = rows.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])).alias("v")).select(
+        "v.feature", "v.value").where(F.col("value").isNotNull() & ~F.isnan("value"))
+    placed = positioned(values, "feature", "value", [])
+    span = placed.groupBy("feature").agg(F.min(_POSITION).alias("_first"), F.count("*").alias("_n"))     # a row a feature
+    at = F.explode(F.array(*[F.lit(k) for k in range(1, bins)]))
+    wanted = span.withColumn("at", at).select(
+        F.col("feature").alias("_f"), "at", (F.col("_first") + F.expr(f"(_n * at) div {bins}")).alias("_p"))
+    return placed.join(F.broadcast(wanted), (F.col(_POSITION) == F.col("_p")) & (F.col("feature") == F.col("_f"))).select(
+        "feature", "at", "value")
+
+
+def binner(found: DataFrame, columns: list[str]) -> Bucketizer:
+    """Bins between the distinct quantiles of each feature; equal ones make one bin."""
+    cut = {c: set() for c in columns}
+    for r in found.collect():       # fewer than bins a feature
+        cut[r.feature].add(r.value)
+    inf = float("inf")
+    splits = [[-inf, *sorted(cut[c] or {0.0}), inf] for c in columns]
+    return Bucketizer(splitsArray=splits, inputCols=columns, outputCols=[f"{c}_bin" for c in columns], handleInvalid="keep")
+
+
+def layout(n_rows: int, cores: int) -> int:
+    """Partitions to fit ``n_rows`` with: one per core if there are rows for them, more where rows are many."""
+    return max(1, min(cores, n_rows // FEW_ROWS), -(-n_rows // MANY_ROWS))
+
+
 def train(rows: DataFrame, columns: list[str] | None = None, trees: int = 100, depth: int = 5,
-          rate: float = 0.1, seed: int = 42, partitions: int = 8, fit_rows: int | None = None) -> PipelineModel:
+          rate: float = 0.1, seed: int = 42, partitions: int | None = None, fit_rows: int | None = None) -> PipelineModel:
     """Gradient-boosted trees; every tenth round is checkpointed to the shared folder.
 
-    Rows are always laid out in ``partitions`` sorted by identity, so one seed gives one
-    model wherever it is fitted; choose about as many as the cluster has cores.  With
-    ``fit_rows`` at most that many rows, the first by their hash, are used.
+    Features are binned by exact quantiles, which the model holds, so the trees find the same split candidates however
+    rows are laid out: one seed gives one model, whatever the number of partitions, which follows the number of rows.
+    With ``fit_rows`` at most that many rows, the first by their hash, are used; rows that lack a value are not.
     """
     columns = columns or settings.FEATURE_COLUMNS
-    rows.sparkSession.sparkContext.setCheckpointDir(shared_dir(rows.sparkSession))
+    context = rows.sparkSession.sparkContext
+    context.setCheckpointDir(shared_dir(rows.sparkSession))
     if fit_rows is not None:
         rows = rows.orderBy(draw(seed=seed + 1), *IDENTITY).limit(fit_rows)
-    laid = rows.repartition(partitions, *IDENTITY).sortWithinPartitions(*IDENTITY)
+    rows = stage(rows.select(*IDENTITY, *[c for c in columns if c not in IDENTITY], LABEL).dropna(subset=[*columns, LABEL]), "fit")
+    n = partitions or layout(rows.count(), context.defaultParallelism)
+    bins = binner(quantiles(rows, columns), columns)
+    laid = rows.repartition(n, *IDENTITY).sortWithinPartitions(*IDENTITY)
     return Pipeline(stages=[
-        VectorAssembler(inputCols=columns, outputCol="vector", handleInvalid="skip"),
+        bins,
+        VectorAssembler(inputCols=bins.getOutputCols(), outputCol="vector", handleInvalid="keep"),
         GBTClassifier(featuresCol="vector", labelCol=LABEL, maxIter=trees, maxDepth=depth,
-                      stepSize=rate, seed=seed),
+                      stepSize=rate, seed=seed, maxBins=BINS),
     ]).fit(laid.select(*columns, LABEL))
 
 
@@ -140,7 +185,7 @@ def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
         "prediction": F.col("prediction").cast("int"),
         "probability_down": chance[0],
         "probability_up": chance[1],
-    }).drop("vector", "rawPrediction", "probability"))
+    }).drop("vector", "rawPrediction", "probability", *model.stages[0].getOutputCols()))
 
 
 def label(predicted: DataFrame) -> DataFrame:

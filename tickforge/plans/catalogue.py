@@ -902,3 +902,29 @@ def trades_by_validity(spark, sf_dir):
     """Trade facts with the attributes that were valid at their time."""
     return dimension.by_validity(trades(spark, sf_dir).select(*BASE, "price"), _relisted(spark, sf_dir),
                                  "timestamp_parsed", ["name", "sector"])
+
+
+# ------------------------------------------------------------ restarted streams
+
+def _restarted(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Ticks that a stream enriched in two runs from one checkpoint, and the progress recorded of both."""
+    lake = jobs.Lake(fresh_path(spark, "lake"))
+    events, landing = fx.table(spark, sf_dir, "events"), lake.table("landing", "events")
+    for part in (events.where(F.col(ID) % 3 == 0), events.where(F.col(ID) % 3 != 0)):
+        part.write.mode("append").parquet(landing)
+        live = ticks.enrich(fx.stock_ticks(spark.readStream.schema(events.schema).parquet(landing)))
+        ended = jobs.drain([sink.append_stream(live.select(*BASE, "price"), lake.table("silver", "ticks"),
+                                               lake.checkpoint("silver", "ticks"), "restarted-ticks")])
+        for _ in range(2):      # recording again counts nothing twice
+            jobs.record_progress(spark, lake, ended)
+    return batch_table(spark, lake.table("silver", "ticks")), jobs.recorded_progress(spark, lake)
+
+
+@exact
+def stream_restarted(spark, sf_dir):
+    return _restarted(spark, sf_dir)[0]
+
+
+@exact
+def progress_recorded(spark, sf_dir):
+    return _restarted(spark, sf_dir)[1].select("batch_id", "input_rows", "late_rows")

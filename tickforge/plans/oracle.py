@@ -486,6 +486,9 @@ FROM (SELECT avg(CAST(correct AS INTEGER)) AS live, avg(CAST(correct AS INTEGER)
   CAST(sum(target) AS BIGINT) AS ups, 1.0::DOUBLE AS importance, {len(settings.FEATURE_COLUMNS)} AS features
 FROM {_split(f'features WHERE {_PREPARED}')} GROUP BY 1""",
     "prepared_features": f"SELECT target, count(*) AS rows FROM features WHERE {_PREPARED} GROUP BY target",
+    "stream_restarted": f"SELECT {_BASE}, price FROM enriched",
+    "progress_recorded": "SELECT CAST(event_id % 3 <> 0 AS BIGINT) AS batch_id, count(*) AS input_rows, CAST(0 AS BIGINT) "
+                         "AS late_rows FROM events GROUP BY 1",
     "refreshed_sentiment": f"SELECT {_BASE}, price, {_MEASURES} FROM sentiment",
     "refreshed_features": _FEATURE_SQL,
     "refreshed_days": """SELECT step, 'stock_with_sentiment' AS refreshed, date_parsed AS day FROM (

@@ -18,7 +18,7 @@ from tickforge import schemas, settings
 from tickforge.operators import candles, facts, news, ticks
 from tickforge.sinks.lake import TRIGGERS, append_stream
 from tickforge.sources import contracts
-from tickforge.sources.lake import stream_table, table_or_empty
+from tickforge.sources.lake import exists, stream_table, table_or_empty
 from tickforge.sources.topics import decode
 
 
@@ -227,6 +227,35 @@ def supervise(queries: list[StreamingQuery], refresh: Callable[[], None] | None
             query.stop()
 
 
+PROGRESS = "query string, batch_id bigint, input_rows bigint, rows_per_second double, late_rows bigint"
+
+
+def record_progress(spark: SparkSession, lake: Lake, queries: list[StreamingQuery]) -> None:
+    """Append the micro-batches that are not recorded yet, beyond the history that Spark keeps.
+
+    A query's name and batch number identify a batch.  The newest recorded one is written again, as a restarted query
+    may repeat it; so recording twice, or after a restart, counts nothing twice.  Call it more often than Spark's history
+    (100 batches) fills; queries need names.
+    """
+    path, seen = lake.table("_progress", "batches"), {}
+    if exists(spark, path):
+        last = spark.read.schema(f"{PROGRESS}, recorded_at timestamp").parquet(path).groupBy("query").agg(F.max("batch_id"))
+        seen = {name: batch for name, batch in last.collect()}      # one row per query
+    found = progress(spark, queries)
+    names = F.create_map(*[F.lit(x) for pair in seen.items() for x in pair]) if seen else None
+    fresh = found if names is None else found.where(F.col("batch_id") >= F.coalesce(names[F.col("query")], F.lit(0)))
+    fresh.where("query is not null").withColumn("recorded_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
+
+
+def recorded_progress(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Every recorded micro-batch once, as it was recorded last."""
+    path = lake.table("_progress", "batches")
+    schema = f"{PROGRESS}, recorded_at timestamp"
+    found = spark.read.schema(schema).parquet(path) if exists(spark, path) else spark.createDataFrame([], schema)
+    return found.groupBy("query", "batch_id").agg(F.max_by(
+        F.struct("input_rows", "rows_per_second", "late_rows"), "recorded_at").alias("_last")).select("query", "batch_id", "_last.*")
+
+
 def progress(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
     """Recent micro-batches: rows, rate, late rows dropped (Spark keeps a bounded history)."""
     rows = [
@@ -234,5 +263,4 @@ def progress(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
          sum(s.numRowsDroppedByWatermark for s in p.stateOperators))
         for query in queries for p in query.recentProgress
     ]
-    return spark.createDataFrame(
-        rows, "query string, batch_id bigint, input_rows bigint, rows_per_second double, late_rows bigint")
+    return spark.createDataFrame(rows, PROGRESS)
