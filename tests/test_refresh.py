@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickforge import schemas
-from tickforge.operators import asof, dimension, facts, features, news, ticks
+from tickforge.operators import asof, dimension, facts, features, marts, news, ticks
 from tickforge.plans import refresh
 from tickforge.sinks import lake as sink
 from tickforge.sources import commits, contracts, topics
@@ -278,3 +278,36 @@ def test_articles_polled_again_count_once(spark, tmp_path):
     assert len(poll(("A", "u", 5), ("A", "v", 60))) == 3            # the copy comes again after a restart
     assert len(poll(("A", "u", 0), ("C", "w", 61))) == 4            # a late copy: its entry is gone, the watermark drops it
     assert len(poll(("A", "u", 70))) == 5                           # the same address much later is news again
+
+
+# ------------------------------------------------------------ hourly moments
+
+def test_moments_of_changed_days_give_the_direct_metrics(spark, tmp_path):
+    lake, r = jobs.Lake(str(tmp_path)), random.Random(5)
+    kind = refresh.candle_schema(spark, lake)
+
+    def build(days, n):
+        rows = [(r.choice("AAAB"), DAY + timedelta(days=r.choice(days), minutes=r.randrange(1440)), float(r.randrange(10 ** 8, 10 ** 8 + 9)))
+                for _ in range(n)]
+        df = spark.createDataFrame(rows, "symbol string, window_start timestamp, close double").withColumns({
+            "open": F.col("close"), "high": F.col("close") + 1, "low": F.col("close") - 1, "volume": F.lit(3).cast("bigint"),
+            "sector": F.lit("s"), "exchange": F.lit("e"), "candle_date": F.to_date("window_start")})
+        df = df.dropDuplicates(["symbol", "window_start"]).select([F.col(f.name).cast(f.dataType) for f in kind if f.name in df.columns])
+        df.write.mode("append").parquet(lake.table("landing", "bars"))
+        live = spark.readStream.schema(df.schema).parquet(lake.table("landing", "bars"))
+        jobs.drain([sink.append_stream(live, f"{lake.root}/{refresh.CANDLES}", lake.checkpoint("gold", "bars"), None,
+                                       partition_by=["candle_date"])])
+        return refresh.refresh_moments(spark, lake)
+
+    assert build([0, 1], 400) == {date(2024, 1, 1), date(2024, 1, 2)}
+    old = files(tmp_path, "gold/candle_moments")
+    assert build([2], 300) == {date(2024, 1, 3)} and refresh.refresh_moments(spark, lake) == frozenset()
+    assert old.items() <= files(tmp_path, "gold/candle_moments").items()
+    bars = marts.stg_ohlc_candles(batch_table(spark, f"{lake.root}/{refresh.CANDLES}"))
+    mood = marts.stg_sentiment(spark.createDataFrame([], "symbol string, timestamp_parsed timestamp, price double, "
+        "price_change_pct double, news_sentiment double, news_count bigint, positive_news_count bigint, negative_news_count bigint"))
+    for at in (DAY + timedelta(days=2, hours=15, minutes=25), DAY + timedelta(days=2, hours=12)):
+        got = marts.stock_metrics_from_moments(refresh.moments_table(spark, lake), bars, mood, F.lit(at))
+        want = marts.stock_metrics(bars, mood, F.lit(at))
+        for a, b in zip(as_dicts(got, "symbol"), as_dicts(want, "symbol"), strict=True):
+            assert a == {k: pytest.approx(v, rel=1e-7) if isinstance(v, float) else v for k, v in b.items()}

@@ -104,6 +104,53 @@ def stock_metrics(candles: DataFrame, staged_sentiment: DataFrame, as_of: Column
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in mood.columns[1:]})
 
 
+def hourly_moments(candles: DataFrame) -> DataFrame:
+    """Partial sums of candles by symbol and hour, which merge to those of any longer time: count, mean and squared
+    deviation of the close, volume, range, and the last close."""
+    close = F.col("close")
+    return candles.groupBy("symbol", F.date_trunc("hour", "window_start").alias("hour")).agg(
+        F.max("sector").alias("sector"), F.max("exchange").alias("exchange"), F.count("*").alias("n"),
+        F.avg(close).alias("mean"), (F.var_pop(close) * F.count("*")).alias("m2"), F.sum("volume").alias("volume"),
+        F.max("high").alias("high"), F.min("low").alias("low"), F.max("window_start").alias("last_start"),
+        F.max_by(close, "window_start").alias("last_close"))
+
+
+def metrics_from_moments(moments: DataFrame, edge: DataFrame, as_of: Column, hours: int = 24) -> DataFrame:
+    """:func:`metrics_24h` and the current price from stored moments.
+
+    ``edge`` are the candles of the one hour that the look-back cuts, from its beginning on; all later hours count whole.
+    A symbol has at most ``hours + 1`` rows here, which are merged pairwise, without squares of large sums.
+    """
+    cut = as_of - F.make_dt_interval(hours=F.lit(hours))
+    whole = moments.where(F.col("hour") >= cut)
+    part = hourly_moments(edge.where((F.col("window_start") >= cut) & (F.date_trunc("hour", "window_start") < cut)))
+    rows = whole.select(*part.columns).unionByName(part)
+
+    def merged(a: Column, b: Column) -> Column:
+        n, d = a["n"] + b["n"], b["mean"] - a["mean"]
+        return F.struct(n.alias("n"), (a["mean"] + d * b["n"] / n).alias("mean"),
+                        (a["m2"] + b["m2"] + d * d * a["n"] * b["n"] / n).alias("m2"))
+
+    none = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    grouped = rows.groupBy("symbol").agg(
+        F.max("sector").alias("sector"), F.max("exchange").alias("exchange"), F.sum("n").alias("candle_count_24h"),
+        F.aggregate(F.array_sort(F.collect_list(F.struct("hour", "n", "mean", "m2"))), none, merged).alias("_m"),
+        F.sum("volume").alias("total_volume_24h"), F.max("high").alias("high_24h"), F.min("low").alias("low_24h"))
+    current = moments.groupBy("symbol").agg(F.max_by("last_close", "last_start").alias("current_price"))
+    return grouped.select(
+        "symbol", "sector", "exchange", "candle_count_24h", F.col("_m.mean").alias("avg_price_24h"),
+        F.when(F.col("_m.n") > 1, F.sqrt(F.col("_m.m2") / (F.col("_m.n") - 1))).alias("price_volatility_24h"),
+        "total_volume_24h", "high_24h", "low_24h").join(current, "symbol", "left")
+
+
+def stock_metrics_from_moments(moments: DataFrame, edge: DataFrame, staged_sentiment: DataFrame, as_of: Column,
+                               hours: int = 24) -> DataFrame:
+    """:func:`stock_metrics` without reading the candles again."""
+    mood = sentiment_24h(staged_sentiment, as_of, hours)
+    joined = metrics_from_moments(moments, edge, as_of, hours).join(mood, "symbol", "left")
+    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in mood.columns[1:]})
+
+
 def latest_trade(trades: DataFrame, tiebreak: str | None = None) -> DataFrame:
     """Newest price and trade time per symbol, combined on the map side."""
     at = order_key("timestamp_parsed", tiebreak)

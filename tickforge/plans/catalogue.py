@@ -928,3 +928,14 @@ def stream_restarted(spark, sf_dir):
 @exact
 def progress_recorded(spark, sf_dir):
     return _restarted(spark, sf_dir)[1].select("batch_id", "input_rows", "late_rows")
+
+
+@query
+def metrics_24h_moments(spark, sf_dir):
+    """24-hour metrics from hourly moments; candles are built anew only for the hour that the look-back cuts."""
+    now = as_of(spark, sf_dir)
+    moments = stage(marts.hourly_moments(marts.stg_ohlc_candles(bars(spark, sf_dir))), "moments")
+    cut = now - F.make_dt_interval(hours=F.lit(24))
+    hour = fx.enriched(spark, sf_dir).where(F.date_trunc("hour", "timestamp_parsed") == F.date_trunc("hour", cut))
+    edge = marts.stg_ohlc_candles(candles.fact_candles(candles.ohlc(hour, tiebreak=ID)))
+    return marts.stock_metrics_from_moments(moments, edge, marts.stg_sentiment(sentiment(spark, sf_dir)), now)

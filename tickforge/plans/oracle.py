@@ -358,6 +358,7 @@ _SELECTS = {
     "dim_current": "SELECT * FROM dim WHERE is_current",
     "daily_performance": "SELECT * FROM performance",
     "stock_metrics_24h": "SELECT * FROM metrics24",
+    "metrics_24h_moments": "SELECT * FROM metrics24",
     "dim_enhanced": "SELECT * FROM enhanced",
     "contract_trades": "SELECT * EXCLUDE (event_id), CAST(NULL AS VARCHAR) AS source, "
                        "CAST(NULL AS TIMESTAMP) AS loaded_at FROM trades",

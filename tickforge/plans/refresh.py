@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
-from tickforge.operators import features, news
+from tickforge.operators import candles, features, marts, news
 from tickforge.operators.ordered import PIECE_ROWS, over_sequence
 from tickforge.session import stage
 from tickforge.sinks.lake import by_day, overwrite, replace_days
@@ -180,6 +180,37 @@ def carry_over(spark: SparkSession, rows: DataFrame, path: str, first: date | No
         fs.delete(hadoop.Path(f"{path}/as_of={day}"), True)
 
 
+# ------------------------------------------------------------ hourly moments
+
+CANDLES = "gold/fact_ohlc_candles"
+
+
+def candle_schema(spark: SparkSession, lake: Lake) -> StructType:
+    bars = spark.createDataFrame([], cleaned_schemas(spark, lake)["stock_prices_1min_ohlc"]).drop("processed_at")
+    return candles.fact_candles(bars).withColumns(
+        {"loaded_at": F.current_timestamp(), "candle_date": F.to_date("window_start")}).schema
+
+
+def refresh_moments(spark: SparkSession, lake: Lake) -> frozenset[date | None]:
+    """Hourly moments of candles, rewritten for the days with new candles; returns those days."""
+    seen = marks(spark, lake, "moments")
+    change = changes(spark, lake, {CANDLES: "candle_date"}, seen)[CANDLES]
+    if change.days:
+        found = table_or_empty(spark, f"{lake.root}/{CANDLES}", candle_schema(spark, lake), lake.fmt)
+        staged = marts.stg_ohlc_candles(on_days(found, "candle_date", change.days))
+        replace_days(marts.hourly_moments(staged).withColumn("hour_date", F.to_date("hour")),
+                     lake.table("gold", "candle_moments"), "hour_date", lake.fmt, sorted(
+                         change.days, key=lambda d: d or date.min))
+        save_marks(spark, lake, "moments", {CANDLES: change.mark})
+    return change.days
+
+
+def moments_table(spark: SparkSession, lake: Lake) -> DataFrame:
+    staged = marts.stg_ohlc_candles(spark.createDataFrame([], candle_schema(spark, lake)))
+    schema = marts.hourly_moments(staged).withColumn("hour_date", F.to_date("hour")).schema
+    return day_table(spark, lake.table("gold", "candle_moments"), schema, lake.fmt)
+
+
 # ---------------------------------------------------------------- features
 
 def feature_table(spark: SparkSession, lake: Lake) -> DataFrame:
