@@ -1,5 +1,6 @@
 import random
 import re
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,3 +130,38 @@ def test_one_model_for_every_layout(spark, rows):
 
 def test_partitions_follow_the_rows():
     assert [ml.layout(n, 8) for n in (0, 9_999, 20_000, 10 ** 6, 10 ** 8)] == [1, 1, 2, 8, 100]
+
+
+FRAMED = "id int, timestamp_parsed timestamp_ntz, frame_from timestamp_ntz, frame_to timestamp_ntz"
+
+
+def test_time_of_a_place_is_exact_in_any_layout(spark):
+    r = random.Random(3)
+    times = [r.randrange(-5 * 86_400_000_000, 5 * 86_400_000_000) for _ in range(300)] + [7] * 60 + [-1, 86_400_000_000]
+    df = spark.createDataFrame([(t,) for t in times], "t bigint").select(
+        F.timestamp_micros("t").cast("timestamp_ntz").alias("timestamp_parsed"))
+    df = df.unionByName(df.limit(5).select(F.lit(None).cast("timestamp_ntz").alias("timestamp_parsed")))
+    for share in (0.0, 0.3, 0.5, 0.55, 0.999):
+        want = sorted(times)[int(share * len(times))]
+        assert ml.time_at(df, share) == want == ml.time_at(df.repartition(5), share), share
+    assert ml.time_at(df.limit(0), 0.5) is None
+    with pytest.raises(ValueError):
+        ml.time_at(df, 1.0)
+
+
+def test_time_split_purges_what_crosses_the_cut(spark):
+    # a tick every minute, frames of two ticks; the cut for a share of 0.4 of ten rows lies at the seventh
+    rows = [(i, at(60 * i), at(60 * max(0, i - 2)), at(60 * (i + 1))) for i in range(10)]
+    df = spark.createDataFrame([*rows, (99, None, None, None)], FRAMED)
+    sets = lambda **kw: {x.id: x.dataset for x in ml.with_time_split(df, 0.4, **kw).collect()}
+    got = sets(embargo=timedelta(0))
+    assert [got[i] for i in range(10)] == ["train"] * 5 + ["purged"] * 3 + ["test"] * 2 and got[99] == "purged"
+    got = sets(embargo=timedelta(minutes=3))
+    assert [got[i] for i in range(10)] == ["train"] * 5 + ["purged"] * 4 + ["test"]
+    assert ml.with_time_split(df.limit(0), 0.4).collect() == []
+    # all ticks at one instant: nothing lies before the cut
+    one = df.where("id < 10").withColumns(dict.fromkeys(FRAMED_TIMES, F.lit(at(0)).cast("timestamp_ntz")))
+    assert {x.dataset for x in ml.with_time_split(one, 0.4, timedelta(0)).collect()} == {"test"}
+
+
+FRAMED_TIMES = ["timestamp_parsed", "frame_from", "frame_to"]

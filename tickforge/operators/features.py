@@ -100,20 +100,34 @@ def indicators(df: DataFrame, w: WindowSpec) -> DataFrame:
     return ratios(rsi(moving_stats(price_lags(next_move(df, w), w), w), w))
 
 
+#: Times of the oldest and of the newest tick that a feature row depends on.
+FRAME = ["frame_from", "frame_to"]
+
+
+def frame_times(df: DataFrame, w: WindowSpec, ts: str = "timestamp_parsed") -> DataFrame:
+    """From the first tick of the longest frame to the tick that decides the target."""
+    return df.withColumns({
+        "frame_from": F.first(ts).over(w.rowsBetween(-LONGEST_FRAME, 0)), "frame_to": F.lead(ts).over(w)})
+
+
 def build_features(trades: DataFrame, latest_sentiment: DataFrame, tiebreak: str,
-                   piece_rows: int = PIECE_ROWS) -> DataFrame:
-    """Feature rows with a known next move, 22 columns."""
+                   piece_rows: int = PIECE_ROWS, frames: bool = False) -> DataFrame:
+    """Feature rows with a known next move, 22 columns; with ``frames`` also the times in :data:`FRAME`."""
     needed = [c for c in (*INPUT, tiebreak) if c in trades.columns]
+
+    def compute(df: DataFrame, w: WindowSpec) -> DataFrame:
+        return indicators(frame_times(df, w) if frames else df, w)
+
     featured = calendar(over_sequence(
-        trades.select(*needed), indicators, "symbol", "timestamp_parsed", tiebreak,
+        trades.select(*needed), compute, "symbol", "timestamp_parsed", tiebreak,
         before=LONGEST_FRAME, after=1, piece_rows=piece_rows,
     ))
-    return with_sentiment(featured, latest_sentiment)
+    return with_sentiment(featured, latest_sentiment, FRAME if frames else [])
 
 
-def with_sentiment(featured: DataFrame, latest_sentiment: DataFrame) -> DataFrame:
+def with_sentiment(featured: DataFrame, latest_sentiment: DataFrame, further: list[str] = []) -> DataFrame:
     """Indicator rows with a known next move and the newest sentiment of their symbol, 0 where there is none."""
     joined = featured.filter(F.col("target").isNotNull()).join(latest_sentiment, "symbol", "left")
     return joined.withColumns({
         c: F.coalesce(F.col(c), F.lit(0)) for c in ("sentiment_score", "news_count")
-    }).select(*OUTPUT)
+    }).select(*OUTPUT, *further)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Bucketizer, VectorAssembler
@@ -81,6 +83,59 @@ def split(df: DataFrame, test_share: float = 0.2, seed: int = 42,
     return tuple(parted.filter(F.col("dataset") == d).drop("dataset") for d in ("train", "test"))
 
 
+#: Units in which the place of a time is sought: a count by day, by second of one day, by microsecond of one second.
+_UNITS = (86_400_000_000, 1_000_000, 1)
+
+
+def time_at(rows: DataFrame, share: float, ts: str = "timestamp_parsed") -> int | None:
+    """The time, in microseconds, of row ``floor(share * n)`` (from 0) in order of time; None without rows.
+
+    Rows without a time don't count.
+
+    An exact order statistic from three counts, each within the unit that the one before found, so the driver sees one
+    count per day, then at most 86,400, then at most a million, however many rows there are.
+    """
+    if not 0.0 <= share < 1.0:
+        raise ValueError("a share is at least 0 and below 1")
+    within, low, left = rows.where(F.col(ts).isNotNull()).select(micros(ts).alias("_t")), 0, None
+    for unit in _UNITS:
+        since_low = F.col("_t") - F.lit(low)
+        slot = ((since_low - F.pmod(since_low, F.lit(unit))) / F.lit(unit)).cast("bigint")    # floor, before 1970, too
+        counts = sorted(within.groupBy(slot.alias("slot")).count().collect())
+        if left is None:
+            left = int(share * sum(n for _, n in counts))
+        if not counts:
+            return None
+        for at, n in counts:
+            if left < n:
+                low += at * unit
+                within = within.where((F.col("_t") >= low) & (F.col("_t") < low + unit))
+                break
+            left -= n
+    return low
+
+
+def with_time_split(df: DataFrame, test_share: float = 0.2, embargo: timedelta = timedelta(hours=1),
+                    ts: str = "timestamp_parsed", frame: tuple[str, str] = ("frame_from", "frame_to")) -> DataFrame:
+    """``df`` with the column ``dataset``: train, test or purged.
+
+    The cut is the exact time after which ``test_share`` of the rows lie.  A training row has seen nothing from the cut
+    on: neither its own tick nor the one that decides its target.  A test row has seen nothing before the cut: its
+    longest frame begins there or later, and it lies ``embargo`` or more behind it.  Rows whose frame crosses the cut,
+    rows under embargo and rows without a time are purged.  Ticks of one instant are on one side.
+    """
+    if test_share <= 0.0:
+        raise ValueError("a test set needs a share of the rows")
+    cut = time_at(df, 1.0 - test_share, ts)
+    if cut is None:
+        return df.withColumn("dataset", F.lit("purged"))
+    wait = embargo // timedelta(microseconds=1)
+    at, open_ = (F.timestamp_micros(F.lit(t)).cast(df.schema[ts].dataType) for t in (cut, cut + wait))
+    train = (F.col(ts) < at) & (F.coalesce(frame[1], ts) < at)
+    test = (F.coalesce(frame[0], ts) >= at) & (F.col(ts) >= open_)
+    return df.withColumn("dataset", F.when(train, "train").when(test, "test").otherwise("purged"))
+
+
 #: Bins of a feature, and so split candidates, as many as the trees take.
 BINS = 32
 #: Rows of a partition that fits trees: fewer only while cores would be idle, never more.

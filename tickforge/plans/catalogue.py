@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -85,13 +85,13 @@ def sentiment(spark, sf_dir):
     return news.ticks_with_sentiment(fx.enriched(spark, sf_dir), daily_news(spark, sf_dir))
 
 
-def feature_rows(spark, sf_dir, piece_rows: int = ordered.PIECE_ROWS):
+def feature_rows(spark, sf_dir, piece_rows: int = ordered.PIECE_ROWS, frames: bool = False):
     """The feature table; trade facts are stored first, as in the chain, and then scanned."""
     stored = stage(trades(spark, sf_dir), "trades")
     newest = news.newest_tick(stored.withColumnRenamed("trade_date", "date_parsed"), ID)
     latest = stage(news.latest_sentiment(
         news.ticks_with_sentiment(newest, daily_news(spark, sf_dir)), ID), "latest-sentiment")
-    return features.build_features(stored, latest, ID, piece_rows)
+    return features.build_features(stored, latest, ID, piece_rows, frames)
 
 
 def latest_trades(spark, sf_dir):
@@ -684,6 +684,24 @@ def split_sizes(spark, sf_dir):
         F.count("*").alias("count"))
 
 
+@exact
+def time_split(spark, sf_dir):
+    """Prepared rows with their set by time: a fifth for tests, an hour of embargo, crossing frames purged."""
+    rows = stage(ml.prepare(feature_rows(spark, sf_dir, frames=True)), "framed")
+    return ml.with_time_split(rows).select("symbol", "timestamp_parsed", "price", ml.LABEL, *features.FRAME, "dataset")
+
+
+@exact
+def time_split_short(spark, sf_dir):
+    """Counts of the sets for other shares and spans, from very short pieces."""
+    rows = stage(ml.prepare(feature_rows(spark, sf_dir, piece_rows=25, frames=True)), "framed")
+    parts = [ml.with_time_split(rows, share, timedelta(minutes=minutes)).groupBy("dataset").agg(
+        F.lit(share).alias("share"), F.lit(minutes).alias("minutes"), F.count("*").alias("rows"),
+        F.min("timestamp_parsed").alias("first"), F.max("timestamp_parsed").alias("last"))
+        for share, minutes in ((0.5, 0), (0.35, 1_440), (0.05, 30))]
+    return reduce(lambda a, b: a.union(b), parts)
+
+
 @query
 def gbt_metrics(spark, sf_dir):
     return ml.stored_metrics(spark, trained(spark, sf_dir)[0])

@@ -259,6 +259,10 @@ STEPS = {
                CAST(1 - rsi / 100 > 0.5 AS INTEGER) AS prediction FROM features)""",
 }
 
+STEPS["framed"] = STEPS["features"].replace("price_next\n  FROM strength s", f"""price_next, frame_from, frame_to
+  FROM (SELECT *, first_value(timestamp_parsed) OVER (w ROWS BETWEEN 20 PRECEDING AND CURRENT ROW) AS frame_from,
+               lead(timestamp_parsed) OVER w AS frame_to FROM strength WINDOW w AS ({_W})) s""")
+
 
 def _steps_for(select: str) -> str:
     """The WITH clause for the steps that ``select`` refers to, directly or through others."""
@@ -317,6 +321,15 @@ def _split(rows: str) -> str:
   FROM (SELECT *, {_DRAW} AS draw FROM {rows} ))"""
 
 
+def _time_split(share: float, minutes: int) -> str:
+    """Prepared rows with their set by time."""
+    return f"""(SELECT *, CASE WHEN timestamp_parsed < cut AND coalesce(frame_to, timestamp_parsed) < cut THEN 'train'
+      WHEN frame_from >= cut AND timestamp_parsed >= cut + INTERVAL '{minutes} minutes' THEN 'test' ELSE 'purged' END AS dataset
+    FROM framed, (SELECT timestamp_parsed AS cut FROM (
+      SELECT timestamp_parsed, row_number() OVER (ORDER BY timestamp_parsed) AS place, count(*) OVER () AS n
+      FROM framed WHERE {_PREPARED} ) WHERE place = CAST(floor({1.0 - share!r}::DOUBLE * n) AS BIGINT) + 1)
+    WHERE {_PREPARED} )"""
+
 
 _SELECTS = {
     "ticks_built": f"SELECT {_TICK_COLUMNS}, timestamp, market_hours FROM ticks WHERE price <> 0",
@@ -482,6 +495,10 @@ FROM (SELECT count(*) FILTER (WHERE target = 1 AND prediction = 1) AS tp,
 FROM (SELECT avg(CAST(correct AS INTEGER)) AS live, avg(CAST(correct AS INTEGER)) FILTER (WHERE dataset = 'test') AS test
       FROM {_split('predicted')})""",
     "split_sizes": f"SELECT dataset, target, count(*) AS count FROM {_split(f'features WHERE {_PREPARED}')} GROUP BY ALL",
+    "time_split": f"SELECT symbol, timestamp_parsed, price, target, frame_from, frame_to, dataset FROM {_time_split(0.2, 60)}",
+    "time_split_short": "\n  UNION ALL ".join(f"""SELECT dataset, {share!r}::DOUBLE AS share, {minutes} AS minutes, count(*) AS rows,
+      min(timestamp_parsed) AS first, max(timestamp_parsed) AS last FROM {_time_split(share, minutes)} GROUP BY dataset"""
+        for share, minutes in ((0.5, 0), (0.35, 1_440), (0.05, 30))),
     "gbt_facts": f"""SELECT dataset, count(*) AS rows,
   CAST(count(*) AS DOUBLE) AS probability, 0 AS wrong_side, 0 AS too_low, 0 AS wrong_mark,
   CAST(sum(target) AS BIGINT) AS ups, 1.0::DOUBLE AS importance, {len(settings.FEATURE_COLUMNS)} AS features
