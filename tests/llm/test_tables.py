@@ -263,12 +263,42 @@ def brute_vectors(data, cosine):
 @pytest.mark.parametrize("leaf", [512, 12])
 def test_vector_groups_against_all_pairs(spark, monkeypatch, leaf):
     monkeypatch.setattr(forest, "LEAF", leaf)
+    monkeypatch.setattr(forest, "TILE", 2 * leaf)
     data = vector_rows()
     got = forest.groups(vectors(spark, data), label="cls").collect()
     assert Counter((x.vec_id, x.n_links, x.component_id) for x in got) == brute_vectors(data, 0.98)
     assert all(x.kept == (x.vec_id is None or x.vec_id == x.component_id) for x in got)
 
 
+def test_dense_groups_hand_on_no_lists_of_links(spark, monkeypatch):
+    monkeypatch.setattr(forest, "LEAF", 64)
+    monkeypatch.setattr(forest, "TILE", 128)
+    r = np.random.default_rng(8)
+    centre, far = r.normal(size=(3, 16)), r.normal(size=(300, 16))
+    data = [(i, (centre[i % 3] + r.normal(scale=0.12, size=16)).tolist(), 1) for i in range(900)]
+    data += [(1000 + i, v.tolist(), 1) for i, v in enumerate(far)]
+    got = forest.groups(vectors(spark, data), label="cls").collect()
+    assert Counter((x.vec_id, x.n_links, x.component_id) for x in got) == brute_vectors(data, 0.98)
+    links = sum(x.n_links for x in got) // 2
+    classes = vectors(spark, data).select(F.col("vec_id").alias("node"), F.lit(1).alias("label"), F.lit(1).alias("n"),
+                                          F.col("embedding").alias("vector"))
+    out = forest.links(classes, 0.98)
+    assert out.count() < links / 4 and out.agg(F.sum("others")).first()[0] == 2 * links
+
+
+def test_cells_met_before_and_spanning_links(monkeypatch):
+    monkeypatch.setattr(forest, "COLUMNS", 2)
+    r = random.Random(9)
+    held = [np.array(r.sample(range(12), 4)) for _ in range(20)]
+    met = forest.met_before(held, 7)
+    assert all(met[i, j] == any(c < 7 for c in set(held[i]) & set(held[j])) for i in range(20) for j in range(20) if i != j)
+    linked = np.zeros((20, 20), dtype=bool)
+    for a, b in [(0, 5), (5, 9), (0, 9), (3, 4), (12, 19)]:
+        linked[a, b] = linked[b, a] = True
+    tree = forest.spanning(linked)
+    assert len(tree) == 4 and union_find(range(20), tree) == union_find(range(20), zip(*np.nonzero(linked)))
+
+
 def test_vector_groups_on_no_rows(spark):
     assert forest.groups(vectors(spark, []), label="cls").collect() == []
     only = vectors(spark, [(1, None, 1), (2, [1.0], None)])

@@ -5,8 +5,9 @@ that is too large is projected on random directions (of a few drawn, the one alo
 at the medians of a bounded sample of the cell; points near a cut go to both sides, so a pair at the threshold is rarely
 parted, and several trees part it in all of them hardly ever.  A round cuts every large cell ``DEPTH`` times; rounds go
 on until cells are small.  A cell whose points would mostly go to both sides (they are all near each other, and mostly
-linked) is not split but compared in tiles, exactly.  Within cells all pairs are verified in double precision; links of
-all trees are united, and stars of links give the components.
+linked) is not split but compared in tiles, exactly.  Within cells all pairs are verified in double precision.  Links
+are not handed on: a cell gives each member's count of those that no earlier cell has found, and as many links as hold
+its members together; counts are summed, and stars of these links give the components.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from tickforge.session import stage
 
 TREES = 5
 LEAF = 512
+TILE = 1024         # of a dense cell
+COLUMNS = 4096      # cells that members share, looked at at once
 DEPTH = 3           # cuts of a cell in one round
 NODES = (1 << DEPTH) - 1
 DRAWN = 8           # directions drawn for a cut
@@ -116,31 +119,71 @@ def _route(cosine: float):
     return run
 
 
+def met_before(held: list[np.ndarray], number: int) -> np.ndarray:
+    """Which members of a cell also share a cell with a smaller number, (m, m)."""
+    who, cell = np.repeat(np.arange(len(held)), [len(h) for h in held]), np.concatenate(held)
+    who, cell = who[cell < number], cell[cell < number]
+    _, at, times = np.unique(cell, return_inverse=True, return_counts=True)
+    column = np.cumsum(times > 1) - 1          # a cell that one member is in parts nothing
+    who, at = who[times[at] > 1], column[at[times[at] > 1]]
+    out = np.zeros((len(held), len(held)), dtype=bool)
+    for s in range(0, int(at.max(initial=-1)) + 1, COLUMNS):
+        inside = np.zeros((len(held), COLUMNS), dtype=np.float32)
+        part = (at >= s) & (at < s + COLUMNS)
+        inside[who[part], at[part] - s] = 1.0
+        out |= inside @ inside.T > 0
+    return out
+
+
+def spanning(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Links of a symmetric matrix that connect all it connects, without circles."""
+    free, out = linked.any(axis=1), []
+    for root in range(len(linked)):
+        front = [root] if free[root] else []
+        free[root] = False
+        while front:
+            at = front.pop()
+            reached = np.flatnonzero(linked[at] & free)
+            free[reached] = False
+            out += [(at, int(i)) for i in reached]
+            front += reached.tolist()
+    return out
+
+
 def _compare(cosine: float):
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        m, node, tile = unit(pdf["vector"]), pdf["node"].to_numpy(), pdf["tile"].to_numpy()
-        x, y = [], []
+        m, node, tile, n = unit(pdf["vector"]), *(pdf[c].to_numpy() for c in ("node", "tile", "n"))
+        linked = np.zeros((len(m), len(m)), dtype=bool)
         for s in range(0, len(m), 1024):
-            i, j = np.nonzero(m[s:s + 1024] @ m.T >= cosine)
-            i += s
-            # in a group of two tiles only pairs across them are new
-            new = (i < j) & ((tile[i] != tile[j]) if key[1] != key[2] else True)
-            x.append(i[new])
-            y.append(j[new])
-        x, y = node[np.concatenate(x)], node[np.concatenate(y)]
-        return pd.DataFrame({"x": np.minimum(x, y), "y": np.maximum(x, y)})
+            linked[s:s + 1024] = m[s:s + 1024] @ m.T >= cosine
+        if key[1] != key[2]:
+            linked &= tile[:, None] != tile      # in a group of two tiles only pairs across them are new
+        linked = np.triu(linked, 1)
+        linked |= linked.T
+        at = np.flatnonzero(linked.any(axis=1))
+        if not len(at):
+            return pd.DataFrame({"x": [], "y": [], "others": []})
+        new = linked[np.ix_(at, at)]
+        new &= ~met_before([np.asarray(pdf["held"].iat[i]) for i in at], int(pdf["number"].iat[0]))
+        node, others = node[at], new.astype(float) @ n[at].astype(float)     # whole numbers below 2^53
+        pairs = spanning(new)
+        x = [*node[others > 0], *(node[i] for i, _ in pairs)]
+        y = [*([None] * int((others > 0).sum())), *(node[j] for _, j in pairs)]
+        return pd.DataFrame({"x": pd.array(x, dtype="Int64"), "y": pd.array(y, dtype="Int64"),
+                             "others": [*others[others > 0].astype(np.int64), *([0] * len(pairs))]})
     return run
 
 
 def cells(classes: DataFrame, cosine: float) -> DataFrame:
-    """cell, size, node, vector: every class in the final cells of every tree."""
+    """cell, number (of the cell), size, node, vector: every class in the final cells of every tree."""
     trees = F.explode(F.expr(f"sequence(0, {TREES - 1})"))
     rows = stage(classes.withColumn("tree", trees).select(
         F.concat_ws("/", F.col("label").cast("string"), F.size("vector").cast("string"), F.col("tree").cast("string"))
         .alias("cell"), "node", "vector"), "cells")
     done = None
     for turn in range(ROUNDS):
-        sizes = stage(rows.groupBy("cell").agg(F.count("*").alias("size")), "sizes")
+        sizes = stage(rows.groupBy("cell").agg(F.count("*").alias("size")).withColumn(
+            "number", F.monotonically_increasing_id() * ROUNDS + turn), "sizes")     # no two cells share a number
         sized = rows.join(sizes, "cell")
         if turn == ROUNDS - 1 or not sizes.where(F.col("size") > LEAF).head(1):
             return sized if done is None else done.union(sized)
@@ -156,14 +199,22 @@ def cells(classes: DataFrame, cosine: float) -> DataFrame:
 
 
 def links(classes: DataFrame, cosine: float) -> DataFrame:
-    """x, y: pairs of classes at ``cosine`` or more, each once."""
-    tiles = F.greatest(F.lit(1), F.ceil(F.col("size") / LEAF)).cast("int")
-    dealt = cells(classes, cosine).withColumn("tiles", tiles).withColumn(
-        "tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    """x, y, others: for each class x what its links count in rows, in parts (y null), and links x, y that connect
+    all classes which links at ``cosine`` or more connect.
+
+    A link is found in every cell that holds both its ends; it counts in the one with the smallest number alone, which
+    a class's list of cells tells.  A group of two tiles hands on at most two rows per member, however many links.
+    """
+    dealt = cells(classes, cosine).select("cell", "number", "size", "node")
+    held = dealt.groupBy("node").agg(F.collect_list("number").alias("held"))     # some cells per tree
+    full = classes.select("node", "vector", "n").join(held, "node")
+    tiles = F.when(F.col("size") <= LEAF, 1).otherwise(F.ceil(F.col("size") / TILE)).cast("int")
+    placed = dealt.withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     # a cell of one tile is one group; of a dense cell every two tiles meet in a group
-    met = dealt.withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)"))).select(
-        "cell", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "tile", "node", "vector")
-    return met.groupBy("cell", "a", "b").applyInPandas(_compare(cosine), "x bigint, y bigint").distinct()
+    met = placed.join(full, "node").withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)"))).select(
+        "cell", F.least("tile", "other").alias("a"), F.greatest("tile", "other").alias("b"), "tile", "number", "node",
+        "vector", "n", "held")
+    return met.groupBy("cell", "a", "b").applyInPandas(_compare(cosine), "x bigint, y bigint, others bigint")
 
 
 def groups(vectors: DataFrame, cosine: float = 0.98, key: str = "vec_id", vector: str = "embedding",
@@ -186,11 +237,9 @@ def groups(vectors: DataFrame, cosine: float = 0.98, key: str = "vec_id", vector
     classes = stage(rows.where("taking").groupBy("name").agg(
         F.first("label").alias("label"), F.first("vector").alias("vector"), F.min("key").alias("least"),
         F.count("*").alias("n")).withColumn("node", F.monotonically_increasing_id()), "classes")
-    pairs = stage(links(classes, cosine), "links")
-    size = classes.select(F.col("node").alias("to"), "n")
-    near = (pairs.union(pairs.select("y", "x")).toDF("node", "to").join(size, "to")
-            .groupBy("node").agg(F.sum("n").alias("others")))
-    linked = components(pairs, "x", "y")
+    found = stage(links(classes, cosine), "links")
+    near = found.where("y is null").groupBy(F.col("x").alias("node")).agg(F.sum("others").alias("others"))
+    linked = components(found.where("y is not null"), "x", "y")
     named = classes.select("node", "name", "n", "least").join(linked, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
