@@ -194,6 +194,42 @@ def test_tagger_keeps_the_patterns_and_learns(spark, monkeypatch):
         assert set(filter(None, pii_tagger.listed(want).split(","))) <= set(got[i].spans.split(","))
 
 
+def test_tagger_adds_spans_that_the_patterns_miss(spark):
+    model = pii_tagger.fit(private(spark, 300))
+    r = random.Random(77)
+    values = ["ann@mail.org", "10.2.3.44", "4539578763621486", "+1 (375) 555-4393"]
+    found, planted, beside = Counter(), Counter(), 0
+    for i in range(240):
+        kind = i % 4
+        value = pii_tagger.rewritten(kind, pii_tagger.varied(kind, values[kind], r), r)
+        left = sentence(r, 20) + " "
+        spans, added = pii_tagger.tag(model, [f"{left}{value} {sentence(r, 20)}"])[0]
+        start, end = len(left), len(left) + len(value)
+        good = [k == kind and 2 * (min(e, end) - max(s, start)) > max(e - s, len(value)) for s, k, e in spans + added]
+        planted[kind] += 1
+        found[kind] += any(good)
+        beside += sum(not (s < end and e > start) for s, _, e in added)
+    assert all(found[k] >= 0.9 * planted[k] for k in range(4)), found
+    clean = [f"{sentence(r, 15)} {pii_tagger.plain_number(r)} {sentence(r, 15)}" for _ in range(300)]
+    false = sum(len(added) for _, added in pii_tagger.tag(model, clean))
+    assert beside + false <= 5, (beside, false)
+    # the query's columns: added spans are listed, counted, and leave those of the patterns alone
+    text = f"{sentence(r, 20)} 4539.5787.6362.1486 {sentence(r, 20)} a@b.cd"
+    row = pii_tagger.find(docs(spark, [(1, text)]), model).first()
+    at = text.index("4539.")
+    assert row.n_added == 1 and f"card:{at}:{at + 19}" in row.spans.split(",") and row.n_email == 1 and row.n_card == 0
+
+
+def test_rewritten_forms_are_none_of_the_patterns():
+    r = random.Random(3)
+    for i in range(400):
+        kind = i % 4
+        value = pii_tagger.varied(kind, ["ann@mail.org", "10.2.3.44", "4539 5787 6362 1486", "+1 (375) 555-4393"][kind], r)
+        assert [k for _, k, _ in pii_tagger.patterns(value)].count(kind) == 1, value
+        form = pii_tagger.rewritten(kind, value, r)
+        assert kind not in [k for _, k, _ in pii_tagger.patterns(form)] and pii_tagger._likely(kind, form), form
+
+
 def test_tagger_gradient():
     m, r = pii_tagger.Tagger(), np.random.default_rng(0)
     x, y, n = r.integers(0, 10, (3, 7)), r.integers(0, pii_tagger.TAGS, (3, 7)), np.array([7, 5, 6])

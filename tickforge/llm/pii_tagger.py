@@ -1,36 +1,42 @@
 """Personal data: exact patterns, and a character BiLSTM with CRF transitions that adds what they miss.
 
 Four kinds (email, ip, card, phone) have exact patterns; those spans always stand.  The tagger learns from them:
-windows of text around pattern matches, some rewritten into forms that the patterns don't cover (a phone number
-without its country code, a card number grouped by dots), are labelled spans for a bidirectional LSTM over character
-classes with a linear-chain CRF, trained here in numpy.
+windows of text around pattern matches, also with other letters and digits in their place and rewritten into forms that
+the patterns don't cover (:func:`rewritten`: ``ann (at) mail dot org``, a card number grouped by dots, a phone number
+without its country code), are labelled spans for a bidirectional LSTM over characters (cases of ASCII letters and all
+digits alike) with a linear-chain CRF, trained here in numpy.
 
-Tagging: every stretch of a text near a character that each kind needs (a digit or ``@``) is covered by overlapping
+Tagging: every stretch of a text near what each kind needs (a digit, ``@`` or the word ``at``) is covered by overlapping
 windows; each window is decoded (Viterbi), each character's tag comes from the window in which it lies deepest, and
-tags become spans over the whole text.  Spans below a posterior confidence, or overlapping a pattern's span, go.
+tags become spans over the whole text.  Spans go that overlap a pattern's span, lack what all of their kind hold (digits
+of a valid card, four numbers up to 255, ...), or whose posterior is below their kind's threshold, which windows held out of
+training decide.
 
-Fitting reads a bounded, documented sample (``FIT_WINDOWS`` windows, by hash); tagging reads every text once where it
-lies, without a shuffle.
+Fitting reads a bounded, documented sample (``FIT_WINDOWS`` windows, an equal share for each kind and for windows
+without any, by hash); tagging reads every text once where it lies, without a shuffle.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from bisect import bisect_left
-from itertools import accumulate
+from itertools import accumulate, islice
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 KINDS = ["email", "ip", "card", "phone"]
 WINDOW, STRIDE, REACH = 96, 64, 32
-HIDDEN = 12
-FIT_WINDOWS = 2_400
-STEPS = 220
+HIDDEN = 16
+FIT_WINDOWS = 4_500
+STEPS = 500
 BATCH = 48
-CONFIDENCE = 0.98
+FORMS = 4             # rewritten windows of each span
+PRECISION = 0.98      # of added spans on held-out windows
+THRESHOLDS = (0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95, 0.98)
 TAGS = 1 + 2 * len(KINDS)     # outside, then begin and inside of each kind
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -40,7 +46,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_NEAR = re.compile(r"[0-9@]")
+_NEAR = re.compile(r"[0-9@]|\b[Aa][Tt]\b")
 
 
 def luhn(digits: str) -> bool:
@@ -88,8 +94,7 @@ def _classes() -> np.ndarray:
     names: dict[str, int] = {}
     for c in range(128):
         ch = chr(c)
-        name = "digit" if ch.isdigit() else "upper" if ch.isupper() else "lower" if ch.islower() else \
-            "space" if ch.isspace() else ch if ch.isprintable() else "other"
+        name = "digit" if ch.isdigit() else ch.lower() if ch.isalpha() else "space" if ch.isspace() else ch if ch.isprintable() else "other"
         out[c] = names.setdefault(name, len(names))
     return out
 
@@ -124,6 +129,7 @@ class Tagger:
         self.p["o"] = r.normal(0, 0.3, (2 * h, TAGS))
         self.p["c"] = np.zeros(TAGS)
         self.p["t"] = np.zeros((TAGS, TAGS))
+        self.threshold = [THRESHOLDS[-1]] * len(KINDS)
 
     def _run(self, d: str, x: np.ndarray, keep: bool):
         """Hidden states (length, n, HIDDEN) of one direction, and what its gradient needs."""
@@ -245,35 +251,79 @@ class Overlaps:
         return self.ends[bisect_left(self.starts, end)] > start
 
 
-def examples(text: str, turn: int) -> list[tuple[str, str]]:
-    """Labelled windows (text, tags as letters) around a text's pattern spans; every second span also in a form
-    that the patterns miss, and one window around a number that is no personal data."""
+def varied(kind: int, value: str, r: random.Random) -> str:
+    """Another value of a span's kind: an address of other words, a number with other digits in the same places."""
+    if kind == 0:
+        word = lambda low, high: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(low, high)))
+        number = lambda: str(r.randrange(10 ** r.randint(1, 3))) if r.random() < 0.5 else ""
+        user = r.choice(["", word(1, 8) + r.choice("._-+")]) + word(1, 9) + r.choice(["", r.choice("._")]) + number()
+        host = word(2, 9) + number() + r.choice(["", "-" + word(2, 6), "." + word(2, 8), "." + word(2, 8)])
+        return f"{user.rstrip('._')}@{host}.{r.choice(['com', 'org', 'net', 'edu', 'de', 'fr', 'io', word(2, 3)])}"
+    if kind == 1:
+        return ".".join(str(r.randrange(256)) for _ in range(4))
+    out = "".join(r.choice("0123456789") if c.isdigit() else c for c in value)
+    if kind == 2:       # the last digit is the check digit
+        head = out[:-1]
+        digits = re.sub(r"[^0-9]", "", head)
+        out = head + next(d for d in "0123456789" if luhn(digits + d))
+    return out
+
+
+def rewritten(kind: int, value: str, r: random.Random) -> str:
+    """A span's value in one of the forms that the patterns don't cover."""
+    if kind == 0:
+        user, _, host = value.partition("@")
+        at = r.choice([" (at) ", " [at] ", "(at)", "[at]", " at ", " AT ", " @ ", " {at} "])
+        dot = r.choice([" dot ", " (dot) ", "[dot]", " DOT ", " . "] + ["."] * (at not in (" at ", " AT ")))
+        return user + at + host.replace(".", dot)
+    if kind == 1:
+        return r.choice([" . ", "[.]", "-", "(.)", " dot ", ","]).join(value.split("."))
+    digits = re.sub(r"[^0-9]", "", value)
+    if kind == 2:
+        return r.choice([".", "/", "_", "  ", " - "]).join(digits[i:i + 4] for i in range(0, len(digits), 4))
+    own = digits[-10:]
+    return r.choice(["({}) {}-{}", "{}-{}-{}", "{}.{}.{}", "{} {} {}", "({}){}-{}", "{}/{}-{}"]).format(own[:3], own[3:6], own[6:])
+
+
+def plain_number(r: random.Random) -> str:
+    """A number, a date or words with ``at`` that are no personal data."""
+    n = r.randrange
+    return r.choice([f"{n(1990, 2040)}-{n(1, 13):02d}-{n(1, 29):02d}", f"{n(24)}:{n(60):02d}:{n(60):02d}", f"{n(10)}.{n(30)}.{n(9)}",
+                     f"{n(1, 999)},{n(1000):03d},{n(1000):03d}", str(n(10 ** n(1, 13))), f"{n(1000)}.{n(100):02d}",
+                     f"{n(1990, 2030)}-{n(2030, 2060)}", f"at {n(13)}.{n(60):02d}", "at home", "look at that dot", "at last. then",
+                     f"{n(1, 29):02d}.{n(1, 13):02d}.{n(1990, 2040)} {n(24)}:{n(60):02d}", f"v{n(10)}.{n(10)}.{n(10)}-{n(100)}"])
+
+
+def examples(text: str, turn: int) -> list[tuple[int, str, str]]:
+    """Labelled windows (kind, text, tags as letters) around a text's pattern spans: each as it is, and with varied values
+    in their own and in rewritten forms; and windows (kind ``len(KINDS)``) without personal data."""
+    r = random.Random(turn)
     spans = patterns(text)
     ends = list(accumulate((e for _, _, e in spans), max, initial=0))
     plain = [(s, kind, e) for i, (s, kind, e) in enumerate(spans)
              if ends[i] <= s and (i + 1 == len(spans) or spans[i + 1][0] >= e)]
     out = []
+
+    def window(kind: int, left: str, form: str, right: str) -> None:
+        left, right = left[r.randrange(len(left) + 1) // 2:], right[:len(right) - r.randrange(len(right) + 1) // 2]
+        if form and len(left) + len(form) + len(right) <= WINDOW:
+            inner = str(1 + 2 * kind) + str(2 + 2 * kind) * (len(form) - 1) if kind < len(KINDS) else "0" * len(form)
+            out.append((kind, left + form + right, "0" * len(left) + inner + "0" * len(right)))
+
+    far = Overlaps([(s - WINDOW, kind, e + WINDOW) for s, kind, e in spans])
     for k, (s, kind, e) in enumerate(plain):
         value, left, right = text[s:e], text[max(0, s - REACH):s], text[e:e + REACH]
-        forms = [value]
-        if (k + turn) % 2 == 0:
-            if kind == 3:
-                forms.append(re.sub(r"^\+[0-9]+[\x20.-]?", "", value))
-            if kind == 2:
-                digits = re.sub(r"[^0-9]", "", value)
-                forms.append(".".join(digits[i:i + 4] for i in range(0, len(digits), 4)))
         if (k and plain[k - 1][2] > s - REACH) or (k + 1 < len(plain) and plain[k + 1][0] < e + REACH):
             left = right = " "      # a neighbour would be cut in its middle
-        for form in forms:
-            if form and len(left) + len(form) + len(right) <= WINDOW:
-                tags = "0" * len(left) + str(1 + 2 * kind) + str(2 + 2 * kind) * (len(form) - 1) + "0" * len(right)
-                out.append((left + form + right, tags))
-    far = Overlaps([(s - WINDOW, kind, e + WINDOW) for s, kind, e in spans])
-    clear = (m.start() for m in _DIGIT.finditer(text) if not far.touch(m.start(), m.end()))
-    other = next(clear, None)
-    if other is not None:
-        part = text[max(0, other - REACH):other + REACH]
-        out.append((part, "0" * len(part)))
+        window(kind, left, value, right)
+        for _ in range(FORMS * (1 + 2 * (kind == 0))):      # addresses have the most forms
+            window(kind, left, rewritten(kind, varied(kind, value, r), r), right)
+        window(kind, left, varied(kind, value, r), right)
+        for _ in range(2):
+            window(len(KINDS), left, plain_number(r), right)
+    # windows as tagging meets them, around what could be personal data and is not
+    for m in islice((m for m in _NEAR.finditer(text) if not far.touch(m.start(), m.end())), 4):
+        window(len(KINDS), text[max(0, m.start() - REACH):m.start()], m.group(), text[m.end():m.end() + REACH])
     return out
 
 
@@ -281,9 +331,9 @@ def _windows(batches):
     for pdf in batches:
         rows = []
         for at, text in zip(pdf["at"], pdf["text"], strict=True):
-            for k, (part, tags) in enumerate(examples(text, at & 1)):
-                rows.append((int.from_bytes(hashlib.blake2b(f"{at}:{k}".encode(), digest_size=7).digest()), part, tags))
-        yield pd.DataFrame(rows, columns=["at", "part", "tags"]).astype({"at": "int64"})
+            for k, (kind, part, tags) in enumerate(examples(text, at)):
+                rows.append((int.from_bytes(hashlib.blake2b(f"{at}:{k}".encode(), digest_size=7).digest()), kind, part, tags))
+        yield pd.DataFrame(rows, columns=["at", "kind", "part", "tags"]).astype({"at": "int64", "kind": "int32"})
 
 
 def _train(batches):
@@ -297,31 +347,55 @@ def _train(batches):
         x[i, :len(part)] = codes(part)
         y[i, :len(part)] = [int(t) for t in tags]
     model = Tagger()
-    model.fit(x, y, lengths)
+    held = np.arange(len(rows)) % 5 == 0        # rows are in order of a hash
+    model.fit(x[~held] if len(rows) >= 5 else x, y[~held] if len(rows) >= 5 else y, lengths[~held] if len(rows) >= 5 else lengths)
+    model.p["threshold"] = np.array(thresholds(model, [(part, tags) for (_, part, tags), h in zip(rows, held) if h]))
     yield pd.DataFrame([(k, list(v.shape), v.astype(np.float32).tobytes()) for k, v in model.p.items()],
                        columns=["name", "shape", "value"])
 
 
+def thresholds(model: Tagger, held: list[tuple[str, str]]) -> list[float]:
+    """For each kind the smallest posterior at which added spans of held-out windows are right often enough: of the
+    labelled kind, and more than half of them and of the labelled span in common."""
+    found: list[list[tuple[float, bool]]] = [[] for _ in KINDS]
+    for (_, tags), spans in zip(held, proposed(model, [p for p, _ in held]), strict=True):
+        first, last = next((i for i, t in enumerate(tags) if t != "0"), 0), len(tags.rstrip("0"))
+        for s, kind, e, sure in spans:
+            right = last > first and kind == (int(tags[first]) - 1) // 2 and 2 * (min(e, last) - max(s, first)) > max(e - s, last - first)
+            found[kind].append((sure, right))
+
+    def enough(kind: int, at: float) -> bool:
+        right = [ok for sure, ok in found[kind] if sure >= at]
+        return sum(right) >= PRECISION * len(right)
+
+    return [next((at for at in THRESHOLDS if enough(kind, at)), THRESHOLDS[-1]) for kind in range(len(KINDS))]
+
+
 def fit(docs: DataFrame, text: str = "text", fit_windows: int = FIT_WINDOWS) -> Tagger | None:
     """A tagger from at most ``fit_windows`` windows; None if no text holds a labelled span.
 
     Windows of one text are spread by hash, and equal texts give one window set: distinct windows only.
     """
-    found = (docs.where(F.col(text).rlike("[0-9@]"))
+    found = (docs.where(F.col(text).rlike(_NEAR.pattern))
              .select(F.xxhash64(F.lit(11), text).alias("at"), F.col(text).alias("text"))
-             .mapInPandas(_windows, "at bigint, part string, tags string"))
-    sample = found.groupBy("at").agg(F.first("part").alias("part"), F.first("tags").alias("tags")).orderBy(
-        "at").limit(fit_windows)
+             .mapInPandas(_windows, "at bigint, kind int, part string, tags string"))
+    # equal texts give equal windows; the share of each kind is cut in every task first
+    place = F.row_number().over(W.partitionBy("kind").orderBy("at"))
+    sample = (found.dropDuplicates(["at"]).withColumn("place", place)
+              .where(F.col("place") <= fit_windows // (len(KINDS) + 1)).select("at", "part", "tags"))
+    if not sample.where(F.col("tags").rlike("[1-9]")).head(1):
+        return None
     rows = sample.repartition(1).mapInPandas(_train, "name string, shape array<int>, value binary").collect()
     if not rows:
         return None
     model = Tagger()
     model.p = {r.name: np.frombuffer(r.value, dtype=np.float32).reshape(r["shape"]).astype(float) for r in rows}
+    model.threshold = model.p.pop("threshold").tolist()
     return model
 
 
 def cover(text: str) -> list[tuple[int, int]]:
-    """Overlapping windows over every stretch of the text near a digit or ``@``."""
+    """Overlapping windows over every stretch of the text near a digit, ``@`` or the word ``at``."""
     stretches: list[list[int]] = []
     for m in _NEAR.finditer(text):
         s, e = max(0, m.start() - REACH), min(len(text), m.start() + REACH)
@@ -363,18 +437,24 @@ def reconcile(windows, tags, posts) -> list[tuple[int, int, int, float]]:
     return out
 
 
+_DOT = re.compile(r"[.]|\bdot\b", re.IGNORECASE)
+_AT = re.compile(r"@|\bat\b", re.IGNORECASE)
+_NUMBER = re.compile(r"[0-9]+")
+
+
 def _likely(kind: int, part: str) -> bool:
     """What every span of a kind holds; a tagger's span without it is noise."""
-    digits = sum(c.isdigit() for c in part)
-    return {0: "@" in part and "." in part, 1: part.count(".") >= 3 and digits >= 4, 2: 14 <= digits <= 19,
-            3: 10 <= digits <= 15}[kind]
+    numbers = _NUMBER.findall(part)
+    digits = "".join(numbers)
+    if kind == 0:
+        return bool(_AT.search(part) and _DOT.search(part)) and part[0].isalnum() and part[-1].isalnum()
+    if kind == 1:
+        return len(numbers) == 4 and all(len(n) <= 3 and int(n) <= 255 for n in numbers)
+    return 14 <= len(digits) <= 19 and luhn(digits) if kind == 2 else 10 <= len(digits) <= 15
 
 
-def tag(model: Tagger | None, texts: list[str | None], batch: int = 256) -> list[tuple[list, list]]:
-    """(pattern spans, added spans) of each text."""
-    base = [patterns(t) if t else [] for t in texts]
-    if model is None:
-        return [(b, []) for b in base]
+def proposed(model: Tagger, texts: list[str | None], batch: int = 256) -> list[list[tuple[int, int, int, float]]]:
+    """Spans (start, kind, end, confidence) that the tagger sees in each text, of any confidence."""
     places = [(k, w) for k, t in enumerate(texts) if t for w in cover(t)]
     read: dict[int, list] = {}
     for at in range(0, len(places), batch):
@@ -386,15 +466,22 @@ def tag(model: Tagger | None, texts: list[str | None], batch: int = 256) -> list
         for i, (k, w) in enumerate(part):
             # a window without a tag still outvotes its neighbours' edges
             read.setdefault(k, []).append((w, tags[i], posts[i]))
+    out: list[list] = [[] for _ in texts]
+    for k, seen in read.items():
+        if any(t.any() for _, t, _ in seen):
+            out[k] = [x for x in reconcile(*zip(*seen, strict=True)) if _likely(x[1], texts[k][x[0]:x[2]])]
+    return out
+
+
+def tag(model: Tagger | None, texts: list[str | None], batch: int = 256) -> list[tuple[list, list]]:
+    """(pattern spans, added spans) of each text."""
+    base = [patterns(t) if t else [] for t in texts]
+    if model is None:
+        return [(b, []) for b in base]
     out = []
-    for k, spans in enumerate(base):
-        added = []
-        if any(t.any() for _, t, _ in read.get(k, [])):
-            known = Overlaps(spans)
-            for s, kind, e, sure in reconcile(*zip(*read[k], strict=True)):
-                if sure >= CONFIDENCE and _likely(kind, texts[k][s:e]) and not known.touch(s, e):
-                    added.append((s, kind, e))
-        out.append((spans, added))
+    for spans, found in zip(base, proposed(model, texts, batch), strict=True):
+        known = Overlaps(spans)
+        out.append((spans, [(s, kind, e) for s, kind, e, sure in found if sure >= model.threshold[kind] and not known.touch(s, e)]))
     return out
 
 
