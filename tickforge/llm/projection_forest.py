@@ -205,7 +205,7 @@ def links(classes: DataFrame, cosine: float) -> DataFrame:
     A link is found in every cell that holds both its ends; it counts in the one with the smallest number alone, which
     a class's list of cells tells.  A group of two tiles hands on at most two rows per member, however many links.
     """
-    dealt = cells(classes, cosine).select("cell", "number", "size", "node")
+    dealt = stage(cells(classes, cosine).select("cell", "number", "size", "node"), "dealt")
     held = dealt.groupBy("node").agg(F.collect_list("number").alias("held"))     # some cells per tree
     full = classes.select("node", "vector", "n").join(held, "node")
     tiles = F.when(F.col("size") <= LEAF, 1).otherwise(F.ceil(F.col("size") / TILE)).cast("int")
