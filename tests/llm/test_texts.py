@@ -63,6 +63,17 @@ def test_expected_uses_match_enumeration():
         {p: x / weight for p, x in uses.items()})
 
 
+def test_long_words_are_learned_from():
+    lattice, short = sl.Lattice(VOCABULARY), b"stoneriverthes"
+    one = np.zeros(len(lattice.pieces))
+    lattice._expect_one(short, one)
+    assert one == pytest.approx(lattice.expected([short]), abs=1e-12)
+    for word in (short * 9 + b"xyz", short * 10, b"stone" * 3_000):
+        assert len(word) > 128
+        uses = lattice.expected([word, short]) - one
+        assert sum(u * len(p) for u, p in zip(uses, lattice.pieces)) == pytest.approx(len(word), rel=1e-7)
+
+
 def test_learning_raises_the_likelihood():
     lattice, words = sl.Lattice(VOCABULARY), [b"stone", b"stones", b"river", b"rivers", b"thes"]
     before = lattice.log_probability(words).sum()

@@ -19,7 +19,7 @@ vocabulary's) and two totals reaches the driver.
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
+from collections import Counter, defaultdict, deque
 
 import numpy as np
 import pyarrow as pa
@@ -146,19 +146,38 @@ class Lattice:
 
     def one(self, word: bytes) -> float:
         """The same recursion for one word of any length, without its end."""
+        return self._alphas(word)[-1]
+
+    def _alphas(self, word: bytes) -> list[float]:
         alpha = [0.0]
         get, log_p = self.index.get, self.log_p
         for e in range(1, len(word) + 1):
             terms = [alpha[s] + log_p[i] for s in range(max(0, e - self.longest), e)
                      if (i := get(word[s:e])) is not None]
-            top = max(terms)
-            alpha.append(top + math.log(sum(math.exp(x - top) for x in terms)))
-        return alpha[-1]
+            alpha.append(_log_sum(terms))
+        return alpha
+
+    def _expect_one(self, word: bytes, total: np.ndarray) -> None:
+        """Add the expected uses of each piece in one word of any length: its forward weights are kept, of its backward
+        ones only those that the longest piece reaches."""
+        alpha = self._alphas(word)
+        get, log_p, n = self.index.get, self.log_p, len(word)
+        beta = deque([0.0], maxlen=self.longest)      # of the positions s + 1, s + 2, ...
+        for s in range(n - 1, -1, -1):
+            terms = []
+            for k, behind in enumerate(beta):
+                i = get(word[s:s + k + 1])
+                if i is not None:
+                    terms.append(log_p[i] + behind)
+                    total[i] += math.exp(alpha[s] + terms[-1] - alpha[n])
+            beta.appendleft(_log_sum(terms))
 
     def expected(self, words: list[bytes]) -> np.ndarray:
-        """Expected uses of each piece over one occurrence of each word (words beyond LONG_WORD are left to the
-        vocabulary's own weights)."""
+        """Expected uses of each piece over one occurrence of each word, whatever its length."""
         total = np.zeros(len(self.pieces))
+        for w in words:
+            if len(w) > LONG_WORD:
+                self._expect_one(w, total)
         for _, group in groups(words):
             n, length = group.shape
             edges = self._edges(group)
@@ -177,8 +196,14 @@ class Lattice:
         return total
 
 
+def _log_sum(terms: list[float]) -> float:
+    top = max(terms)
+    return top + math.log(sum(math.exp(x - top) for x in terms))
+
+
 def groups(words: list[bytes]):
-    """(positions, byte matrix) of words of equal length, in groups of bounded size."""
+    """(positions, byte matrix) of words of equal length, in groups of bounded size; longer words than LONG_WORD go
+    through the recursion for one word, so every word is counted and scored."""
     by_length = defaultdict(list)
     for i, w in enumerate(words):
         if 0 < len(w) <= LONG_WORD:
