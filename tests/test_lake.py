@@ -72,3 +72,16 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     staged = stage(spark.range(4), "numbers")
     assert staged.inputFiles()[0].removeprefix("file://").startswith(shared_dir(spark)) and staged.count() == 4
+
+
+def test_topics_and_tables_are_compressed_in_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sink, "MESSAGES_PER_FILE", 10)
+    rows = spark.range(25).select(F.col("id"), F.concat(F.lit("S"), F.col("id") % 3).alias("symbol"))
+    msgs = sink.messages(rows, "ticks", offset=F.col("id")).coalesce(1)
+    sink.publish_messages(msgs, "json", f"{tmp_path}/topic")
+    files = [p.name for p in (tmp_path / "topic").iterdir() if p.name.startswith("part-")]
+    assert len(files) == 3 and all(name.endswith(".json.snappy") for name in files)
+    assert sorted(r.offset for r in spark.read.json(f"{tmp_path}/topic").collect()) == list(range(25))
+    sink.overwrite(rows, f"{tmp_path}/table")
+    assert all(p.name.endswith(".zstd.parquet") for p in (tmp_path / "table" / "v=1").glob("part-*"))
+    assert spark.read.parquet(f"{tmp_path}/table/v=1").count() == 25

@@ -15,7 +15,7 @@ from pyspark.sql.types import StructType
 from tickforge.operators import candles, features, marts, news
 from tickforge.operators.ordered import PIECE_ROWS, over_sequence
 from tickforge.session import stage
-from tickforge.sinks.lake import by_day, overwrite, replace_days
+from tickforge.sinks.lake import by_day, layout, overwrite, replace_days
 from tickforge.sources.commits import Changes, Mark, changed_days
 from tickforge.sources.lake import day_table, exists, off_days, on_days, snapshot, table_or_empty, versions
 from tickforge.streaming.jobs import Lake, cleaned_schemas, cleaned_table, trade_schema
@@ -143,7 +143,7 @@ def refresh_indicators(spark: SparkSession, lake: Lake, piece_rows: int = PIECE_
                           before=features.LONGEST_FRAME, after=1, piece_rows=piece_rows)
     if first is None:
         whole = by_day(known.where("has_next").drop("has_next"), "known_on")
-        whole.write.format(lake.fmt).mode("overwrite").partitionBy("known_on").save(target)
+        whole.write.format(lake.fmt).mode("overwrite").options(**layout(lake.fmt)).partitionBy("known_on").save(target)
     else:
         fresh = known.where(F.col("known_on") >= F.lit(first)).drop("has_next")
         replace_days(fresh, target, "known_on")
@@ -163,14 +163,19 @@ def carried_days(spark: SparkSession, path: str) -> list[date]:
 def carry_over(spark: SparkSession, rows: DataFrame, path: str, first: date | None) -> None:
     """Store the last rows of every symbol as of each of the newest days in ``rows``; older and outdated ones go.
 
-    The ranking keeps 21 rows per symbol in every task before it shuffles, so a hot symbol stays small.
+    The ranking keeps 21 rows per symbol in every task before it shuffles, so a hot symbol stays small.  All rows are
+    ranked for the first of these days only: the last rows as of a later one are among those as of the day before it
+    and what came since.
     """
     found = rows.where(F.col("trade_date").isNotNull() if first is None else F.col("trade_date") >= F.lit(first))
     days = sorted(r.trade_date for r in found.select("trade_date").distinct().collect())[-KEPT_STATES:]   # one row per day
     latest = Window.partitionBy("symbol").orderBy(F.desc_nulls_last("timestamp_parsed"), F.desc_nulls_last("offset"))
     stale = [d for d in carried_days(spark, path) if first is None or d >= first]
-    for day in days:
+    for before, day in zip([None, *days], days):
         upto = rows.where(F.col("trade_date").isNull() | (F.col("trade_date") <= F.lit(day)))
+        if before is not None:
+            since = rows.where((F.col("trade_date") > F.lit(before)) & (F.col("trade_date") <= F.lit(day)))
+            upto = spark.read.schema(rows.schema).parquet(f"{path}/as_of={before}").unionByName(since)
         last = upto.withColumn("_n", F.row_number().over(latest)).where(F.col("_n") <= CARRIED).drop("_n")
         last.write.mode("overwrite").parquet(f"{path}/as_of={day}")
     kept = set(sorted({*carried_days(spark, path)} - ({*stale} - {*days}))[-KEPT_STATES:])

@@ -9,6 +9,17 @@ from tickforge import settings
 from tickforge.sources.lake import versions
 
 
+#: Of parquet files, whose bytes are mostly text and ticks.
+COMPRESSION = "zstd"
+#: Messages in a file of a topic.  Compressed text is read by one task a file, so files stay small.
+MESSAGES_PER_FILE = 100_000
+
+
+def layout(fmt: str) -> dict[str, str]:
+    """Options of a table's files."""
+    return {"compression": COMPRESSION} if fmt == "parquet" else {}
+
+
 def stamped(df: DataFrame, column: str) -> DataFrame:
     """Audit time, added on write so that operators stay deterministic."""
     return df.withColumn(column, F.current_timestamp())
@@ -24,7 +35,7 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, name: str | None, f
     keeps a repeated batch from appearing twice.
     """
     out = stamped(df, stamp) if stamp else df
-    writer = out.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    writer = out.writeStream.format(fmt).options(**layout(fmt)).outputMode("append").option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     if evolve and fmt == "delta":
@@ -45,7 +56,7 @@ def overwrite(df: DataFrame, path: str, fmt: str = "parquet", keep: int = 3,
     snapshots stay, so a reader has that many refreshes to finish.
     """
     spark = df.sparkSession
-    writer = df.write.format(fmt).mode("overwrite")
+    writer = df.write.format(fmt).options(**layout(fmt)).mode("overwrite")
     writer = writer.partitionBy(*partition_by) if partition_by else writer
     if fmt == "delta":
         writer.save(path)
@@ -73,7 +84,7 @@ def replace_days(df: DataFrame, path: str, day: str, fmt: str = "parquet", days:
     Plain files: each day's folder is exchanged when all tasks are done (dynamic partition overwrite); a day without
     rows stays, so ``df`` must hold rows of every day that lost some.  Delta replaces ``days`` in one commit.
     """
-    writer = by_day(df, day).write.format(fmt).mode("overwrite").partitionBy(day)
+    writer = by_day(df, day).write.format(fmt).options(**layout(fmt)).mode("overwrite").partitionBy(day)
     if fmt == "delta" and days is not None:
         values = " OR ".join([f"{day} IS NULL" if d is None else f"{day} = DATE'{d}'" for d in days]) or "false"
         writer.option("replaceWhere", values).save(path)
@@ -83,7 +94,7 @@ def replace_days(df: DataFrame, path: str, day: str, fmt: str = "parquet", days:
 
 def publish(df: DataFrame, table: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
     """Replace a catalog table, keeping the layout that look-backs prune."""
-    writer = df.write.format(fmt).mode("overwrite")
+    writer = df.write.format(fmt).options(**layout(fmt)).mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(table)
 
 
@@ -107,12 +118,13 @@ def messages(df: DataFrame, topic: str, key: str = "symbol", payload: list[str]
 
 
 def publish_messages(msgs: DataFrame, fmt: str, target: str) -> None:
-    """Send messages to a broker topic (``fmt='kafka'``, target = servers) or append JSON files."""
+    """Send messages to a broker topic (``fmt='kafka'``, target = servers) or append compressed JSON files of bounded size."""
     if fmt == "kafka":
         (msgs.select("key", "value", "topic").write.format("kafka")
          .option("kafka.bootstrap.servers", target).option("kafka.acks", "all").save())
     else:
-        msgs.write.format(fmt).mode("append").save(target)
+        writer = msgs.write.format(fmt).mode("append").option("maxRecordsPerFile", MESSAGES_PER_FILE)
+        (writer.option("compression", "snappy") if fmt == "json" else writer).save(target)
 
 
 TRIGGERS = {"bronze": settings.INGEST_TRIGGER, "silver": settings.INGEST_TRIGGER,
