@@ -149,15 +149,16 @@ def quantiles(rows: DataFrame, columns: list[str], bins: int = BINS) -> DataFram
     neither samples nor sketches nor the layout of the rows have a part in it, and no feature is one task's work.
     """
     values = rows.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])).alias("v")).select(
-        "v.feature", "v.value").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    placed = positioned(values, "feature", "value", [])
-    span = placed.groupBy("feature").agg(F.min(_POSITION).alias("_first"), F.count("*").alias("_n"))     # a row a feature
+        F.struct(F.lit(i).alias("_c"), F.col(c).cast("double").alias("value")) for i, c in enumerate(columns)])).alias("v")).select(
+        "v._c", "v.value").where(F.col("value").isNotNull() & ~F.isnan("value"))
+    placed = positioned(values, "_c", "value", [])     # by number: shorter rows, and faster to compare than names
+    span = placed.groupBy("_c").agg(F.min(_POSITION).alias("_first"), F.count("*").alias("_n"))     # a row a feature
     at = F.explode(F.array(*[F.lit(k) for k in range(1, bins)]))
     wanted = span.withColumn("at", at).select(
-        F.col("feature").alias("_f"), "at", (F.col("_first") + F.expr(f"(_n * at) div {bins}")).alias("_p"))
-    return placed.join(F.broadcast(wanted), (F.col(_POSITION) == F.col("_p")) & (F.col("feature") == F.col("_f"))).select(
-        "feature", "at", "value")
+        F.col("_c").alias("_f"), "at", (F.col("_first") + F.expr(f"(_n * at) div {bins}")).alias("_p"))
+    names = F.array(*[F.lit(c) for c in columns])
+    return placed.join(F.broadcast(wanted), (F.col(_POSITION) == F.col("_p")) & (F.col("_c") == F.col("_f"))).select(
+        names[F.col("_c")].alias("feature"), "at", "value")
 
 
 def binner(found: DataFrame, columns: list[str]) -> Bucketizer:
