@@ -19,7 +19,7 @@ vocabulary's) and two totals reaches the driver.
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict, deque
+from collections import defaultdict, deque
 
 import numpy as np
 import pyarrow as pa
@@ -216,45 +216,76 @@ def groups(words: list[bytes]):
                 len(part), length).astype(np.uint64)
 
 
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[*range(0x09, 0x0E), 0x20]] = True
+
+
+def _tokens(texts: pa.LargeBinaryArray) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """Lower-cased words of all texts, one after the other, and how many each text has."""
+    bounds = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = texts.buffers()[2].slice(bounds[0], bounds[-1] - bounds[0]).to_pybytes() if bounds[-1] > bounds[0] else b""
+    data, bounds = np.frombuffer(data.lower(), dtype=np.uint8), bounds - bounds[0]
+    inside = ~_BLANK[data]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    begin, end = bounds[:-1][np.diff(bounds) > 0], bounds[1:][np.diff(bounds) > 0] - 1
+    first[begin], last[end] = inside[begin], inside[end]     # no word runs on into the next text
+    starts = np.flatnonzero(first)
+    offsets = np.concatenate([[0], np.cumsum(np.flatnonzero(last) + 1 - starts)]).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts),
+                                  [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
+    return words, np.diff(np.searchsorted(starts, bounds))
+
+
 class _Block:
+    """Rows of one block; they are inverted together, by one sort of (word, document) numbers."""
+
     def __init__(self, name: str):
-        self.name, self.size, self.ids, self.tokens, self.held = name, 0, [], [], []
-        self.posts: dict[bytes, list[int]] = defaultdict(list)
-        self.train: Counter = Counter()
-
-    def add(self, key, text, held: bool) -> None:
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        at = len(self.ids) << 12
-        counts = Counter(words)
-        counts[b""] = 1     # the end
-        for w, c in counts.items():
-            while c > 4095:
-                self.posts[w].append(at | 4095)
-                c -= 4095
-            self.posts[w].append(at | c)
-        if not held:
-            self.train.update(words)
-            self.train[b""] += 1
-        self.ids.append(key)
-        self.tokens.append(len(words) + 1)
-        self.held.append(held)
-        self.size += len(text or "") + 64
+        self.name, self.size, self.docs, self.parts = name, 0, 0, []
+
+    def add(self, part: pa.RecordBatch, size: int) -> None:
+        self.parts.append(part)
+        self.docs += part.num_rows
+        self.size += size
+
+    def postings(self) -> tuple[pa.Array, np.ndarray, pa.Array, np.ndarray]:
+        """Distinct words, the last of them the end; their training counts and postings; words of each document."""
+        held = np.concatenate([p.column(2).to_numpy(zero_copy_only=False) for p in self.parts])
+        words, n_words = _tokens(pa.concat_arrays([p.column(1) for p in self.parts]))
+        words = words.dictionary_encode()
+        known = pa.concat_arrays([words.dictionary.cast(pa.binary()), pa.array([b""], pa.binary())])
+        docs = np.arange(self.docs)
+        at = np.concatenate([words.indices.to_numpy().astype(np.int64) << 20 | np.repeat(docs, n_words),
+                             (len(known) - 1) << 20 | docs])
+        at.sort()
+        first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        times, at = np.diff(first, append=len(at)), at[first]
+        word, doc = at >> 20, at & (BLOCK_DOCS - 1)
+        train = np.bincount(word, weights=np.where(held[doc], 0, times), minlength=len(known)).astype(np.int64)
+        shares = -(-times // 4095)       # entries that the count of one word in one document takes
+        entries = np.repeat(doc << 12 | 4095, shares)
+        entries[np.cumsum(shares) - 1] += times - shares * 4095
+        sizes = np.bincount(word, weights=shares, minlength=len(known)).astype(np.int64) * 4
+        post = pa.Array.from_buffers(pa.binary(), len(known), [
+            None, pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)),
+            pa.py_buffer(entries.astype(np.uint32))])
+        return known, train, post, n_words
 
     def batches(self, schema: pa.Schema):
-        words = list(self.posts)
+        words, train, post, n_words = self.postings()
         for k in range(0, len(words), 20_000):
-            part = words[k:k + 20_000]
+            part = words.slice(k, 20_000)
             n = len(part)
             yield pa.RecordBatch.from_arrays([
-                pa.array([self.name] * n, pa.string()), pa.array(part, pa.binary()),
-                pa.array([self.train.get(w, 0) for w in part], pa.int64()),
-                pa.array([np.array(self.posts[w], dtype=np.uint32).tobytes() for w in part], pa.binary()),
+                pa.array([self.name] * n, pa.string()), part, pa.array(train[k:k + n]), post.slice(k, n),
                 pa.nulls(n, schema.field("ids").type), pa.nulls(n, schema.field("n_tokens").type),
                 pa.nulls(n, schema.field("held").type)], schema=schema)
+        whole = lambda column: pa.ListArray.from_arrays([0, len(column)], column)
         yield pa.RecordBatch.from_arrays([
             pa.array([self.name]), pa.nulls(1, pa.binary()), pa.array([0], pa.int64()), pa.nulls(1, pa.binary()),
-            pa.array([self.ids], schema.field("ids").type), pa.array([self.tokens], schema.field("n_tokens").type),
-            pa.array([self.held], schema.field("held").type)], schema=schema)
+            whole(pa.concat_arrays([p.column(0) for p in self.parts])), whole(pa.array(n_words + 1)),
+            whole(pa.concat_arrays([p.column(2) for p in self.parts]))], schema=schema)
 
 
 SCHEMA = pa.schema([("block", pa.string()), ("word", pa.binary()), ("n_train", pa.int64()), ("post", pa.binary()),
@@ -265,13 +296,21 @@ def _invert(batches):
     part, number = TaskContext.get().partitionId(), 0
     block = _Block(f"{part}-{number}")
     for batch in batches:
-        for key, text, held in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-            block.add(key, text, held)
-            if block.size >= BLOCK_BYTES or len(block.ids) >= BLOCK_DOCS:
+        texts = pc.fill_null(batch.column(1).cast(pa.large_binary()), b"")
+        batch = pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), texts, batch.column(2)],
+                                           names=["key", "text", "held"])
+        sizes, at = np.cumsum(pc.binary_length(texts).to_numpy() + 64), 0
+        while at < len(sizes):
+            before = sizes[at - 1] if at else 0
+            full = int(np.searchsorted(sizes, before + BLOCK_BYTES - block.size)) + 1    # rows until the block is full
+            end = min(full, at + BLOCK_DOCS - block.docs, len(sizes))
+            block.add(batch.slice(at, end - at), int(sizes[end - 1] - before))
+            at = end
+            if block.size >= BLOCK_BYTES or block.docs >= BLOCK_DOCS:
                 yield from block.batches(SCHEMA)
                 number += 1
                 block = _Block(f"{part}-{number}")
-    if block.ids:
+    if block.docs:
         yield from block.batches(SCHEMA)
 
 
