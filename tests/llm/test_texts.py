@@ -77,6 +77,20 @@ def test_long_words_are_learned_from():
         assert sum(u * len(p) for u, p in zip(uses, lattice.pieces)) == pytest.approx(len(word), rel=1e-7)
 
 
+def test_words_together_as_one_by_one():
+    r = random.Random(3)
+    pieces = {bytes(r.choice(b"abc") for _ in range(r.randrange(1, 17))) for _ in range(300)}
+    lattice = sl.Lattice([(p, -float(i)) for i, p in enumerate(sorted(pieces))])
+    words = [bytes(r.choice(b"abcd") for _ in range(r.randrange(1, 30))) for _ in range(300)] + [
+        x + y for x, y in itertools.islice(itertools.permutations(sorted(pieces), 2), 300)]
+    one = np.zeros(len(lattice.pieces))
+    for w in words:
+        lattice._expect_one(w, one)
+    assert one == pytest.approx(lattice.expected(words), abs=1e-9)
+    assert lattice.log_probability(words) == pytest.approx([lattice.one(w) + lattice.log_end for w in words], rel=1e-12)
+    assert np.isfinite(sl.Lattice([]).log_probability([b"a", b"bc"])).all()
+
+
 def test_learning_raises_the_likelihood():
     lattice, words = sl.Lattice(VOCABULARY), [b"stone", b"stones", b"river", b"rivers", b"thes"]
     before = lattice.log_probability(words).sum()

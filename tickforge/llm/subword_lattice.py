@@ -77,8 +77,10 @@ class Lattice:
         keys = np.array([self._hash(p) for p in self.pieces], dtype=np.uint64)
         self.order = np.argsort(keys)
         self.keys = keys[self.order]
-        self.maybe = np.zeros(1 << 20, dtype=bool)
+        self.maybe, self.begun = np.zeros(1 << 20, dtype=bool), np.zeros(1 << 20, dtype=bool)
         self.maybe[self.keys >> np.uint64(44)] = True
+        begins = {p[:k] for p in self.pieces for k in range(1, len(p))}     # a word without one has no longer piece there
+        self.begun[np.array([self._hash(p) for p in begins], dtype=np.uint64) >> np.uint64(44)] = True
 
     def set_probabilities(self, log_p, log_end: float) -> None:
         self.log_p, self.log_end = np.asarray(log_p, dtype=float), log_end
@@ -100,36 +102,41 @@ class Lattice:
             h ^= h >> 29
         return h
 
-    def _edges(self, group: np.ndarray) -> dict[tuple[int, int], np.ndarray]:
-        """Piece index (or -1) of each word of equal length, by (start, end)."""
+    def _edges(self, group: np.ndarray) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+        """The words of equal length that have a piece from start to end, and its index, by (start, end)."""
         n, length = group.shape
         out = {}
+        columns = np.ascontiguousarray(group.T) + np.uint64(1)
         for s in range(length):
-            h = np.zeros(n, dtype=np.uint64)
+            h, rows = np.zeros(n, dtype=np.uint64), np.arange(n)
             for e in range(s + 1, min(length, s + self.longest) + 1):
-                h = (h + group[:, e - 1] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+                h = (h + columns[e - 1, rows]) * np.uint64(0x9E3779B97F4A7C15)
                 h ^= h >> np.uint64(29)
-                at = np.flatnonzero(self.maybe[h >> np.uint64(44)])
-                if not len(at):
-                    continue
-                found = np.searchsorted(self.keys, h[at])
-                found[found == len(self.keys)] = 0
-                hit = self.keys[found] == h[at]
-                if hit.any():
-                    ids = np.full(n, -1, dtype=np.int64)
-                    ids[at[hit]] = self.order[found[hit]]
-                    out[s, e] = ids
+                cell = h >> np.uint64(44)
+                at = np.flatnonzero(self.maybe[cell])
+                if len(at):
+                    key = h[at]
+                    found = np.searchsorted(self.keys, key)
+                    found[found == len(self.keys)] = 0
+                    hit = self.keys[found] == key
+                    if hit.any():
+                        out[s, e] = rows[at[hit]], self.order[found[hit]]
+                on = np.flatnonzero(self.begun[cell])
+                if not len(on):
+                    break
+                h, rows = h[on], rows[on]
         return out
 
     def _forward(self, edges: dict, n: int, length: int) -> tuple[np.ndarray, dict]:
         with np.errstate(divide="ignore"):
             alpha = np.full((length + 1, n), -np.inf)
             alpha[0] = 0.0
-            scores = {k: np.where(i >= 0, self.log_p[i], -np.inf) for k, i in edges.items()}
+            scores = {k: self.log_p[ids] for k, (_, ids) in edges.items()}
             for e in range(1, length + 1):
                 for s in range(max(0, e - self.longest), e):
                     if (s, e) in scores:
-                        alpha[e] = np.logaddexp(alpha[e], alpha[s] + scores[s, e])
+                        at = edges[s, e][0]
+                        alpha[e, at] = np.logaddexp(alpha[e, at], alpha[s, at] + scores[s, e])
         return alpha, scores
 
     def log_probability(self, words: list[bytes]) -> np.ndarray:
@@ -188,11 +195,11 @@ class Lattice:
                 for s in range(length - 1, -1, -1):
                     for e in range(s + 1, min(length, s + self.longest) + 1):
                         if (s, e) in scores:
-                            beta[s] = np.logaddexp(beta[s], scores[s, e] + beta[e])
-                for (s, e), ids in edges.items():
-                    hit = ids >= 0
-                    share = np.exp((alpha[s] + scores[s, e] + beta[e] - alpha[length])[hit])
-                    total += np.bincount(ids[hit], weights=share, minlength=len(total))
+                            at = edges[s, e][0]
+                            beta[s, at] = np.logaddexp(beta[s, at], scores[s, e] + beta[e, at])
+                for (s, e), (at, ids) in edges.items():
+                    share = np.exp(alpha[s, at] + scores[s, e] + beta[e, at] - alpha[length, at])
+                    np.add.at(total, ids, share)
         return total
 
 
@@ -296,10 +303,10 @@ def _invert(batches):
     part, number = TaskContext.get().partitionId(), 0
     block = _Block(f"{part}-{number}")
     for batch in batches:
-        texts = pc.fill_null(batch.column(1).cast(pa.large_binary()), b"")
-        batch = pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), texts, batch.column(2)],
+        texts = pc.fill_null(batch.column(1), "")
+        batch = pa.RecordBatch.from_arrays([batch.column(0), texts.cast(pa.large_binary()), batch.column(2)],
                                            names=["key", "text", "held"])
-        sizes, at = np.cumsum(pc.binary_length(texts).to_numpy() + 64), 0
+        sizes, at = np.cumsum(pc.utf8_length(texts).to_numpy() + 64, dtype=np.int64), 0
         while at < len(sizes):
             before = sizes[at - 1] if at else 0
             full = int(np.searchsorted(sizes, before + BLOCK_BYTES - block.size)) + 1    # rows until the block is full
